@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ampliframe.contracts import integer_argument, require_columns
 from ampliframe.functions.arrow_text import flat_bytes, slices_by_bytes
@@ -17,7 +18,13 @@ from ampliframe.sources.fasta import scan_fasta_text
 # Fixed value: FASTQ qualities are stored as characters starting at code 33.
 PHRED_OFFSET = 33
 
-_QUALITY_TYPE = "struct<q20:bigint,q30:bigint,error:double>"
+_QUALITY_TYPE = T.StructType(
+    [
+        T.StructField("q20", T.LongType()),
+        T.StructField("q30", T.LongType()),
+        T.StructField("error", T.DoubleType()),
+    ]
+)
 
 
 @F.arrow_udf(_QUALITY_TYPE)

@@ -20,7 +20,9 @@ def list_files(spark: SparkSession, root: str | list[str], glob: str | None = No
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    listed = reader.load(root)
+    listed = reader.load(root).select(
+        F.regexp_replace("path", "^file:/+", "/").alias("path"), "length"
+    )
     return listed.select(
         "path",
         base_name("path").alias("name"),
@@ -49,8 +51,6 @@ def list_directories(files: DataFrame, path: str = "path") -> DataFrame:
 def _open(path: str):
     from pyarrow import fs
 
-    if "://" not in path and path.startswith("file:"):
-        path = path[len("file:") :]
     filesystem, inner = fs.FileSystem.from_uri(path)
     return filesystem.open_input_stream(inner, compression=None)
 
@@ -113,15 +113,14 @@ def md5_list(files: DataFrame, root: str, exclude: str | None = None) -> DataFra
                 names=["md5", "path"],
             )
 
-    plain = F.regexp_replace("path", "^file:/+", "/")
-    wanted = files.select("path", plain.alias("__plain"))
-    start = F.length(F.lit(prefix.replace("file://", "").replace("file:", ""))) + 1
+    relative = F.substring("path", F.lit(len(prefix) + 1), F.length("path"))
+    wanted = files.filter(F.col("path").startswith(prefix))
     if exclude:
-        wanted = wanted.filter(~F.col("__plain").substr(start, F.length("__plain")).rlike(exclude))
+        wanted = wanted.filter(~relative.rlike(exclude))
     return (
         _spread(wanted)
         .mapInArrow(digest, "md5 string, path string")
-        .select("md5", plain.substr(start, F.length("path")).alias("path"))
+        .select("md5", relative.alias("path"))
         .orderBy("path")
     )
 
