@@ -37,6 +37,16 @@ def join_lookup(
     return df.join(lookup, list(on), how)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deal rows evenly over all tasks before work that costs far more per byte than a shuffle.
+
+    Rows are placed by their hash, which retries repeat exactly. The fixed task count keeps
+    adaptive execution from merging tasks that are small in bytes only.
+    """
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(tasks, F.xxhash64(*df.columns))
+
+
 def running_totals(
     df: DataFrame,
     group: Sequence[str],

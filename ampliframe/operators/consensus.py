@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ampliframe.contracts import require_columns
 from ampliframe.functions.labels import is_blank
+from ampliframe.functions.scale import spread
 from ampliframe.operators import alignment as al
 
 _DIFFERENCE = (
@@ -84,12 +85,6 @@ def pairs_by_map(set1: DataFrame, set2: DataFrame, sample_map: DataFrame) -> Dat
     )
 
 
-def spread_pairs(pairs: DataFrame) -> DataFrame:
-    """Deal the pairs over all tasks: aligning costs far more per byte than the join did."""
-    tasks = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return pairs.repartition(tasks, F.xxhash64(*pairs.columns))
-
-
 def _distinct_codes(seq1: pa.Array, seq2: pa.Array):
     """Encoded distinct pairs of a batch and the row each input row maps to."""
     rows: dict[tuple[str, str], int] = {}
@@ -178,7 +173,7 @@ def consensus_distances(
 ) -> DataFrame:
     """Distance and orientation per pair, without a traceback."""
     align = _align_udf(scoring, _kind(type), False, False)
-    done = spread_pairs(pairs).withColumn("__a", align("seq1", "seq2"))
+    done = spread(pairs).withColumn("__a", align("seq1", "seq2"))
     return done.select(
         "seq1_name",
         "seq2_name",
@@ -212,7 +207,7 @@ def compare_consensus(
         check_consensus_set(set1, "consensus1")
         check_consensus_set(set2, "consensus2")
     align = _align_udf(scoring, _kind(type), True, False)
-    done = spread_pairs(_pairs(set1, set2, sample_map)).withColumn("__a", align("seq1", "seq2"))
+    done = spread(_pairs(set1, set2, sample_map)).withColumn("__a", align("seq1", "seq2"))
     return done.select(
         "seq1_name",
         "seq2_name",
@@ -237,7 +232,7 @@ def sequence_differences(
     """
     # marked nondeterministic so that no filter copies the alignment below the explode
     align = _align_udf(scoring, _kind(type), False, True).asNondeterministic()
-    done = spread_pairs(pairs).withColumn("__a", align("seq1", "seq2"))
+    done = spread(pairs).withColumn("__a", align("seq1", "seq2"))
     label = F.when(
         F.col("__a.orientation") == "forward", F.lit("seq2_original")
     ).otherwise("seq2_reverse_complement")
@@ -265,5 +260,5 @@ def seq_diffs(
 ) -> DataFrame:
     """Whole result per pair: orientation, n_diff, aligned strings, differences as an array."""
     align = _align_udf(scoring, _kind(type), True, True)
-    done = spread_pairs(pairs).withColumn("__a", align("seq1", "seq2"))
+    done = spread(pairs).withColumn("__a", align("seq1", "seq2"))
     return done.select("seq1_name", "seq2_name", "__a.*")

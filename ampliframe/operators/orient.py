@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ampliframe.contracts import number_argument, require_columns
 from ampliframe.functions.dna import clean_sequence, reverse_complement
 from ampliframe.functions.labels import name_or_numbered, name_or_reference
+from ampliframe.functions.scale import spread
 from ampliframe.operators import alignment as al
 from ampliframe.session import materialise
 
@@ -80,8 +81,9 @@ def orient_reads(
     """Local scores of both strands of every read, and the read on its better strand.
 
     Columns: `keep`, sample, direction, forward_score, reverse_score, selected_score,
-    score_delta, oriented_seq. The strand turns only if its score is strictly greater. The map is
-    narrow: the reference travels with the function, reads are never shuffled.
+    score_delta, oriented_seq. The strand turns only if its score is strictly greater. The
+    reference travels with the function; reads are dealt evenly over the tasks, because scoring
+    a read costs its length times the reference's.
     """
     scoring = al.simple_scoring(
         number_argument(match_score, "match_score"),
@@ -90,7 +92,7 @@ def orient_reads(
         number_argument(gap_extension, "gap_extension", 0),
     )
     strand_scores = _strand_udf(reference.seq, scoring)
-    scored = reads.withColumn("__s", strand_scores("seq"))
+    scored = spread(reads.select(*keep, "name", "seq")).withColumn("__s", strand_scores("seq"))
     forward, backward = F.col("__s.forward_score"), F.col("__s.reverse_score")
     turned = backward > forward
     return scored.select(

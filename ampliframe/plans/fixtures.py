@@ -82,6 +82,11 @@ VIEWS: dict[str, str] = {
         f"select doc_id, source, translate({_letters('text')},'{_LETTERS}','{_AS_DNA}') as seq, "
         f"translate({_letters('text')},'{_LETTERS}','{_AS_QUALITY}') as qual from documents"
     ),
+    # the same bases in lower case with the white space of the text
+    "fx_raw_seq": (
+        "select doc_id, translate(upper(regexp_replace(text,'[^A-Za-z \\t\\r\\n]',''<G>)),"
+        f"'{_LETTERS}','{_AS_DNA.lower()}') as seq from documents"
+    ),
     # part sequences; every tenth name comes a second time, later and with another sequence
     "fx_cons1": (
         f"select concat('c',cast(p_partkey as <S>)) as name, p_partkey as record_no, "

@@ -61,7 +61,7 @@ def eligible_reads(spark, sf_dir):
         F.round(st.mean_quality("qual"), 6).alias("mean_quality"),
     )
     return qc.eligible_reads(
-        reads, "source", "length", "mean_quality", 1000, 3300, 10, 20
+        reads, "source", "length", "mean_quality", 1000, 3300, 8, 16
     )
 
 
@@ -175,8 +175,8 @@ ORACLES = {
       ok as (select doc_id, source, cast(len as integer) as length,
         round(-10*log10(err/len),6) as mean_quality from per_read where len>0),
       passed as (select *, count(*) over (partition by source) as n from ok
-        where length between 1000 and 3300 and mean_quality>=10)
-      select doc_id, source, length, mean_quality from passed where n>=20""",
+        where length between 1000 and 3300 and mean_quality>=8)
+      select doc_id, source, length, mean_quality from passed where n>=16""",
     "sequence_stats": f"""with {_PER_READ}, ranked as (select *,
       sum(len) over (partition by source) as total,
       sum(len) over (partition by source order by len desc) as down from per_read)

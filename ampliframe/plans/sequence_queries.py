@@ -29,7 +29,7 @@ def reverse_complements(spark, sf_dir):
 
 
 def cleaned_sequences(spark, sf_dir):
-    return view(spark, sf_dir, "documents").select("doc_id", clean_sequence("text").alias("seq"))
+    return view(spark, sf_dir, "fx_raw_seq").select("doc_id", clean_sequence("seq").alias("seq"))
 
 
 def default_names(spark, sf_dir):
@@ -382,7 +382,7 @@ _STRANDS = f"""with recursive
 ORACLES = {
     "reverse_complements": f"select doc_id, {_rc_sql('seq')} as rc_seq from fx_seq",
     "cleaned_sequences": (
-        "select doc_id, upper(regexp_replace(text,'\\s+','','g')) as seq from documents"
+        "select doc_id, upper(regexp_replace(seq,'\\s+','','g')) as seq from fx_raw_seq"
     ),
     "default_names": """select record_no, case when name='' or name is null then
       concat('sanger_',record_no) else name end as name from fx_reads""",
