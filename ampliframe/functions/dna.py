@@ -100,11 +100,18 @@ def first_hit_declarative(seq: Column | str, primer: str, max_mismatch: int) ->
         F.length(seq) >= width, F.sequence(F.lit(1), F.length(seq) - (width - 1))
     ).otherwise(F.array().cast("array<int>"))
 
-    def mismatches(start: Column) -> Column:
+    def mismatches(bound: Column, start: Column) -> Column:
         total = F.lit(0)
         for offset, base in enumerate(primer):
-            overlap = F.get(masks, start + (offset - 1)).bitwiseAND(F.lit(BASE_MASK[base]))
+            overlap = F.get(bound, start + (offset - 1)).bitwiseAND(F.lit(BASE_MASK[base]))
             total = total + F.when(overlap == 0, 1).otherwise(0)
         return total
 
-    return F.get(F.filter(starts, lambda s: mismatches(s) <= max_mismatch), F.lit(0))
+    # the one-element transform binds the base sets once instead of once per placement
+    first = F.transform(
+        F.array(masks),
+        lambda bound: F.get(
+            F.filter(starts, lambda s: mismatches(bound, s) <= max_mismatch), F.lit(0)
+        ),
+    )
+    return F.get(first, F.lit(0))

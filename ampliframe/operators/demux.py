@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ampliframe.contracts import require_columns, text_argument
-from ampliframe.functions.labels import dir_name, fastq_sample_name, is_fastq_path
+from ampliframe.functions.labels import base_name, dir_name, fastq_sample_name, is_fastq_path
 
 _MODEL = (
     r"\sDS:(?:(?!basecall_model=)\S*"
@@ -14,6 +14,31 @@ _MODEL = (
 )
 
 
+def _bam_pass_roots(folders: DataFrame) -> DataFrame:
+    """Folders (`dir`) with one row per bam_pass part: run_dir before it, rel_path after it.
+
+    Splitting at the part's own text keeps the work in plain string functions.
+    """
+    places = F.expr(
+        "transform(sequence(1, size(split(dir || '/', '/bam_pass(?=/)')) - 1), k -> k)"
+    )
+    cut = folders.filter(F.concat("dir", F.lit("/")).contains("/bam_pass/")).select(
+        "dir", F.explode(places).alias("k")
+    )
+    pieces = F.split(F.concat("dir", F.lit("/")), "/bam_pass(?=/)")
+    return cut.select(
+        "dir",
+        F.array_join(F.slice(pieces, F.lit(1), F.col("k")), "/bam_pass").alias("run_dir"),
+        F.regexp_replace(
+            F.array_join(
+                F.slice(pieces, F.col("k") + 1, F.size(pieces) - F.col("k")), "/bam_pass"
+            ),
+            "^/+|/+$",
+            "",
+        ).alias("rel_path"),
+    )
+
+
 def demux_tree(files: DataFrame, fastq_out: str = "fastq_pass_trim") -> DataFrame:
     """Read folders below each bam_pass and the FASTQ file each one becomes.
 
@@ -22,53 +47,26 @@ def demux_tree(files: DataFrame, fastq_out: str = "fastq_pass_trim") -> DataFram
     """
     text_argument(fastq_out, "fastq_out")
     folders = (
-        files.filter(F.col("path").rlike(r"/bam_pass/.*/[^/]*\.bam$"))
-        .select(dir_name("path").alias("bam_dir"))
+        files.filter(F.col("path").contains("/bam_pass/") & F.col("path").endswith(".bam"))
+        .select(dir_name("path").alias("dir"))
         .distinct()
     )
-    parts = F.split("bam_dir", "/")
-    # a bam_pass part is a root if something follows it and something stands before it
-    roots = F.filter(
-        F.sequence(F.lit(2), F.size(parts) - 1),
-        lambda k: F.element_at(parts, k) == "bam_pass",
-    )
-    rooted = folders.filter(F.size(parts) >= 3).select(
-        "bam_dir", parts.alias("parts"), F.explode(roots).alias("at")
-    )
-    described = rooted.select(
-        F.array_join(F.slice("parts", F.lit(1), F.col("at") - 1), "/").alias("run_dir"),
-        F.array_join(
-            F.slice("parts", F.col("at") + 1, F.size("parts") - F.col("at")), "/"
-        ).alias("rel_path"),
-        "bam_dir",
-        F.element_at("parts", -1).alias("leaf"),
-    )
-    return described.select(
+    rooted = _bam_pass_roots(folders).filter("rel_path <> ''")
+    return rooted.select(
         "run_dir",
         "rel_path",
-        "bam_dir",
+        F.col("dir").alias("bam_dir"),
         F.concat(
-            F.concat_ws("/", "run_dir", F.lit(fastq_out), "rel_path", "leaf"), F.lit(".fastq.gz")
+            F.concat_ws("/", "run_dir", F.lit(fastq_out), "rel_path", base_name("dir")),
+            F.lit(".fastq.gz"),
         ).alias("output"),
     )
 
 
 def run_directories(files: DataFrame) -> DataFrame:
     """Distinct parents of bam_pass folders, sorted."""
-    parts = F.split(dir_name("path"), "/")
-    roots = F.filter(
-        F.when(F.size(parts) >= 2, F.sequence(F.lit(2), F.size(parts))).otherwise(
-            F.array().cast("array<int>")
-        ),
-        lambda k: F.element_at(parts, k) == "bam_pass",
-    )
-    return (
-        files.filter(F.col("path").contains("/bam_pass/"))
-        .select(parts.alias("parts"), F.explode(roots).alias("at"))
-        .select(F.array_join(F.slice("parts", F.lit(1), F.col("at") - 1), "/").alias("run_dir"))
-        .distinct()
-        .orderBy("run_dir")
-    )
+    folders = files.select(dir_name("path").alias("dir")).distinct()
+    return _bam_pass_roots(folders).select("run_dir").distinct().orderBy("run_dir")
 
 
 def fastq_samples(files: DataFrame) -> DataFrame:

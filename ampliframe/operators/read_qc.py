@@ -200,11 +200,12 @@ def eligible_reads(
     max_read_length: int = 3300,
     min_read_qual: float = 10,
     min_n_reads: int = 40,
+    quality_as: str | None = None,
 ) -> DataFrame:
     """Reads passing length and mean quality, of barcodes keeping at least `min_n_reads` of them.
 
     Barcodes are counted with a hash aggregate; a barcode holding much of the data is never
-    gathered in one task.
+    gathered in one task. `quality_as` names a column for the quality compared.
     """
     min_read_length = integer_argument(min_read_length, "min_read_length", 1)
     max_read_length = integer_argument(max_read_length, "max_read_length", 1)
@@ -214,9 +215,12 @@ def eligible_reads(
         raise ValueError("min_read_length must not exceed max_read_length")
     require_columns(reads, [barcode], "the read set")
     as_column = lambda c: F.col(c) if isinstance(c, str) else c
-    length, quality = as_column(length), as_column(quality)
-    passed = reads.filter(
-        length.between(min_read_length, max_read_length) & (quality >= min_read_qual)
+    kept = [F.col(c) for c in reads.columns]
+    # lengths are cheap: only reads of the right length have their quality worked out
+    passed = (
+        reads.filter(as_column(length).between(min_read_length, max_read_length))
+        .select(*kept, as_column(quality).alias("__quality"))
+        .filter(F.col("__quality") >= min_read_qual)
     )
     enough = (
         passed.groupBy(barcode)
@@ -224,4 +228,7 @@ def eligible_reads(
         .filter(F.col("__n") >= min_n_reads)
         .select(barcode)
     )
-    return join_lookup(passed, enough, [barcode], "left_semi")
+    out = join_lookup(passed, enough, [barcode], "left_semi")
+    if quality_as is None:
+        return out.drop("__quality")
+    return out.withColumnRenamed("__quality", quality_as)

@@ -27,8 +27,7 @@ _QUALITY_TYPE = T.StructType(
 )
 
 
-@F.arrow_udf(_QUALITY_TYPE)
-def quality_sums(qual: pa.Array) -> pa.Array:
+def _quality_sums(qual: pa.Array) -> pa.Array:
     """Bases of at least Q20 and Q30, and the summed error probability, per quality string."""
     scores = np.arange(256) - PHRED_OFFSET
     error_of = np.power(10.0, -scores / 10.0)
@@ -52,6 +51,10 @@ def quality_sums(qual: pa.Array) -> pa.Array:
     )
 
 
+# Marked nondeterministic so that a filter on the result does not evaluate it a second time.
+quality_sums = F.arrow_udf(_quality_sums, _QUALITY_TYPE).asNondeterministic()
+
+
 def mean_quality(qual: Column | str) -> Column:
     """Phred value of the mean error probability of one read, NULL for an empty one."""
     qual = F.col(qual) if isinstance(qual, str) else qual

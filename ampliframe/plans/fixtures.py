@@ -263,10 +263,22 @@ def with_views(sql: str) -> str:
     return f"with {', '.join(heads)} {body}" if heads else body
 
 
+def _dealt(texts: DataFrame) -> DataFrame:
+    """Texts spread over the cores if the scan alone would keep only some of them busy.
+
+    A large table has more splits than cores and is left as it is.
+    """
+    cores = texts.sparkSession.sparkContext.defaultParallelism
+    if texts.rdd.getNumPartitions() >= cores:
+        return texts
+    return texts.repartition(cores, "doc_id")
+
+
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A view, or a given table, as a DataFrame."""
     if name in TABLES:
-        return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+        table = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+        return _dealt(table) if name == "documents" else table
     sql = view_sql(name, "spark")
     inputs = {n: view(spark, sf_dir, n) for n in _needs(sql, [*TABLES, *VIEWS]) if n != name}
     for source in inputs:

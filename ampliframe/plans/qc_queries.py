@@ -54,14 +54,22 @@ def length_filtered_reads(spark, sf_dir):
 
 def eligible_reads(spark, sf_dir):
     reads = view(spark, sf_dir, "fx_seq")
-    reads = reads.select(
+    kept = qc.eligible_reads(
+        reads,
+        "source",
+        F.length("seq"),
+        st.mean_quality("qual"),
+        1000,
+        3300,
+        8,
+        16,
+        quality_as="mean_quality",
+    )
+    return kept.select(
         "doc_id",
         "source",
         F.length("seq").alias("length"),
-        F.round(st.mean_quality("qual"), 6).alias("mean_quality"),
-    )
-    return qc.eligible_reads(
-        reads, "source", "length", "mean_quality", 1000, 3300, 8, 16
+        F.round("mean_quality", 6).alias("mean_quality"),
     )
 
 
@@ -173,9 +181,9 @@ ORACLES = {
     "length_filtered_reads": f"with {_KEPT} select * from kept",
     "eligible_reads": f"""with {_PER_READ.replace('select source,', 'select doc_id, source,')},
       ok as (select doc_id, source, cast(len as integer) as length,
-        round(-10*log10(err/len),6) as mean_quality from per_read where len>0),
+        round(-10*log10(err/len),6) as mean_quality, -10*log10(err/len) as mq from per_read where len>0),
       passed as (select *, count(*) over (partition by source) as n from ok
-        where length between 1000 and 3300 and mean_quality>=8)
+        where length between 1000 and 3300 and mq>=8)
       select doc_id, source, length, mean_quality from passed where n>=16""",
     "sequence_stats": f"""with {_PER_READ}, ranked as (select *,
       sum(len) over (partition by source) as total,

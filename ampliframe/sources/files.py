@@ -34,18 +34,17 @@ def list_files(spark: SparkSession, root: str | list[str], glob: str | None = No
 def list_directories(files: DataFrame, path: str = "path") -> DataFrame:
     """Every directory holding a file at any depth, as `dir`.
 
-    A path has few ancestors, so this is a narrow explode; duplicates of a hot directory are
-    removed before the shuffle.
+    Files are first reduced to their own directories, map-side, so a folder with much of the
+    listing is expanded to its few ancestors only once per task.
     """
-    parts = F.split(F.col(path), "/")
-    depth = F.size(parts)
-    ancestors = F.transform(
-        F.when(depth > 1, F.sequence(F.lit(1), depth - 1)).otherwise(
-            F.array().cast("array<int>")
-        ),
-        lambda k: F.array_join(F.slice(parts, 1, k), "/"),
+    own = (
+        files.filter(F.col(path).contains("/")).select(dir_name(path).alias("dir")).distinct()
     )
-    return files.select(F.explode(ancestors).alias("dir")).filter("dir <> ''").distinct()
+    ancestors = F.expr(
+        "transform(sequence(1, length(dir) - length(replace(dir, '/', '')) + 1), "
+        "k -> substring_index(dir, '/', k))"
+    )
+    return own.select(F.explode(ancestors).alias("dir")).filter("dir <> ''").distinct()
 
 
 def _open(path: str):

@@ -110,10 +110,23 @@ def fastq_text(records):
 
 
 @pytest.mark.parametrize("split", [1, 37, 500, 1 << 20])
-def test_fastq_ranges_lose_and_repeat_nothing(spark, work, split):
+def test_fastq_ranges_lose_and_repeat_nothing(work, split):
     records = reads(random.Random(split), 60)
     path = put(f"{work}/fq/a.fastq", fastq_text(records))
-    got = fastq.scan_fastq(spark, path, split).orderBy("record_offset").collect()
+    reader = fastq._FastqReader({"path": path, "splitBytes": str(split)})
+    got = [
+        row
+        for part in reader.partitions()
+        for batch in reader.read(part)
+        for row in zip(*(batch.column(i).to_pylist() for i in (2, 3, 4)))
+    ]
+    assert got == records
+
+
+def test_fastq_scan_in_spark(spark, work):
+    records = reads(random.Random(9), 60)
+    path = put(f"{work}/fq/a.fastq", fastq_text(records))
+    got = fastq.scan_fastq(spark, path, 2000).orderBy("record_offset").collect()
     assert [(r["name"], r["seq"], r["qual"]) for r in got] == records
 
 
