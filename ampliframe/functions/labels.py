@@ -53,7 +53,9 @@ def base_name(path: Column | str) -> Column:
 
 
 def dir_name(path: Column | str) -> Column:
-    return F.regexp_replace(_col(path), r"/[^/]*$", "")
+    """Path up to its last slash, empty without one. Plain string functions, no regex."""
+    path = _col(path)
+    return F.substring(path, F.lit(1), F.length(path) - F.length(base_name(path)) - 1)
 
 
 def is_fastq_path(path: Column | str) -> Column:

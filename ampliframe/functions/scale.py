@@ -4,11 +4,24 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 #: rows a lookup may have to be sent to every executor
 LOOKUP_ROWS = 10_000
+#: input splits whose row counts may be sent to every executor
+SLICE_ROWS = 200_000
+
+
+def local_table(spark: SparkSession, rows: Sequence[Sequence], schema: StructType) -> DataFrame:
+    """Rows held by the driver as a local relation, whose exact size the planner knows."""
+    columns = list(zip(*rows)) or [[] for _ in schema.fields]
+    arrow = to_arrow_schema(schema)
+    arrays = [pa.array(list(c), f.type) for c, f in zip(columns, arrow)]
+    return spark.createDataFrame(pa.Table.from_arrays(arrays, schema=arrow), schema)
 
 
 def small_or_none(df: DataFrame, max_rows: int = LOOKUP_ROWS) -> DataFrame | None:
@@ -20,7 +33,7 @@ def small_or_none(df: DataFrame, max_rows: int = LOOKUP_ROWS) -> DataFrame | Non
     rows = df.limit(max_rows + 1).collect()
     if len(rows) > max_rows:
         return None
-    return df.sparkSession.createDataFrame(rows, df.schema)
+    return local_table(df.sparkSession, rows, df.schema)
 
 
 def join_lookup(
@@ -40,11 +53,41 @@ def join_lookup(
 def spread(df: DataFrame) -> DataFrame:
     """Deal rows evenly over all tasks before work that costs far more per byte than a shuffle.
 
-    Rows are placed by their hash, which retries repeat exactly. The fixed task count keeps
-    adaptive execution from merging tasks that are small in bytes only.
+    Rows are dealt in turn, so equal rows do not meet in one task; Spark sorts them first, which
+    makes a retry deal them the same way. The fixed task count keeps adaptive execution from
+    merging tasks that are small in bytes only.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
+def number_in_slices(
+    df: DataFrame, group: Sequence[str], slice_col: str, index_col: str, name: str
+) -> DataFrame:
+    """Add a dense 1-based row number per group, given each row's place in an ordered slice.
+
+    `index_col` counts up by one within a slice of the group. Only the small table of slices is
+    aggregated; the rows themselves are neither sorted nor, while that table is small, shuffled.
     """
-    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartition(tasks, F.xxhash64(*df.columns))
+    before = Window.partitionBy(*group).orderBy(slice_col).rowsBetween(
+        Window.unboundedPreceding, -1
+    )
+    slices = (
+        df.groupBy(*group, slice_col)
+        .agg(F.count(F.lit(1)).alias("__rows"), F.min(index_col).alias("__first"))
+        .select(
+            *group,
+            slice_col,
+            "__first",
+            F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__before"),
+        )
+    )
+    joined = join_lookup(df, slices, [*group, slice_col], "left", SLICE_ROWS)
+    number = F.col("__before") + F.col(index_col) - F.col("__first") + 1
+    changed = F.raise_error(F.lit("the input was split differently while its rows were counted"))
+    return joined.withColumn(
+        name,
+        F.when(F.col("__before").isNull(), changed.cast("bigint")).otherwise(number),
+    ).drop("__before", "__first")
 
 
 def running_totals(

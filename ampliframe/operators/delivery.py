@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ampliframe.contracts import require_columns
 from ampliframe.functions.labels import base_name, dir_name
+from ampliframe.functions.scale import local_table
 from ampliframe.operators.layout import flag_present
 from ampliframe.sources.files import list_directories
 
@@ -168,10 +170,8 @@ def deliverable_inventory(
 
 
 def roles_table(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(
-        [(*r, i) for i, r in enumerate(DELIVERY_ROLES)],
-        "role string, label string, place string, role_no int",
-    )
+    fields = [T.StructField(name, T.StringType()) for name in ("role", "label", "place")]
+    return local_table(spark, DELIVERY_ROLES, T.StructType(fields))
 
 
 def evidence_problems(evidence: DataFrame, files: DataFrame) -> DataFrame:

@@ -6,11 +6,15 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ampliframe.contracts import integer_argument, number_argument, require_columns
-from ampliframe.functions.scale import join_lookup
+from ampliframe.functions.scale import join_lookup, local_table
 
 BINS = 30
+_LEVELS = T.StructType(
+    [T.StructField("sample", T.StringType()), T.StructField("level_no", T.IntegerType())]
+)
 
 
 def declared_levels(
@@ -28,9 +32,8 @@ def declared_levels(
 
 def levels_table(spark: SparkSession, labels: Sequence[str]) -> DataFrame:
     """Levels as (sample, level_no); as large as the list the caller passed."""
-    return spark.createDataFrame(
-        [(label, i) for i, label in enumerate(labels, 1)], "sample string, level_no int"
-    )
+    rows = [(label, i) for i, label in enumerate(labels, 1)]
+    return local_table(spark, rows, _LEVELS)
 
 
 def observed_levels(df: DataFrame, sample: str, order: Sequence[str]) -> DataFrame:

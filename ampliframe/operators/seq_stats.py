@@ -173,33 +173,56 @@ def fasta_index(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
 
     Raises while running if a record's lines differ in length before its last one.
     """
-    text = scan_fasta_text(spark, paths)
+    body = F.regexp_replace("body", r"[\r\n]+$", "")
+    lines = scan_fasta_text(spark, paths).select(
+        "file",
+        "file_block",
+        "row_in_block",
+        F.regexp_extract("name", r"^(\S*)", 1).alias("name"),
+        (F.octet_length("record") + 2).alias("record_bytes"),
+        (F.octet_length("header") + 2).alias("header_bytes"),
+        F.length(F.regexp_replace(body, r"[\r\n]", "")).alias("length"),
+        F.when(F.col("body").contains("\r\n"), 2).otherwise(1).alias("line_end"),
+        F.transform(
+            F.split(body, "\n"), lambda s: F.length(F.regexp_replace(s, "\r$", ""))
+        ).alias("widths"),
+    )
+    # only numbers and the name go through the shuffle of the running totals
+    first = F.get("widths", F.lit(0))
+    shape = F.array_distinct(F.slice("widths", F.lit(1), F.greatest(F.size("widths") - 1, F.lit(1))))
+    slim = lines.select(
+        "file",
+        "file_block",
+        "row_in_block",
+        "name",
+        "record_bytes",
+        "header_bytes",
+        "length",
+        "line_end",
+        first.alias("line_bases"),
+        ((F.size(shape) <= 1) & (F.element_at("widths", -1) <= first)).alias("even"),
+    )
     numbered = running_totals(
-        text,
+        slim,
         group=["file"],
         chunk=[F.col("file_block")],
         order=F.col("row_in_block"),
-        totals={
-            "record_no": F.lit(1),
-            "start": F.octet_length("record") + 2,
-        },
+        totals={"record_no": F.lit(1), "start": F.col("record_bytes")},
     )
-    lines = F.split(F.regexp_replace("body", r"[\r\n]+$", ""), "\n")
-    widths = F.transform(lines, lambda s: F.length(F.regexp_replace(s, "\r$", "")))
-    first = F.get(widths, F.lit(0))
-    head = F.when(F.size(widths) > 1, F.slice(widths, 1, F.size(widths) - 1)).otherwise(widths)
-    even = F.forall(head, lambda w: w == first) & (F.element_at(widths, -1) <= first)
-    carriage = F.when(F.get(lines, F.lit(0)).endswith("\r"), 2).otherwise(1)
-    length = F.aggregate(widths, F.lit(0).cast("bigint"), lambda a, w: a + w)
     complaint = F.raise_error(F.concat(F.lit("uneven line lengths in record "), F.col("name")))
     return numbered.select(
         "file",
         (F.col("record_no") + 1).cast("bigint").alias("record_no"),
-        F.regexp_extract("name", r"^(\S*)", 1).alias("name"),
-        F.when(even, length).otherwise(complaint.cast("bigint")).alias("length"),
-        (F.col("start") + 1 + F.octet_length("header") + 1).cast("bigint").alias("offset"),
-        first.cast("bigint").alias("line_bases"),
-        F.when(first > 0, first + carriage).otherwise(0).cast("bigint").alias("line_bytes"),
+        "name",
+        F.when(F.col("even"), F.col("length").cast("bigint"))
+        .otherwise(complaint.cast("bigint"))
+        .alias("length"),
+        (F.col("start") + F.col("header_bytes")).cast("bigint").alias("offset"),
+        F.col("line_bases").cast("bigint").alias("line_bases"),
+        F.when(F.col("line_bases") > 0, F.col("line_bases") + F.col("line_end"))
+        .otherwise(0)
+        .cast("bigint")
+        .alias("line_bytes"),
     )
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -29,7 +30,28 @@ def local_session(cores: str | int = "*", app: str = "ampliframe", **conf: str)
     }
     for key, value in settings.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    return ship_package(builder.getOrCreate())
+
+
+def ship_package(spark: SparkSession) -> SparkSession:
+    """Make this package importable in the Python workers of a session, once.
+
+    Not needed where it is installed on the executors or given with --py-files.
+    """
+    context = spark.sparkContext
+    name = "ampliframe_shipped.zip"
+    if any(os.path.basename(f) == name for f in context._python_includes):
+        return spark
+    package = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="spark-"), name)
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+        for folder, _, files in os.walk(package):
+            for file in files:
+                if file.endswith(".py"):
+                    path = os.path.join(folder, file)
+                    out.write(path, os.path.relpath(path, os.path.dirname(package)))
+    context.addPyFile(archive)
+    return spark
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:

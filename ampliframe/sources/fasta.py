@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ampliframe.contracts import integer_argument, require_columns
 from ampliframe.functions.labels import is_blank
-from ampliframe.functions.scale import join_lookup, running_totals
+from ampliframe.functions.scale import join_lookup, number_in_slices
 
 
 def scan_fasta_text(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
@@ -26,12 +26,18 @@ def scan_fasta_text(spark: SparkSession, paths: str | Sequence[str]) -> DataFram
         .select(
             F.col("_metadata.file_path").alias("file"),
             F.col("_metadata.file_block_start").alias("file_block"),
-            F.monotonically_increasing_id().alias("row_in_block"),
             F.regexp_replace("value", "^>", "").alias("record"),
         )
         .filter(F.col("record").rlike(r"\S"))
     )
-    with_header = raw.withColumn("header", F.substring_index("record", "\n", 1))
+    # numbered after the filter, so that the records of a block count up without holes
+    with_header = raw.select(
+        "file",
+        "file_block",
+        F.monotonically_increasing_id().alias("row_in_block"),
+        "record",
+        F.substring_index("record", "\n", 1).alias("header"),
+    )
     return with_header.select(
         "*",
         F.regexp_replace("header", "\r$", "").alias("name"),
@@ -53,17 +59,9 @@ def scan_fasta(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
 def number_records(df: DataFrame) -> DataFrame:
     """Replace the scan's order columns by a dense 1-based `record_no` per file."""
     require_columns(df, ["file", "file_block", "row_in_block"], "the scan")
-    numbered = running_totals(
-        df,
-        group=["file"],
-        chunk=[F.col("file_block")],
-        order=F.col("row_in_block"),
-        totals={"record_no": F.lit(1)},
-    )
+    numbered = number_in_slices(df, ["file"], "file_block", "row_in_block", "record_no")
     rest = [c for c in df.columns if c not in ("file", "file_block", "row_in_block")]
-    return numbered.select(
-        "file", (F.col("record_no") + 1).cast("bigint").alias("record_no"), *rest
-    )
+    return numbered.select("file", F.col("record_no").cast("bigint").alias("record_no"), *rest)
 
 
 def read_fasta(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:

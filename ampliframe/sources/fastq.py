@@ -12,12 +12,17 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from ampliframe.contracts import integer_argument, require_columns
 from ampliframe.functions.labels import FASTQ_SUFFIXES
-from ampliframe.functions.scale import join_lookup, running_totals
+from ampliframe.functions.scale import join_lookup, number_in_slices
 
-SCHEMA = "file string, record_offset bigint, name string, seq string, qual string"
+SCHEMA = (
+    "file string, range_start bigint, row_in_range bigint, record_offset bigint, "
+    "name string, seq string, qual string"
+)
 _ARROW_SCHEMA = pa.schema(
     [
         ("file", pa.string()),
+        ("range_start", pa.int64()),
+        ("row_in_range", pa.int64()),
         ("record_offset", pa.int64()),
         ("name", pa.string()),
         ("seq", pa.string()),
@@ -165,7 +170,7 @@ class _FastqReader(DataSourceReader):
         if partition.end is None:
             with filesystem.open_input_stream(inner, compression=None) as raw:
                 lines = _lines(_Inflated(raw), 0)
-                yield from _batches(partition.path, _records(partition.path, lines, None))
+                yield from _batches(partition, _records(partition.path, lines, None))
             return
         with filesystem.open_input_file(inner) as raw:
             start = max(partition.start - 1, 0)
@@ -174,20 +179,20 @@ class _FastqReader(DataSourceReader):
             if partition.start > 0:
                 next(lines, None)  # the tail of a line that began in the previous range
                 lines = _resync(lines)
-            yield from _batches(
-                partition.path, _records(partition.path, lines, partition.end)
-            )
+            yield from _batches(partition, _records(partition.path, lines, partition.end))
 
 
-def _batches(path: str, records) -> Iterator[pa.RecordBatch]:
+def _batches(partition: _Range, records) -> Iterator[pa.RecordBatch]:
     rows: list[tuple] = []
-    held = 0
+    held = done = 0
 
     def batch():
         offsets, names, seqs, quals = zip(*rows)
         return pa.RecordBatch.from_arrays(
             [
-                pa.array([path] * len(rows), pa.string()),
+                pa.array([partition.path] * len(rows), pa.string()),
+                pa.array([partition.start] * len(rows), pa.int64()),
+                pa.array(range(done, done + len(rows)), pa.int64()),
                 pa.array(offsets, pa.int64()),
                 pa.array([n.decode() for n in names], pa.string()),
                 pa.array([s.decode("ascii") for s in seqs], pa.string()),
@@ -201,6 +206,7 @@ def _batches(path: str, records) -> Iterator[pa.RecordBatch]:
         held += 2 * len(record[2]) + 64
         if held >= _BATCH_BYTES:
             yield batch()
+            done += len(rows)
             rows, held = [], 0
     if rows:
         yield batch()
@@ -223,9 +229,11 @@ class FastqDataSource(DataSource):
 def scan_fastq(
     spark: SparkSession, paths: str | Sequence[str], split_bytes: int = 64 << 20
 ) -> DataFrame:
-    """Records of FASTQ files or folders: file, record_offset, name, seq, qual.
+    """Records of FASTQ files or folders: file, range_start, row_in_range, record_offset, name,
+    seq, qual.
 
-    `record_offset` is the (uncompressed) byte position of the record and orders a file.
+    `record_offset` is the (uncompressed) byte position of the record and orders a file; the
+    range columns tell which task's part of the file a record came from.
     """
     split_bytes = integer_argument(split_bytes, "split_bytes", 1)
     spark.dataSource.register(FastqDataSource)
@@ -237,16 +245,10 @@ def read_fastq(
     spark: SparkSession, paths: str | Sequence[str], split_bytes: int = 64 << 20
 ) -> DataFrame:
     """Like `scan_fastq` with a dense 1-based `record_no` per file instead of the offset."""
-    df = scan_fastq(spark, paths, split_bytes)
-    numbered = running_totals(
-        df,
-        group=["file"],
-        chunk=[F.floor(F.col("record_offset") / split_bytes)],
-        order=F.col("record_offset"),
-        totals={"record_no": F.lit(1)},
-    )
+    df = scan_fastq(spark, paths, split_bytes).drop("record_offset")
+    numbered = number_in_slices(df, ["file"], "range_start", "row_in_range", "record_no")
     return numbered.select(
-        "file", (F.col("record_no") + 1).cast("bigint").alias("record_no"), "name", "seq", "qual"
+        "file", F.col("record_no").cast("bigint").alias("record_no"), "name", "seq", "qual"
     )
 
 

@@ -1,4 +1,7 @@
+import random
+
 import pytest
+from plain import plain_best
 
 from ampliframe.operators import alignment as al
 from ampliframe.operators import consensus as cons
@@ -91,9 +94,7 @@ def test_no_pairs_and_bad_sets(rows):
         "seq1", "seq2", "aligned_seq1", "aligned_seq2",
     ]
     with pytest.raises(ValueError, match="at least one"):
-        cons.compare_consensus(sset(rows).limit(0), sset(rows, ("B", "ACGT"))) if False else (
-            cons.check_consensus_set(sset(rows, ("a", "A")).limit(0), "consensus1")
-        )
+        cons.check_consensus_set(sset(rows, ("a", "A")).limit(0), "consensus1")
     with pytest.raises(ValueError, match="non-empty names"):
         cons.compare_consensus(sset(rows, ("", "ACGT")), sset(rows, ("B", "ACGT")))
     with pytest.raises(ValueError, match="type"):
@@ -106,3 +107,33 @@ def test_local_comparison(rows):
         scoring=al.simple_scoring(),
     ).first()
     assert got["distance"] == 0 and got["aligned_seq1"] == got["aligned_seq2"]
+
+
+def test_whole_sets_equal_a_plain_loop(rows):
+    rng = random.Random(29)
+    one, two = [], []
+    for i in range(60):
+        a = "".join(rng.choice("ACGT") for _ in range(rng.randrange(1, 50)))
+        b = list(a)
+        for _ in range(rng.randrange(4)):
+            p = rng.randrange(len(b) + 1)
+            b[p : p + rng.randrange(2)] = rng.choice(["", "A", "GT"])
+        b = "".join(b) or "C"
+        turned = al.decode(al.complement(al.encode(b)))
+        one.append((f"n{i}", a))
+        two.append((f"n{i}", turned if i % 2 else b))
+    got = {r["seq1_name"]: r for r in cons.compare_consensus(sset(rows, *one), sset(rows, *two)).collect()}
+    assert len(got) == 60
+    fast = cons.consensus_distances(cons.pairs_by_name(sset(rows, *one), sset(rows, *two)))
+    assert {r["seq1_name"]: r["distance"] for r in fast.collect()} == {
+        n: r["distance"] for n, r in got.items()
+    }
+    for (name, a), (_, b) in zip(one, two):
+        x, y = al.encode(a), al.encode(b)
+        forward = -plain_best(x, y, al.DEFAULT_SCORING, "global")[1]
+        backward = -plain_best(x, al.complement(y), al.DEFAULT_SCORING, "global")[1]
+        row = got[name]
+        assert row["distance"] == min(forward, backward)
+        assert (row["seq2_orientation"] == "reverse_complement") == (backward < forward)
+        shown = zip(row["aligned_seq1"], row["aligned_seq2"])
+        assert sum(u != v for u, v in shown) == row["distance"]

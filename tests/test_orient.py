@@ -1,8 +1,10 @@
 import random
 
 import pytest
+from plain import plain_best
 
 from ampliframe.functions.dna import complement_text
+from ampliframe.operators import alignment as al
 from ampliframe.operators import orient
 
 REFERENCE = "ATGCGTACCAAAGGGTTTCCCA"
@@ -81,3 +83,39 @@ def test_stack_keeps_every_read(rows):
     plain = orient.orient_reads(target, reads(rows, ("p", reference[20:60])))
     row = orient.read_stack(target, plain).filter("row_no = 1").first()["aligned_seq"]
     assert row == "-" * 20 + reference[20:60] + "-" * 20
+
+
+def test_scores_equal_a_plain_loop(rows):
+    rng = random.Random(31)
+    reference = "".join(rng.choice("ACGT") for _ in range(30))
+    records = [
+        (f"r{i}", "".join(rng.choice("ACGTN" if i % 5 == 0 else "ACGT") for _ in range(rng.randrange(1, 60))))
+        for i in range(40)
+    ]
+    target = orient.one_reference(ref(rows, ("ref", reference)))
+    for scores in ((2, -3, 5, 2), (1.5, -1, 2, 0.5)):
+        got = orient.orient_reads(target, reads(rows, *records), *scores)
+        by_name = {r["sample"]: r for r in got.collect()}
+        scoring = al.simple_scoring(*scores)
+        for name, seq in records:
+            x, y = al.encode(seq), al.encode(reference)
+            forward = plain_best(x, y, scoring, "local")[0]
+            backward = plain_best(al.complement(x), y, scoring, "local")[0]
+            row = by_name[name]
+            assert abs(row["forward_score"] - forward) < 1e-6
+            assert abs(row["reverse_score"] - backward) < 1e-6
+            assert (row["direction"] == "reverse_complement") == (backward > forward + 1e-9)
+
+
+def test_long_reads_are_scored_whole():
+    rng = random.Random(37)
+    reference = al.encode("".join(rng.choice("ACGT") for _ in range(60)))
+    long = "".join(rng.choice("ACGT") for _ in range(9000))
+    hidden = long[:5111] + al.decode(reference) + long[5111:]
+    scores = al.optimal_scores(
+        [al.encode(long), al.encode(hidden)], [reference] * 2, al.simple_scoring(), "local"
+    )
+    assert scores[1] == 120 and scores[0] < 120
+    coded = al._coded_for(al.simple_scoring(), 10_000, False, True)
+    whole = al._best_cells(al._Rows([reference], [al.encode(long)], coded, "local"))[0][0]
+    assert whole / coded.scale == scores[0]

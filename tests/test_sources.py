@@ -118,7 +118,7 @@ def test_fastq_ranges_lose_and_repeat_nothing(work, split):
         row
         for part in reader.partitions()
         for batch in reader.read(part)
-        for row in zip(*(batch.column(i).to_pylist() for i in (2, 3, 4)))
+        for row in zip(*(batch.column(i).to_pylist() for i in (4, 5, 6)))
     ]
     assert got == records
 
