@@ -59,11 +59,11 @@ def pairs_by_name(set1: DataFrame, set2: DataFrame) -> DataFrame:
     )
 
 
-def pairs_by_map(set1: DataFrame, set2: DataFrame, sample_map: DataFrame) -> DataFrame:
-    """Pairs listed in a map, repeats kept; entries naming unknown sequences are dropped.
+def map_entries(sample_map: DataFrame) -> DataFrame:
+    """Complete entries of a pair map: seq1_name, seq2_name, pair_no.
 
     The columns seq1_name and seq2_name are used if both exist, else the first two. A `pair_no`
-    column of the map is kept.
+    column of the map is kept to tell its order.
     """
     columns = sample_map.columns
     if len(columns) < 2:
@@ -71,20 +71,36 @@ def pairs_by_map(set1: DataFrame, set2: DataFrame, sample_map: DataFrame) -> Dat
     named = {"seq1_name", "seq2_name"} <= set(columns)
     left, right = ("seq1_name", "seq2_name") if named else columns[:2]
     pair_no = F.col("pair_no") if "pair_no" in columns else F.lit(None)
-    wanted = sample_map.select(
+    return sample_map.select(
         F.col(left).cast("string").alias("seq1_name"),
         F.col(right).cast("string").alias("seq2_name"),
         pair_no.cast("bigint").alias("pair_no"),
     ).filter(~is_blank("seq1_name") & ~is_blank("seq2_name"))
+
+
+def pairs_by_map(set1: DataFrame, set2: DataFrame, sample_map: DataFrame) -> DataFrame:
+    """Distinct pairs listed in a map whose sequences both exist: names and sequences."""
+    wanted = map_entries(sample_map).select("seq1_name", "seq2_name").distinct()
     one = first_per_name(set1).select(F.col("name").alias("seq1_name"), F.col("seq").alias("seq1"))
     two = first_per_name(set2).select(F.col("name").alias("seq2_name"), F.col("seq").alias("seq2"))
     return (
         wanted.join(one, "seq1_name")
         .join(two, "seq2_name")
-        .select("seq1_name", "seq2_name", "seq1", "seq2", "pair_no")
+        .select("seq1_name", "seq2_name", "seq1", "seq2")
     )
 
 
+def _repeated_as_mapped(
+    results: DataFrame, sample_map: DataFrame | None, keep_order: bool
+) -> DataFrame:
+    """Results of distinct pairs, once per entry of the map. Each pair is aligned only once."""
+    if sample_map is None:
+        return results
+    columns = [*results.columns, *(["pair_no"] if keep_order else [])]
+    entries = map_entries(sample_map)
+    return entries.join(results, ["seq1_name", "seq2_name"]).select(*columns)
+
+
 def _distinct_codes(seq1: pa.Array, seq2: pa.Array):
     """Encoded distinct pairs of a batch and the row each input row maps to."""
     rows: dict[tuple[str, str], int] = {}
@@ -168,13 +184,14 @@ def _kind(kind: str) -> str:
     return kind
 
 
-def consensus_distances(
+def pair_distances(
     pairs: DataFrame, type: str = "global", scoring: al.Scoring = al.DEFAULT_SCORING
 ) -> DataFrame:
     """Distance and orientation per pair, without a traceback."""
     align = _align_udf(scoring, _kind(type), False, False)
     done = spread(pairs).withColumn("__a", align("seq1", "seq2"))
     return done.select(
+        *_order(pairs),
         "seq1_name",
         "seq2_name",
         F.col("__a.n_diff").alias("distance"),
@@ -184,10 +201,30 @@ def consensus_distances(
     )
 
 
-def _pairs(set1: DataFrame, set2: DataFrame, sample_map: DataFrame | None) -> DataFrame:
-    if sample_map is None:
-        return pairs_by_name(set1, set2)
-    return pairs_by_map(set1, set2, sample_map)
+def _order(pairs: DataFrame) -> list[str]:
+    return ["pair_no"] if "pair_no" in pairs.columns else []
+
+
+def _pairs(
+    set1: DataFrame, set2: DataFrame, sample_map: DataFrame | None, keep_order: bool
+) -> DataFrame:
+    if sample_map is not None:
+        return pairs_by_map(set1, set2, sample_map)
+    pairs = pairs_by_name(set1, set2)
+    return pairs if keep_order else pairs.drop("pair_no")
+
+
+def consensus_distances(
+    set1: DataFrame,
+    set2: DataFrame,
+    sample_map: DataFrame | None = None,
+    type: str = "global",
+    scoring: al.Scoring = al.DEFAULT_SCORING,
+    keep_order: bool = False,
+) -> DataFrame:
+    """`compare_consensus` without sequences and alignments, which saves the traceback."""
+    results = pair_distances(_pairs(set1, set2, sample_map, keep_order), type, scoring)
+    return _repeated_as_mapped(results, sample_map, keep_order)
 
 
 def compare_consensus(
@@ -197,18 +234,21 @@ def compare_consensus(
     type: str = "global",
     scoring: al.Scoring = al.DEFAULT_SCORING,
     check: bool = True,
+    keep_order: bool = False,
 ) -> DataFrame:
     """One row per pair: names, distance, lengths, orientation, original and aligned sequences.
 
     Pairs share a name, or come from `sample_map`. `check=False` skips the pass that verifies
-    names, for sets known to have them.
+    names, for sets known to have them. `keep_order` adds `pair_no`, the place of the pair in the
+    first set or in the map.
     """
     if check:
         check_consensus_set(set1, "consensus1")
         check_consensus_set(set2, "consensus2")
     align = _align_udf(scoring, _kind(type), True, False)
-    done = spread(_pairs(set1, set2, sample_map)).withColumn("__a", align("seq1", "seq2"))
-    return done.select(
+    pairs = _pairs(set1, set2, sample_map, keep_order)
+    results = spread(pairs).withColumn("__a", align("seq1", "seq2")).select(
+        *_order(pairs),
         "seq1_name",
         "seq2_name",
         F.col("__a.n_diff").alias("distance"),
@@ -220,6 +260,7 @@ def compare_consensus(
         "__a.aligned_seq1",
         "__a.aligned_seq2",
     )
+    return _repeated_as_mapped(results, sample_map, keep_order)
 
 
 def sequence_differences(

@@ -87,12 +87,12 @@ VIEWS: dict[str, str] = {
         "select doc_id, translate(upper(regexp_replace(text,'[^A-Za-z \\t\\r\\n]',''<G>)),"
         f"'{_LETTERS}','{_AS_DNA.lower()}') as seq from documents"
     ),
-    # part sequences; every tenth name comes a second time, later and with another sequence
+    # part sequences; every name comes a second time, later and with another sequence
     "fx_cons1": (
         f"select concat('c',cast(p_partkey as <S>)) as name, p_partkey as record_no, "
         f"{_PART_SEQ} as seq from part union all "
         f"select concat('c',cast(p_partkey as <S>)) as name, p_partkey+1000000000 as record_no, "
-        f"reverse({_PART_SEQ}) as seq from part where p_partkey % 10 = 1"
+        f"reverse({_PART_SEQ}) as seq from part"
     ),
     "fx_cons2": (
         f"select {_moved_name('p_partkey')} as name, p_partkey as record_no, "
@@ -103,8 +103,7 @@ VIEWS: dict[str, str] = {
     "fx_map": (
         "select concat('c',cast(l_partkey as <S>)) as seq1_name, "
         "concat('c',cast(case when l_suppkey % 3=0 then l_partkey+1000000000 else l_partkey end "
-        "as <S>)) as seq2_name, l_orderkey*10+l_linenumber as pair_no from lineitem "
-        "where l_returnflag='R'"
+        "as <S>)) as seq2_name, l_orderkey*10+l_linenumber as pair_no from lineitem"
     ),
     # texts without a letter have no sequence to compare
     "fx_bases": (
@@ -150,12 +149,13 @@ VIEWS: dict[str, str] = {
     "fx_layout_files": (
         "select concat('/data/fastq/barcode',lpad(cast(l_suppkey % 89+1 as <S>),2,'0'),'/r',"
         "cast(l_orderkey as <S>),'.fastq.gz') as path from lineitem union all "
-        "select concat('/data/fastq/',"
-        + safe_part("Project")
+        "select concat(case when p_partkey % 17=0 then '/data/fastq/' else '/data/elsewhere/' "
+        "end,"
+        + safe_part("coalesce(Project,'none')")
         + ",'_',"
         + safe_part("Expected_Amplicon_Size_bp")
         + ",'/barcode',lpad(cast(p_partkey % 96+1 as <S>),2,'0'),'/r.fastq.gz') as path "
-        "from fx_sample_info where p_partkey % 17=0 and Project is not null"
+        "from fx_sample_info"
     ),
     "fx_runs": (
         "select concat('/runs/run',cast(c_custkey as <S>)) as result_dir, "
@@ -186,17 +186,18 @@ VIEWS: dict[str, str] = {
         "as source from lineitem"
     ),
     "fx_evidence_files": (
-        "select concat('/in/P',cast(l_orderkey as <S>),'/file',cast(l_linenumber as <S>),'.dat') "
+        "select concat(case when l_suppkey % 31=0 then '/lost/P' else '/in/P' end,"
+        "cast(l_orderkey as <S>),'/file',cast(l_linenumber as <S>),'.dat') "
         "as path, cast(case when l_partkey % 50=0 then 0 else floor(l_extendedprice) end as "
-        "bigint) as size from lineitem where l_suppkey % 31<>0"
+        "bigint) as size from lineitem"
     ),
     "fx_index_files": (
         "select concat('/ref/g',cast(o_orderkey as <S>),'.fasta') as path from orders union all "
-        "select concat('/ref/g',cast(o_orderkey as <S>),'.fasta.fai') as path from orders "
-        "where o_custkey % 3<>0 union all "
+        "select concat('/ref/g',cast(o_orderkey as <S>),case when o_custkey % 3=0 then "
+        "'.fasta.old' else '.fasta.fai' end) as path from orders union all "
         "select concat('/aln/a',cast(o_orderkey as <S>),'.bam') as path from orders union all "
-        "select concat('/aln/a',cast(o_orderkey as <S>),case when o_custkey % 2=0 then '.bam.bai' "
-        "else '.bai' end) as path from orders where o_custkey % 5<>0"
+        "select concat('/aln/a',cast(o_orderkey as <S>),case when o_custkey % 5=0 then '.csi' "
+        "when o_custkey % 2=0 then '.bam.bai' else '.bai' end) as path from orders"
     ),
     "fx_demux_files": (
         "select concat('/demux/kit',cast(l_suppkey % 7 as <S>),'/run',cast(l_orderkey % 50 as "

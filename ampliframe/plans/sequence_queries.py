@@ -115,7 +115,7 @@ def consensus_pairs(spark, sf_dir):
 
 
 def consensus_distance(spark, sf_dir):
-    return cons.consensus_distances(cons.pairs_by_name(*_sets(spark, sf_dir)))
+    return cons.consensus_distances(*_sets(spark, sf_dir))
 
 
 def consensus_compare(spark, sf_dir):
@@ -141,8 +141,8 @@ def consensus_compare(spark, sf_dir):
 
 
 def consensus_map_compare(spark, sf_dir):
-    pairs = cons.pairs_by_map(*_sets(spark, sf_dir), view(spark, sf_dir, "fx_map"))
-    return cons.consensus_distances(pairs)
+    entries = view(spark, sf_dir, "fx_map")
+    return cons.consensus_distances(*_sets(spark, sf_dir), entries, keep_order=True)
 
 
 def sequence_differences(spark, sf_dir):
@@ -159,7 +159,7 @@ def difference_rows(spark, sf_dir):
 
 
 def document_distance(spark, sf_dir):
-    return cons.consensus_distances(cons.pairs_by_name(*_sets(spark, sf_dir, "doc")))
+    return cons.consensus_distances(*_sets(spark, sf_dir, "doc"))
 
 
 def document_compare(spark, sf_dir):
@@ -431,7 +431,7 @@ ORACLES = {
         _DISTANCE_COLUMNS
         + ", seq1, seq2, true as seq1_kept, true as seq2_kept from answer",
     ),
-    "consensus_map_compare": _distance_sql(_MAPPED, _DISTANCE_COLUMNS + " from answer"),
+    "consensus_map_compare": _distance_sql(_MAPPED, _DISTANCE_COLUMNS + ", pair_no from answer"),
     "sequence_differences": _distance_sql(
         _PAIRED,
         "select seq1_name, seq2_orientation as orientation, case when seq2_orientation="

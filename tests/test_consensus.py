@@ -70,8 +70,14 @@ def test_sample_map(rows):
         assert [(r["seq1_name"], r["seq2_name"]) for r in got] == [("A", "X"), ("B", "Y")]
         assert got[0]["distance"] == 0
         assert got[1]["distance"] == 0 and got[1]["seq2_orientation"] == "reverse_complement"
-    repeats = rows([("A", "X")] * 3, "seq1_name string, seq2_name string")
-    assert cons.compare_consensus(one, two, repeats).count() == 3
+    repeats = rows(
+        [("A", "X", 3), ("B", "X", 1), ("A", "X", 2)],
+        "seq1_name string, seq2_name string, pair_no int",
+    )
+    got = cons.compare_consensus(one, two, repeats, keep_order=True).orderBy("pair_no").collect()
+    assert [(r["pair_no"], r["seq1_name"]) for r in got] == [(1, "B"), (2, "A"), (3, "A")]
+    named = cons.consensus_distances(one, sset(rows, ("B", "A"), ("A", "A")), keep_order=True)
+    assert [r["seq1_name"] for r in named.orderBy("pair_no").collect()] == ["A", "B"]
     with pytest.raises(ValueError, match="sampleMap"):
         cons.compare_consensus(one, two, rows([("A",)], "A string"))
 
@@ -124,7 +130,7 @@ def test_whole_sets_equal_a_plain_loop(rows):
         two.append((f"n{i}", turned if i % 2 else b))
     got = {r["seq1_name"]: r for r in cons.compare_consensus(sset(rows, *one), sset(rows, *two)).collect()}
     assert len(got) == 60
-    fast = cons.consensus_distances(cons.pairs_by_name(sset(rows, *one), sset(rows, *two)))
+    fast = cons.consensus_distances(sset(rows, *one), sset(rows, *two))
     assert {r["seq1_name"]: r["distance"] for r in fast.collect()} == {
         n: r["distance"] for n, r in got.items()
     }
