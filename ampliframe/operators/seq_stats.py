@@ -90,21 +90,41 @@ def length_table(
     )
     measures = [F.count(F.lit(1)).alias("n"), *[F.sum(n).alias(n) for n in sums]]
     lengths = base.groupBy(*keys, "len").agg(*measures).withColumn("is_total", F.lit(0))
-    if not with_total:
-        return lengths
-    over_all = lengths.groupBy("len").agg(*[F.sum(n).alias(n) for n in ["n", *sums]])
-    nothing = {f.name: f.dataType for f in lengths.schema}
+    return with_total_rows(lengths, keys) if with_total else lengths
+
+
+def _measures(lengths: DataFrame, keys: Sequence[str]) -> list[str]:
+    return [c for c in lengths.columns if c not in {*keys, "len", "is_total"}]
+
+
+def with_total_rows(lengths: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Length table with the rows over all keys added."""
+    measures = _measures(lengths, keys)
+    over_all = lengths.groupBy("len").agg(*[F.sum(m).alias(m) for m in measures])
+    kinds = {f.name: f.dataType for f in lengths.schema}
     return lengths.unionByName(
         over_all.select(
-            *[F.lit(None).cast(nothing[k]).alias(k) for k in keys],
+            *[F.lit(None).cast(kinds[k]).alias(k) for k in keys],
             "len",
-            "n",
-            *sums,
+            *measures,
             F.lit(1).alias("is_total"),
         )
     )
 
 
+def merge_lengths(
+    lengths: DataFrame, keys: Sequence[str], with_total: bool = False
+) -> DataFrame:
+    """Length table brought to fewer keys, for example from files to samples."""
+    known = [c for c in ("n", "gc", "gap", "q20", "q30", "error") if c in lengths.columns]
+    merged = (
+        lengths.groupBy(*keys, "len")
+        .agg(*[F.sum(m).alias(m) for m in known])
+        .withColumn("is_total", F.lit(0))
+    )
+    return with_total_rows(merged, keys) if with_total else merged
+
+
 def stats_of_lengths(lengths: DataFrame, keys: Sequence[str], has_quality: bool) -> DataFrame:
     """Statistics per key from a length table, which is as small as the distinct lengths."""
     keys = [*keys, "is_total"]

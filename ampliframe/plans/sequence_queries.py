@@ -10,8 +10,8 @@ from ampliframe.functions.dna import (
     complement_text,
     first_exact_hit,
     first_hit_declarative,
-    reverse_complement,
 )
+from ampliframe.functions.dna import reverse_complement as rc_of
 from ampliframe.functions.labels import name_or_numbered
 from ampliframe.operators import consensus as cons
 from ampliframe.operators import orient
@@ -22,10 +22,8 @@ from ampliframe.sources.fasta import name_all_or_number
 KEYS = ["Project", "Expected_Amplicon_Size_bp"]
 
 
-def reverse_complements(spark, sf_dir):
-    return view(spark, sf_dir, "fx_seq").select(
-        "doc_id", reverse_complement("seq").alias("rc_seq")
-    )
+def reverse_complement(spark, sf_dir):
+    return view(spark, sf_dir, "fx_seq").select("doc_id", rc_of("seq").alias("rc_seq"))
 
 
 def cleaned_sequences(spark, sf_dir):
@@ -134,7 +132,7 @@ def consensus_compare(spark, sf_dir):
         (
             ungapped("aligned_seq2")
             == F.when(F.col("seq2_orientation") == "forward", F.col("seq2")).otherwise(
-                reverse_complement("seq2")
+                rc_of("seq2")
             )
         ).alias("seq2_kept"),
     )
@@ -194,7 +192,7 @@ def read_stack(spark, sf_dir):
 QUERIES = {
     f.__name__: f
     for f in (
-        reverse_complements,
+        reverse_complement,
         cleaned_sequences,
         default_names,
         file_default_names,
@@ -380,7 +378,7 @@ _STRANDS = f"""with recursive
 """
 
 ORACLES = {
-    "reverse_complements": f"select doc_id, {_rc_sql('seq')} as rc_seq from fx_seq",
+    "reverse_complement": f"select doc_id, {_rc_sql('seq')} as rc_seq from fx_seq",
     "cleaned_sequences": (
         "select doc_id, upper(regexp_replace(seq,'\\s+','','g')) as seq from fx_raw_seq"
     ),
