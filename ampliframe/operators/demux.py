@@ -19,23 +19,17 @@ def _bam_pass_roots(folders: DataFrame) -> DataFrame:
 
     Splitting at the part's own text keeps the work in plain string functions.
     """
-    places = F.expr(
-        "transform(sequence(1, size(split(dir || '/', '/bam_pass(?=/)')) - 1), k -> k)"
+    # the pieces are a column of their own, so that each path is split once
+    cut = (
+        folders.filter(F.concat("dir", F.lit("/")).contains("/bam_pass/"))
+        .select("dir", F.split(F.concat("dir", F.lit("/")), "/bam_pass(?=/)").alias("pieces"))
+        .select("dir", "pieces", F.explode(F.sequence(F.lit(1), F.size("pieces") - 1)).alias("k"))
     )
-    cut = folders.filter(F.concat("dir", F.lit("/")).contains("/bam_pass/")).select(
-        "dir", F.explode(places).alias("k")
-    )
-    pieces = F.split(F.concat("dir", F.lit("/")), "/bam_pass(?=/)")
+    below = F.slice("pieces", F.col("k") + 1, F.size("pieces") - F.col("k"))
     return cut.select(
         "dir",
-        F.array_join(F.slice(pieces, F.lit(1), F.col("k")), "/bam_pass").alias("run_dir"),
-        F.regexp_replace(
-            F.array_join(
-                F.slice(pieces, F.col("k") + 1, F.size(pieces) - F.col("k")), "/bam_pass"
-            ),
-            "^/+|/+$",
-            "",
-        ).alias("rel_path"),
+        F.array_join(F.slice("pieces", F.lit(1), F.col("k")), "/bam_pass").alias("run_dir"),
+        F.trim(F.array_join(below, "/bam_pass"), F.lit("/")).alias("rel_path"),
     )
 
 

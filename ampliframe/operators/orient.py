@@ -17,7 +17,7 @@ from ampliframe.operators import alignment as al
 from ampliframe.session import materialise
 
 #: longest reference that is handed to every task
-REFERENCE_BASES = 20_000_000
+REFERENCE_BASES = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -58,11 +58,12 @@ def _strand_udf(reference: str, scoring: al.Scoring):
     def strand_scores(seq: pa.Array) -> pa.Array:
         distinct = seq.dictionary_encode()
         codes = [al.encode(s) for s in distinct.dictionary.to_pylist()]
-        target = [al.encode(reference)] * len(codes)
-        forward = al.optimal_scores(codes, target, scoring, "local")
-        backward = al.optimal_scores([al.complement(c) for c in codes], target, scoring, "local")
+        both = codes + [al.complement(c) for c in codes]
+        target = [al.encode(reference)] * len(both)
+        score = al.optimal_scores(both, target, scoring, "local")
         scores = pa.StructArray.from_arrays(
-            [pa.array(forward), pa.array(backward)], names=["forward_score", "reverse_score"]
+            [pa.array(score[: len(codes)]), pa.array(score[len(codes) :])],
+            names=["forward_score", "reverse_score"],
         )
         return scores.take(distinct.indices)
 
