@@ -5,8 +5,28 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# File name endings that mark a FASTQ file.
+# File name endings that mark a FASTQ file, and those a sample name loses in turn.
 FASTQ_SUFFIXES = (".fastq", ".fq", ".fastq.gz", ".fq.gz")
+SAMPLE_ENDINGS = (".gz", ".fastq", ".fq")
+
+# The column whose labels come from a kit, and the number at a kit label's end.
+KIT_COLUMN = "Barcode_ID"
+KIT_NUMBER = r".+-([0-9]+$)"
+
+# White space cut from both ends of a text.
+OUTER_SPACE = r"^[ \t\r\n]+|[ \t\r\n]+$"
+
+# Replacements, in order, that make a text fit for one path component.
+SAFE_PATH_STEPS = (
+    (r"\s+", "_"),
+    (r"[/\\:]+", "_"),
+    (r"[^A-Za-z0-9_.-]+", "_"),
+    (r"_+", "_"),
+    (r"^_|_$", ""),
+)
+
+# Runs of these characters become one underscore in output labels.
+UNSAFE_IN_LABEL = r"[^A-Za-z0-9_.-]+"
 
 
 def _col(c: Column | str) -> Column:
@@ -18,22 +38,25 @@ def is_blank(c: Column | str) -> Column:
     return c.isNull() | (c == "")
 
 
+def trimmed(c: Column | str) -> Column:
+    """Text without white space at its ends."""
+    return F.regexp_replace(_col(c).cast("string"), OUTER_SPACE, "")
+
+
 def barcode_label(column: str) -> Column:
     """Barcode folder name; only a column called Barcode_ID holds kit labels such as NB-07."""
     text = F.col(column).cast("string")
-    if column != "Barcode_ID":
+    if column != KIT_COLUMN:
         return text
-    return F.concat(F.lit("barcode"), F.regexp_replace(text, r".+-([0-9]+$)", "$1"))
+    return F.concat(F.lit("barcode"), F.regexp_replace(text, KIT_NUMBER, "$1"))
 
 
 def safe_path_part(c: Column | str) -> Column:
     """Text made fit for one path component."""
-    text = F.regexp_replace(_col(c).cast("string"), r"^[ \t\r\n]+|[ \t\r\n]+$", "")
-    text = F.regexp_replace(text, r"\s+", "_")
-    text = F.regexp_replace(text, r"[/\\:]+", "_")
-    text = F.regexp_replace(text, r"[^A-Za-z0-9_.-]+", "_")
-    text = F.regexp_replace(text, r"_+", "_")
-    return F.regexp_replace(text, r"^_|_$", "")
+    text = trimmed(c)
+    for pattern, new in SAFE_PATH_STEPS:
+        text = F.regexp_replace(text, pattern, new)
+    return text
 
 
 def group_key(size: Column | str, project: Column | str | None = None) -> Column:
@@ -45,7 +68,7 @@ def group_key(size: Column | str, project: Column | str | None = None) -> Column
 
 def safe_output_label(c: Column | str) -> Column:
     """File label: each run of unsafe characters becomes one underscore."""
-    return F.regexp_replace(_col(c), r"[^A-Za-z0-9_.-]+", "_")
+    return F.regexp_replace(_col(c), UNSAFE_IN_LABEL, "_")
 
 
 def base_name(path: Column | str) -> Column:
@@ -66,8 +89,9 @@ def is_fastq_path(path: Column | str) -> Column:
 def fastq_sample_name(path: Column | str) -> Column:
     """File name without .gz, then without .fastq, then without .fq."""
     name = base_name(path)
-    for ending in (r"\.gz$", r"\.fastq$", r"\.fq$"):
-        name = F.regexp_replace(name, ending, "")
+    for ending in SAMPLE_ENDINGS:
+        shorter = F.substring(name, F.lit(1), F.length(name) - len(ending))
+        name = F.when(F.endswith(name, F.lit(ending)), shorter).otherwise(name)
     return name
 
 

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from ampliframe.contracts import require_columns, text_argument
 from ampliframe.functions.labels import base_name, dir_name, fastq_sample_name, is_fastq_path
 
+# In a read-group line, the DS field up to the next two-letter tag and, in it, the
+# first basecall_model entry.
 _MODEL = (
     r"\sDS:(?:(?!basecall_model=)\S*"
     r"(?:\s+(?![A-Za-z][A-Za-z0-9]:)(?!basecall_model=)\S+)*\s+)?basecall_model=(\S+)"

@@ -11,7 +11,13 @@ from pyspark.sql import types as T
 from ampliframe.contracts import integer_argument, number_argument, require_columns
 from ampliframe.functions.scale import join_lookup, local_table
 
+# Bins of a length histogram, default thresholds of an amplicon run.
 BINS = 30
+MIN_READ_LENGTH = 2000
+MAX_READ_LENGTH = 3300
+MIN_READ_QUALITY = 10
+MIN_READS_PER_BARCODE = 40
+
 _LEVELS = T.StructType(
     [T.StructField("sample", T.StringType()), T.StructField("level_no", T.IntegerType())]
 )
@@ -199,10 +205,10 @@ def eligible_reads(
     barcode: str,
     length: Column | str,
     quality: Column | str,
-    min_read_length: int = 2000,
-    max_read_length: int = 3300,
-    min_read_qual: float = 10,
-    min_n_reads: int = 40,
+    min_read_length: int = MIN_READ_LENGTH,
+    max_read_length: int = MAX_READ_LENGTH,
+    min_read_qual: float = MIN_READ_QUALITY,
+    min_n_reads: int = MIN_READS_PER_BARCODE,
     quality_as: str | None = None,
 ) -> DataFrame:
     """Reads passing length and mean quality, of barcodes keeping at least `min_n_reads` of them.

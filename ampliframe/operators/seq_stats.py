@@ -209,7 +209,8 @@ def fasta_index(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     )
     # only numbers and the name go through the shuffle of the running totals
     first = F.get("widths", F.lit(0))
-    shape = F.array_distinct(F.slice("widths", F.lit(1), F.greatest(F.size("widths") - 1, F.lit(1))))
+    all_but_last = F.greatest(F.size("widths") - 1, F.lit(1))
+    shape = F.array_distinct(F.slice("widths", F.lit(1), all_but_last))
     slim = lines.select(
         "file",
         "file_block",

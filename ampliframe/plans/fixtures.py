@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ampliframe.functions.labels import OUTER_SPACE, SAFE_PATH_STEPS
+
 F_PRIMER = "AGAGTTTGATCMTGGCTCAG"
 R_PRIMER = "TACGGYTACCTTGTTACGACTT"
 
@@ -31,14 +33,8 @@ def _letters(column: str) -> str:
 
 def safe_part(expression: str) -> str:
     """SQL of the path-safe key; backslashes are doubled for Spark by `view_sql`."""
-    text = f"regexp_replace({expression},'^[ \\t\\r\\n]+|[ \\t\\r\\n]+$',''<G>)"
-    for pattern, new in (
-        ("\\s+", "_"),
-        ("[/\\\\:]+", "_"),
-        ("[^A-Za-z0-9_.-]+", "_"),
-        ("_+", "_"),
-        ("^_|_$", ""),
-    ):
+    text = f"regexp_replace({expression},'{OUTER_SPACE}',''<G>)"
+    for pattern, new in SAFE_PATH_STEPS:
         text = f"regexp_replace({text},'{pattern}','{new}'<G>)"
     return text
 

@@ -181,7 +181,8 @@ ORACLES = {
     "length_filtered_reads": f"with {_KEPT} select * from kept",
     "eligible_reads": f"""with {_PER_READ.replace('select source,', 'select doc_id, source,')},
       ok as (select doc_id, source, cast(len as integer) as length,
-        round(-10*log10(err/len),6) as mean_quality, -10*log10(err/len) as mq from per_read where len>0),
+        round(-10*log10(err/len),6) as mean_quality,
+        -10*log10(err/len) as mq from per_read where len>0),
       passed as (select *, count(*) over (partition by source) as n from ok
         where length between 1000 and 3300 and mq>=8)
       select doc_id, source, length, mean_quality from passed where n>=16""",

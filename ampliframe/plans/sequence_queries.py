@@ -391,7 +391,8 @@ ORACLES = {
     + _PAIR_ROWS.format("", "and Expected_Amplicon_Size_bp='1600bp'")
     + " select * from pairs",
     "primer_pairs_by_group": f"with {_BY_GROUP} select * from grouped",
-    "primer_hits": f"with {_HITS} select doc_id, f_start, rc_r_start, r_start, rc_f_start from hits",
+    "primer_hits": f"""with {_HITS}
+      select doc_id, f_start, rc_r_start, r_start, rc_f_start from hits""",
     "primer_hits_declarative": (
         f"select record_no, {_hit_sql('m', 'ACGTMNCA', 2)} as \"start\" from "
         f"(select *, {_MASKS} as m from fx_reads)"
@@ -429,7 +430,9 @@ ORACLES = {
         _DISTANCE_COLUMNS
         + ", seq1, seq2, true as seq1_kept, true as seq2_kept from answer",
     ),
-    "consensus_map_compare": _distance_sql(_MAPPED, _DISTANCE_COLUMNS + ", pair_no from answer"),
+    "consensus_map_compare": _distance_sql(
+        _MAPPED, _DISTANCE_COLUMNS + ", pair_no from answer"
+    ),
     "sequence_differences": _distance_sql(
         _PAIRED,
         "select seq1_name, seq2_orientation as orientation, case when seq2_orientation="
