@@ -81,15 +81,18 @@ def length_table(
     keys = list(keys)
     require_columns(df, [*keys, seq, *([qual] if qual else [])], "the sequence set")
     sums = {"gc": _without(F.col(seq), "GCgc"), "gap": _without(F.col(seq), "- .")}
-    base = df.filter(F.col(seq).isNotNull())
+    base = df
     if qual:
         base = base.withColumn("__q", quality_sums(F.col(qual)))
         sums |= {c: F.col(f"__q.{c}") for c in ("q20", "q30", "error")}
     base = base.select(
         *keys, F.length(seq).cast("bigint").alias("len"), *[v.alias(n) for n, v in sums.items()]
     )
-    measures = [F.count(F.lit(1)).alias("n"), *[F.sum(n).alias(n) for n in sums]]
-    lengths = base.groupBy(*keys, "len").agg(*measures).withColumn("is_total", F.lit(0))
+    # missing sequences are left out by their count: a filter on the sequence itself would have
+    # it worked out a second time further down
+    measures = [F.count("len").alias("n"), *[F.sum(n).alias(n) for n in sums]]
+    lengths = base.groupBy(*keys, "len").agg(*measures).filter("n > 0")
+    lengths = lengths.withColumn("is_total", F.lit(0))
     return with_total_rows(lengths, keys) if with_total else lengths
 
 

@@ -189,6 +189,20 @@ def read_stack(spark, sf_dir):
     return orient.read_stack(target, oriented)
 
 
+def read_stack_invariants(spark, sf_dir):
+    """Every row of the stack without its gaps, and whether all rows are equally wide."""
+    stack = read_stack(spark, sf_dir)
+    width = F.length("aligned_seq")
+    widths = stack.agg(F.min(width).alias("least"), F.max(width).alias("most"))
+    return stack.crossJoin(F.broadcast(widths)).select(
+        "ref_name",
+        "row_no",
+        "name",
+        F.regexp_replace("aligned_seq", "-", "").alias("kept_seq"),
+        (F.col("least") == F.col("most")).alias("same_width"),
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -217,6 +231,7 @@ QUERIES = {
         oriented_reads,
         document_orientation,
         read_stack,
+        read_stack_invariants,
     )
 }
 
@@ -445,6 +460,11 @@ ORACLES = {
       'forward' end as direction, forward_score, reverse_score,
       greatest(forward_score,reverse_score) as selected_score,
       abs(forward_score-reverse_score) as score_delta from scored""",
+    "read_stack_invariants": _STRANDS
+    + f"""select 'reference' as ref_name, cast(record_no as bigint) as row_no, sample as name,
+      case when reverse_score>forward_score then {_rc_sql('seq')} else seq end as kept_seq,
+      true as same_width from scored
+      union all select 'reference', 0, 'reference', seq, true from fx_reference""",
     "oriented_reads": _STRANDS
     + f"""select sample, case when reverse_score>forward_score then {_rc_sql('seq')} else seq end
       as oriented_seq from scored""",
