@@ -223,12 +223,18 @@ def eligible_reads(
     if min_read_length > max_read_length:
         raise ValueError("min_read_length must not exceed max_read_length")
     require_columns(reads, [barcode], "the read set")
-    as_column = lambda c: F.col(c) if isinstance(c, str) else c
-    kept = [F.col(c) for c in reads.columns]
-    # lengths are cheap: only reads of the right length have their quality worked out
+    if isinstance(length, str):
+        fits = F.col(length).between(min_read_length, max_read_length)
+    else:
+        # one comparison, so that a computed length is worked out only once
+        middle = min_read_length + max_read_length
+        fits = F.abs(2 * length - middle) <= max_read_length - min_read_length
+    if isinstance(quality, str):
+        quality = F.col(quality)
+    # only reads of the right length have their quality worked out
     passed = (
-        reads.filter(as_column(length).between(min_read_length, max_read_length))
-        .select(*kept, as_column(quality).alias("__quality"))
+        reads.filter(fits)
+        .select(*[F.col(c) for c in reads.columns], quality.alias("__quality"))
         .filter(F.col("__quality") >= min_read_qual)
     )
     enough = (

@@ -131,6 +131,10 @@ def test_eligible_reads_counts_after_the_filters(rows):
     df = rows(data, "barcode string, length int, q double")
     kept = qc.eligible_reads(df, "barcode", "length", "q", 50, 200, 10, 3)
     assert [r["barcode"] for r in kept.collect()] == ["b1"] * 3
+    for low, high in ((50, 200), (100, 100), (9, 99), (101, 300)):
+        named = qc.eligible_reads(df, "barcode", "length", "q", low, high, 10, 1)
+        computed = qc.eligible_reads(df, "barcode", F.col("length") + 0, F.col("q"), low, high, 10, 1)
+        assert sorted(map(str, named.collect())) == sorted(map(str, computed.collect()))
     with pytest.raises(ValueError):
         qc.eligible_reads(df, "barcode", "length", "q", 50, 20)
 
