@@ -169,7 +169,7 @@ VIEWS: dict[str, str] = {
         "when 4 then concat(run,'/execution/trace.txt') "
         "when 5 then concat('/trim/run',k,'/barcode',bc,'/Distribution_seqLength__sup__barcode',"
         "bc,'.png') when 6 then concat('/maps/run',k,'.tsv') "
-        "else concat(run,'/wf-amplicon-report.html') end as path from (select "
+        "else concat(run,'/workflow-report.html') end as path from (select "
         "o_orderkey % 8 as kind, concat('/runs/run',cast(o_custkey as <S>)) as run, "
         "cast(o_custkey as <S>) as k, case o_orderkey % 3 when 0 then '01' when 1 then '02' "
         "else '57' end as bc from orders) as t"
