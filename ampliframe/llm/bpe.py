@@ -87,7 +87,7 @@ class BytePairVocabulary:
             self._parts.setdefault(ids[a + b], (ids[a], ids[b], rank))
         self._lefts = [self._edge(t, 1) for t in range(size)]
         self._rights = [self._edge(t, 0) for t in range(size)]
-        self._compatible: dict[int, bool] = WordCache(self._may_follow, 500_000)
+        self._compatible: dict[int, bool] = WordCache(self._may_follow, 300_000)
         self._pattern = piece_pattern()
         self._added = (
             regex.compile("|".join(regex.escape(t) for t in sorted(self.added, key=len)[::-1]))

@@ -84,7 +84,7 @@ class WordCache(dict):
     changes no value.
     """
 
-    def __init__(self, make: Callable, limit: int = 300_000):
+    def __init__(self, make: Callable, limit: int = 200_000):
         super().__init__()
         self._make, self._limit, self._before = make, limit, {}
 

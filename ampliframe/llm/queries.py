@@ -6,9 +6,9 @@ from functools import wraps
 
 from pyspark.sql import functions as F
 
-from ampliframe.llm import bpe
+from ampliframe.llm import bpe, language_id, line_dedup, mixing, quality_classifier, quality_rules
 from ampliframe.llm.common import table
-from ampliframe.session import ship_package
+from ampliframe.session import materialise, ship_package
 
 
 def tokenizer_path(name: str) -> str:
@@ -18,6 +18,12 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op3_line_dedup(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    done = line_dedup.dedup_lines(docs, min_docs=10)
+    return done.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op4_bpe_round_trip(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     coded = bpe.encode_decode(docs, tokenizer_path("byte_bpe_50k.json"))
@@ -29,6 +35,40 @@ def op4_bpe_round_trip(spark, sf_dir):
     )
 
 
+def op6_tokenizer_fertility(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    measured = quality_rules.measure(
+        docs, tokenizer_path("piece_bpe_32k.model"), tokenizer_path("byte_bpe_50k.tiktoken")
+    )
+    # numbers only, so that texts are tokenized once
+    return quality_rules.judge(materialise(measured.drop("text"))).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "kept", "lang", "script", *quality_rules.FERTILITY, "byte_share",
+        "entropy_share",
+    )
+
+
+def op7_quality_classifier(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = quality_classifier.classify(docs, table(spark, sf_dir, "labels"), threshold=0.3)
+    return scored.select("doc_id", "held_out", "score", "predicted")
+
+
+def op8_language_id(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = quality_classifier.held_out(F.col("doc_id"))
+    model = language_id.fit(docs, allowed=~held_out)
+    found = language_id.identify(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+def op9_source_mix(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    sized = materialise(docs.select("doc_id", "source", mixing.word_count("text").alias("words")))
+    mixed = mixing.mix(sized, size=F.col("words"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
 def _shipped(query):
     """The query, after making the package importable in the session's workers."""
 
@@ -42,7 +82,12 @@ def _shipped(query):
 QUERIES = {
     f.__name__: _shipped(f)
     for f in (
+        op3_line_dedup,
         op4_bpe_round_trip,
+        op6_tokenizer_fertility,
+        op7_quality_classifier,
+        op8_language_id,
+        op9_source_mix,
     )
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op3_line_dedup": line_dedup.oracle(10)}
