@@ -6,7 +6,9 @@ from functools import wraps
 
 from pyspark.sql import functions as F
 
-from ampliframe.llm import bpe, language_id, line_dedup, mixing, quality_classifier, quality_rules
+from ampliframe.llm import (
+    bpe, language_id, line_dedup, mixing, quality_classifier, quality_rules, simhash,
+)
 from ampliframe.llm.common import table
 from ampliframe.session import materialise, ship_package
 
@@ -18,6 +20,10 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op2_simhash_components(spark, sf_dir):
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"), bits=4)
+
+
 def op3_line_dedup(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     done = line_dedup.dedup_lines(docs, min_docs=10)
@@ -82,6 +88,7 @@ def _shipped(query):
 QUERIES = {
     f.__name__: _shipped(f)
     for f in (
+        op2_simhash_components,
         op3_line_dedup,
         op4_bpe_round_trip,
         op6_tokenizer_fertility,
