@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ampliframe.llm import (
     bpe, language_id, line_dedup, mixing, quality_classifier, quality_rules, simhash,
+    topk,
 )
 from ampliframe.llm.common import table
 from ampliframe.session import materialise, ship_package
@@ -41,6 +42,11 @@ def op4_bpe_round_trip(spark, sf_dir):
     )
 
 
+def op5_exact_top_k(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings")
+    return topk.top_k(vectors, F.col("vec_id") % 50 == 0, k=5)
+
+
 def op6_tokenizer_fertility(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     measured = quality_rules.measure(
@@ -91,10 +97,11 @@ QUERIES = {
         op2_simhash_components,
         op3_line_dedup,
         op4_bpe_round_trip,
+        op5_exact_top_k,
         op6_tokenizer_fertility,
         op7_quality_classifier,
         op8_language_id,
         op9_source_mix,
     )
 }
-ORACLES: dict[str, str] = {"op3_line_dedup": line_dedup.oracle(10)}
+ORACLES: dict[str, str] = {"op3_line_dedup": line_dedup.oracle(10), "op5_exact_top_k": topk.oracle(50, 5)}
