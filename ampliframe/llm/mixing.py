@@ -39,7 +39,7 @@ BLOCK_WORDS = 2048
 FEWEST_BLOCKS = 256
 SHARDS = 8
 #: documents of a source that are put in order within one task
-CHUNK_ROWS = 20_000
+CHUNK_ROWS = 4_000
 
 
 @dataclass(frozen=True)

@@ -7,7 +7,7 @@ from functools import wraps
 from pyspark.sql import functions as F
 
 from ampliframe.llm import (
-    bpe, language_id, line_dedup, mixing, quality_classifier, quality_rules, simhash,
+    bpe, language_id, line_dedup, mixing, passages, quality_classifier, quality_rules, simhash,
     topk,
 )
 from ampliframe.llm.common import table
@@ -81,6 +81,11 @@ def op9_source_mix(spark, sf_dir):
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op10_recurring_passages(spark, sf_dir):
+    found = passages.recurring_passages(table(spark, sf_dir, "documents"))
+    return passages.passage_classes(found)
+
+
 def _shipped(query):
     """The query, after making the package importable in the session's workers."""
 
@@ -102,6 +107,7 @@ QUERIES = {
         op7_quality_classifier,
         op8_language_id,
         op9_source_mix,
+        op10_recurring_passages,
     )
 }
 ORACLES: dict[str, str] = {"op3_line_dedup": line_dedup.oracle(10), "op5_exact_top_k": topk.oracle(50, 5)}
