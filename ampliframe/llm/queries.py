@@ -7,8 +7,8 @@ from functools import wraps
 from pyspark.sql import functions as F
 
 from ampliframe.llm import (
-    bpe, language_id, line_dedup, mixing, passages, quality_classifier, quality_rules, simhash,
-    topk,
+    bpe, language_id, line_dedup, mixing, passages, quality_classifier, quality_rules, revisits,
+    simhash, topk,
 )
 from ampliframe.llm.common import table
 from ampliframe.session import materialise, ship_package
@@ -21,6 +21,14 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_resolve_revisits(spark, sf_dir):
+    found = revisits.resolve(revisits.captures(table(spark, sf_dir, "pages")))
+    lines = F.transform(
+        F.array_sort(F.map_entries("headers")), lambda e: F.concat(e["key"], F.lit(": "), e["value"])
+    )
+    return found.withColumn("headers", F.array_join(lines, "\n"))
+
+
 def op2_simhash_components(spark, sf_dir):
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), bits=4)
 
@@ -99,6 +107,7 @@ def _shipped(query):
 QUERIES = {
     f.__name__: _shipped(f)
     for f in (
+        op1_resolve_revisits,
         op2_simhash_components,
         op3_line_dedup,
         op4_bpe_round_trip,
@@ -110,4 +119,4 @@ QUERIES = {
         op10_recurring_passages,
     )
 }
-ORACLES: dict[str, str] = {"op3_line_dedup": line_dedup.oracle(10), "op5_exact_top_k": topk.oracle(50, 5)}
+ORACLES: dict[str, str] = {"op1_resolve_revisits": revisits.oracle(), "op3_line_dedup": line_dedup.oracle(10), "op5_exact_top_k": topk.oracle(50, 5)}
