@@ -18,7 +18,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ampliframe.llm.common import SPACES, ascii_lower, without
+from ampliframe.llm.common import SPACES, ascii_lower
 from ampliframe.session import ensure_checkpoint_dir
 
 HASH = ["h1", "h2"]
@@ -112,7 +112,7 @@ def drop_lines(
 
     Only numbers of lines are joined; a text is moved once, to meet the numbers of its own lines.
     """
-    names = ["n_lines", "n_dropped", "kept_text"]
+    kept = [c for c in docs.columns if c.lower() not in ("n_lines", "n_dropped", "kept_text")]
     row = {
         "__id": F.col(f"`{doc_id}`"),
         "__size": F.coalesce(F.length(text), F.lit(-1)),
@@ -128,13 +128,15 @@ def drop_lines(
     # the numbers of dropped lines are the small side, a hash table of which needs no sorting
     dropped = dropped.select(*[F.col(n).alias(f"{n}_r") for n in row], "__dropped")
     same = [F.col(n).eqNullSafe(F.col(f"{n}_r")) for n in row]
-    joined = docs.withColumns(row).join(dropped.hint("shuffle_hash"), same, "left")
-    whole = F.coalesce(F.col(text), F.lit(""))
-    all_lines = lines_of(F.col(text))
+    rows = docs.select(F.struct("*").alias("__row"), *[c.alias(n) for n, c in row.items()])
+    joined = rows.join(dropped.hint("shuffle_hash"), same, "left")
+    own_text = F.col("__row").getField(text)
+    whole = F.coalesce(own_text, F.lit(""))
+    all_lines = lines_of(own_text)
     kept_places = F.array_except(F.sequence(F.lit(0), F.size(all_lines) - 1), "__dropped")
     rest = F.array_join(F.transform(kept_places, lambda i: F.get(all_lines, i)), "\n")
     return joined.select(
-        *without(docs, names),
+        *[F.col("__row").getField(c).alias(c) for c in kept],
         F.size(all_lines).cast("long").alias("n_lines"),
         F.coalesce(F.size("__dropped"), F.lit(0)).cast("long").alias("n_dropped"),
         F.when(F.col("__dropped").isNull(), whole).otherwise(rest).alias("kept_text"),

@@ -153,7 +153,7 @@ def mix(
     names = ["size", "source_size", "target", "taken", "stretches"]
     kept = without(docs, names)
     base = docs.select(
-        *kept,
+        F.struct(*kept).alias("__row"),
         F.col(f"`{source}`").alias("__source"),
         F.struct(
             F.xxhash64(F.lit(seed), F.col(f"`{doc_id}`")).alias("h"), F.col(f"`{doc_id}`").alias("id")
@@ -213,7 +213,7 @@ def mix(
     taken = F.aggregate(
         "stretches", F.lit(0).cast("long"), lambda sum_, x: sum_ + x["times"] * (x["end"] - x["start"])
     )
-    return cut.select(*kept, "size", "source_size", "target", taken.alias("taken"), "stretches")
+    return cut.select("__row.*", "size", "source_size", "target", taken.alias("taken"), "stretches")
 
 
 def mixed_texts(mixed: DataFrame, text: str = "text") -> DataFrame:

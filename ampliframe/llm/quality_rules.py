@@ -50,8 +50,8 @@ class Band:
 #: by language code or script name; a text's language is looked up first, then its script
 BANDS: Mapping[str, Band] = {
     "Latin": Band(1.6, 12.0, 0.05, 0.5),
-    "Greek": Band(0.8, 10.0, 0.5, 0.5),
-    "Cyrillic": Band(0.8, 10.0, 0.3, 0.5),
+    "Greek": Band(0.4, 10.0, 0.5, 0.5),
+    "Cyrillic": Band(0.4, 10.0, 0.3, 0.5),
     "Han": Band(0.3, 6.0, 0.7, 0.4),
     "other": Band(0.2, 12.0, 0.95, 0.4),
 }

@@ -1,0 +1,69 @@
+from pyspark.sql import functions as F
+
+from ampliframe.llm import revisits
+
+SCHEMA = (
+    "record_id long, url string, captured_at long, kind string, status int, etag string, "
+    "last_modified string, headers map<string,string>"
+)
+
+
+def test_canonical_urls(spark, rows):
+    cases = {
+        "HTTP://WWW.Example.com:80/a/?utm_source=x&b=2&a=1#frag": "example.com/a?a=1&b=2",
+        "https://user@example.com:443": "example.com",
+        "example.com//": "example.com",
+        "https://example.com:8080/A?ref=y": "example.com:8080/A",
+        "https://www2.example.com/?": "example.com",
+        " ": None, "": None, None: None,
+    }
+    df = rows([(u,) for u in cases], "url string")
+    got = df.select("url", revisits.canonical_url(F.col("url")).alias("c")).collect()
+    assert {r["url"]: r["c"] for r in got} == cases
+
+
+def test_resolution(spark, rows):
+    day = 86_400
+    full = {"Content-Type": "text/html", "Date": "1", "X": "old", "content-length": "9"}
+    new = {"date": "2", "Content-Type": "none", "x": None, "Y": "new"}
+    data = [
+        (1, "http://a.b/p", 100, "response", 200, '"t1"', "d1", full),
+        (2, "http://a.b/p/", 5 * day, "response", 200, '"t2"', None, None),
+        (3, "http://a.b/p", 6 * day, "response", 404, '"t3"', None, None),
+        (4, "https://www.a.b/p#x", 200, "revisit", 304, 'W/"t1"', None, new),
+        (5, "http://a.b/p", 100, "revisit", 304, '"t1"', None, new),
+        (6, "http://a.b/p", 9 * day, "revisit", 304, '"t1"', None, new),
+        (7, "http://a.b/p", 9 * day, "revisit", 304, None, "d9", None),
+        (8, "http://a.b/p", 300, "revisit", 304, None, "d1", None),
+        (9, None, 300, "revisit", 304, '"t1"', None, new),
+        (10, "http://a.b/p", None, "revisit", 304, '"t1"', None, new),
+        (11, "http://c.d/", 300, "revisit", 304, '"t1"', None, new),
+        (4, "https://www.a.b/p#x", 200, "revisit", 304, 'W/"t1"', None, new),
+        (12, "http://a.b/p", 100, "response", 200, '"t0"', "d0", full),
+        (None, "http://a.b/p", 150, "response", 200, '"t1"', "d1", full),
+    ]
+    df = rows(data, SCHEMA).selectExpr("*", "1 as bucket", "2 as tag", "3 as found")
+    got = sorted(
+        ((r["record_id"], r["outcome"], r["response_id"], r["headers"]) for r in revisits.resolve(df).collect()),
+        key=repr,
+    )
+    # of the two responses at 100 the one with the larger id counts
+    by_id = {g[0]: g[1:] for g in got}
+    assert len(got) == 9 and [g[0] for g in got].count(4) == 2
+    assert by_id[4] == ("validator_mismatch", 12, None)
+    assert by_id[5][0] == "no_response" and by_id[11][0] == "no_response"
+    assert by_id[6] == ("validator_mismatch", 2, None) and by_id[7][:2] == ("no_validator", 2)
+    assert by_id[9][0] == by_id[10][0] == "no_url"
+    one = revisits.resolve(df.filter("record_id <> 12")).filter("record_id = 4").first()
+    assert (one["outcome"], one["response_id"]) == ("resolved", 1)
+    assert one["headers"] == {
+        "content-type": "text/html", "date": "2", "x": "old", "y": "new", "content-length": "9"}
+    assert revisits.resolve(df.limit(0)).count() == 0
+
+
+def test_many_captures_of_one_address(spark, rows):
+    hour = 3600
+    data = [(i, "http://a.b/", i * hour * 5, "response", 200, f"t{i}", None, None) for i in range(60)]
+    data += [(1000 + i, "http://a.b/", i * hour + 1, "revisit", 304, f"t{i // 5}", None, None) for i in range(300)]
+    got = {r["record_id"]: (r["outcome"], r["response_id"]) for r in revisits.resolve(rows(data, SCHEMA)).collect()}
+    assert got == {1000 + i: ("resolved", i // 5) for i in range(300)}
