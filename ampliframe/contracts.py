@@ -6,7 +6,8 @@ import math
 from collections.abc import Iterable
 from numbers import Real
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 
 def require_columns(df: DataFrame, columns: Iterable[str], what: str) -> None:
@@ -16,6 +17,29 @@ def require_columns(df: DataFrame, columns: Iterable[str], what: str) -> None:
         raise ValueError(f"{what} is missing required column(s): {', '.join(missing)}")
 
 
+class ProblemRows(ValueError):
+    """Rows that a check refuses. `problems` is the whole table of them, to show or to write."""
+
+    def __init__(self, message: str, problems: DataFrame):
+        super().__init__(message)
+        self.problems = problems
+
+
+def refuse_rows(problems: DataFrame, what: str, shown: Column | str) -> None:
+    """Raise `ProblemRows` if there is any row; the message tells how many and the first.
+
+    All of them are counted; only one text reaches the driver.
+    """
+    told = F.col(shown) if isinstance(shown, str) else shown
+    seen = problems.agg(F.count(F.lit(1)).alias("n"), F.min(told).alias("first")).first()
+    if seen["n"]:
+        raise ProblemRows(
+            f"{what}: {seen['n']} row(s), the first is {seen['first']}; "
+            "the error's `problems` table holds all of them",
+            problems,
+        )
+
+
 def text_argument(value: object, name: str) -> str:
     if not isinstance(value, str) or value == "":
         raise ValueError(f"{name} must be one non-empty string")

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Iterable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType, DoubleType, FloatType
 
 # File name endings that mark a FASTQ file, and those a sample name loses in turn.
 FASTQ_SUFFIXES = (".fastq", ".fq", ".fastq.gz", ".fq.gz")
@@ -29,6 +32,10 @@ SAFE_PATH_STEPS = (
 UNSAFE_IN_LABEL = r"[^A-Za-z0-9_.-]+"
 
 
+#: types whose whole values Spark prints with a decimal point
+FRACTIONAL = (DoubleType, FloatType, DecimalType)
+
+
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -38,6 +45,39 @@ def is_blank(c: Column | str) -> Column:
     return c.isNull() | (c == "")
 
 
+def numbers_as_text(df: DataFrame, columns: Iterable[str]) -> DataFrame:
+    """`df` with fractional number columns as text; whole values lose their .0 (1600, not 1600.0).
+
+    A sheet's sizes become DOUBLE as soon as one value has a decimal; they still name the same
+    groups. Columns of other types are left as they are.
+    """
+    chosen = set(columns)
+    return df.select(
+        *[
+            number_text(df, c).alias(c)
+            if c in chosen and isinstance(df.schema[c].dataType, FRACTIONAL)
+            else F.col(f"`{c}`")
+            for c in df.columns
+        ]
+    )
+
+
+def number_text(df: DataFrame, name: str) -> Column:
+    """A column of `df` as text, whole numbers of a fractional type without .0."""
+    value = F.col(f"`{name}`")
+    text = value.cast("string")
+    if not isinstance(df.schema[name].dataType, FRACTIONAL):
+        return text
+    whole = (value == F.floor(value)) & (F.abs(value) < 1e15)
+    return F.when(whole, value.cast("bigint").cast("string")).otherwise(text)
+
+
+def plain_path(encoded: Column | str) -> Column:
+    """A path as listings spell it, from the encoded address of a file's metadata."""
+    decoded = F.url_decode(F.replace(_col(encoded), F.lit("+"), F.lit("%2B")))
+    return F.regexp_replace(decoded, "^file:/+", "/")
+
+
 def trimmed(c: Column | str) -> Column:
     """Text without white space at its ends."""
     return F.regexp_replace(_col(c).cast("string"), OUTER_SPACE, "")

@@ -51,13 +51,13 @@ def join_lookup(
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Deal rows evenly over all tasks before work that costs far more per byte than a shuffle.
+    """Deal rows evenly over tasks before work that costs far more per byte than a shuffle.
 
-    Rows are dealt in turn, so equal rows do not meet in one task; Spark sorts them first, which
-    makes a retry deal them the same way. The fixed task count keeps adaptive execution from
-    merging tasks that are small in bytes only.
+    Rows are dealt in turn, so equal rows do not meet in one task. How many tasks there are is left
+    to adaptive execution: it sizes them by the bytes that were really shuffled, down to the number
+    of cores for small inputs, and splits what is large.
     """
-    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return df.hint("rebalance")
 
 
 def number_in_slices(

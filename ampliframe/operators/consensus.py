@@ -41,9 +41,9 @@ def first_per_name(df: DataFrame) -> DataFrame:
     Repeats are combined before the shuffle, and the result is partitioned and sorted by name,
     which the pair join reuses.
     """
-    order = "record_no" if "record_no" in df.columns else "seq"
+    require_columns(df, ["record_no", "name", "seq"], "the consensus set")
     return df.groupBy("name").agg(
-        F.upper(F.min_by("seq", order)).alias("seq"), F.min(order).alias("__order")
+        F.upper(F.min_by("seq", "record_no")).alias("seq"), F.min("record_no").alias("__order")
     )
 
 
@@ -67,7 +67,7 @@ def map_entries(sample_map: DataFrame) -> DataFrame:
     """
     columns = sample_map.columns
     if len(columns) < 2:
-        raise ValueError("sampleMap must have at least two columns")
+        raise ValueError("the pair map needs at least two columns")
     named = {"seq1_name", "seq2_name"} <= set(columns)
     left, right = ("seq1_name", "seq2_name") if named else columns[:2]
     pair_no = F.col("pair_no") if "pair_no" in columns else F.lit(None)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ampliframe.contracts import require_columns
+from ampliframe.contracts import refuse_rows, require_columns
 from ampliframe.functions.labels import base_name, dir_name
 from ampliframe.functions.scale import local_table
 from ampliframe.operators.layout import flag_present
@@ -176,7 +176,8 @@ def roles_table(spark: SparkSession) -> DataFrame:
 
 def evidence_problems(evidence: DataFrame, files: DataFrame) -> DataFrame:
     """Supplied evidence whose file is missing or empty: project, role, source, problem."""
-    sizes = files.select(F.col("path").alias("source"), "size")
+    # a path that is listed twice has one size
+    sizes = files.groupBy(F.col("path").alias("source")).agg(F.max("size").alias("size"))
     return (
         evidence.join(sizes, "source", "left")
         .filter(F.col("size").isNull() | (F.col("size") <= 0))
@@ -223,13 +224,13 @@ def delivery_manifest(evidence: DataFrame) -> DataFrame:
 def checked_manifest(evidence: DataFrame, files: DataFrame) -> DataFrame:
     """`delivery_manifest` after refusing missing or empty evidence files and unknown roles."""
     known = [r[0] for r in DELIVERY_ROLES]
-    unknown = evidence.filter(~F.col("role").isin(known)).limit(1).collect()
-    if unknown:
-        raise ValueError(f"unknown evidence role: {unknown[0]['role']}")
-    bad = evidence_problems(evidence, files).limit(20).collect()
-    if bad:
-        told = ", ".join(f"{r['role']} {r['source']} is {r['problem']}" for r in bad)
-        raise ValueError(f"evidence files are not usable: {told}")
+    unknown = evidence.filter(~F.coalesce(F.col("role").isin(known), F.lit(False)))
+    refuse_rows(unknown, "unknown evidence role", F.coalesce("role", F.lit("(none)")))
+    refuse_rows(
+        evidence_problems(evidence, files),
+        "evidence files are not usable",
+        F.concat_ws(" ", "role", "source", F.lit("is"), "problem"),
+    )
     return delivery_manifest(evidence)
 
 
@@ -270,8 +271,4 @@ def duplicate_basenames(files: DataFrame) -> DataFrame:
 
 def require_unique_basenames(files: DataFrame) -> None:
     """Raise if two files to deliver share a name."""
-    repeated = duplicate_basenames(files).limit(20).collect()
-    if repeated:
-        raise ValueError(
-            "duplicate FASTQ basename(s): " + ", ".join(sorted(r["name"] for r in repeated))
-        )
+    refuse_rows(duplicate_basenames(files), "duplicate FASTQ basename(s)", "name")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ampliframe.contracts import require_columns, text_argument
+from ampliframe.contracts import refuse_rows, require_columns, text_argument
 from ampliframe.functions.labels import base_name, dir_name, fastq_sample_name, is_fastq_path
 
 # In a read-group line, the DS field up to the next two-letter tag and, in it, the
@@ -89,11 +89,6 @@ def basecall_models(header_lines: DataFrame) -> DataFrame:
 def require_models(header_lines: DataFrame) -> DataFrame:
     """`basecall_models`, refusing files that name none."""
     models = basecall_models(header_lines)
-    lacking = (
-        header_lines.select("file").distinct().join(models, "file", "left_anti").limit(20).collect()
-    )
-    if lacking:
-        raise ValueError(
-            "no basecall_model in the header of: " + ", ".join(r["file"] for r in lacking)
-        )
+    lacking = header_lines.select("file").distinct().join(models, "file", "left_anti")
+    refuse_rows(lacking, "no basecall_model in the header", "file")
     return models

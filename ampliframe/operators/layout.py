@@ -7,8 +7,8 @@ import warnings
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ampliframe.contracts import flag_argument, require_columns, text_argument
-from ampliframe.functions.labels import barcode_label, group_key, is_blank
+from ampliframe.contracts import ProblemRows, flag_argument, require_columns, text_argument
+from ampliframe.functions.labels import barcode_label, group_key, is_blank, numbers_as_text
 from ampliframe.functions.scale import join_lookup
 from ampliframe.sources.files import list_directories
 
@@ -30,6 +30,7 @@ def layout_rows(
         needed.append(text_argument(project_col, "project_col"))
     require_columns(sample_info, needed, "sample_info")
     project = F.col(project_col) if project_col else F.lit(None)
+    sample_info = numbers_as_text(sample_info, needed)
     rows = sample_info.select(
         barcode_label(barcode_col).alias("barcode"),
         project.cast("string").alias("project"),
@@ -112,15 +113,19 @@ def plan_fastq_layout(
         F.count_if("destination_exists").alias("taken"),
     ).first()
     if state["missing"]:
+        lacking = plan.filter("not source_exists").select("barcode").distinct().collect()
+        told = ", ".join(sorted(r["barcode"] for r in lacking))
         warnings.warn(
-            f"{state['missing']} barcode folder(s) were not found in fastq_dir", stacklevel=2
+            f"{len(lacking)} barcode folder(s) were not found in fastq_dir: {told}", stacklevel=2
         )
     if state["taken"] and not overwrite:
-        some = [r["destination"] for r in plan.filter("destination_exists").limit(20).collect()]
-        more = "" if state["taken"] <= 20 else f" and {state['taken'] - 20} more"
-        raise ValueError(
-            f"destination folder(s) already exist: {', '.join(some)}{more}; "
-            "use overwrite=True to replace them"
+        # one row per barcode folder that stands in the way: all of them are told
+        taken = plan.filter("destination_exists").select("barcode", "destination")
+        told = sorted({r["destination"] for r in taken.collect()})
+        raise ProblemRows(
+            f"{len(told)} destination folder(s) already exist: {', '.join(told)}; "
+            "use overwrite=True to replace them",
+            taken,
         )
     return plan
 

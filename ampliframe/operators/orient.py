@@ -16,9 +16,6 @@ from ampliframe.functions.scale import spread
 from ampliframe.operators import alignment as al
 from ampliframe.session import materialise
 
-#: longest reference that is handed to every task
-REFERENCE_BASES = 1_000_000
-
 
 @dataclass(frozen=True)
 class Reference:
@@ -38,8 +35,6 @@ def one_reference(df: DataFrame) -> Reference:
     seq = rows[0]["seq"]
     if not seq:
         raise ValueError("reference must not be empty")
-    if len(seq) > REFERENCE_BASES:
-        raise ValueError(f"reference is longer than {REFERENCE_BASES} bases")
     return Reference(rows[0]["name"], seq)
 
 
@@ -231,6 +226,6 @@ def align_with_reference(
     target = one_reference(reference)
     named = cleaned_reads(reads, prefix)
     if named.limit(1).count() == 0:
-        raise ValueError("sanger must contain at least one sequence")
+        raise ValueError("the read set must hold at least one sequence")
     oriented = materialise(orient_reads(target, named, **scores))
     return oriented, read_stack(target, oriented, **scores)

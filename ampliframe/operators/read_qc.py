@@ -224,16 +224,13 @@ def eligible_reads(
         raise ValueError("min_read_length must not exceed max_read_length")
     require_columns(reads, [barcode], "the read set")
     if isinstance(length, str):
-        fits = F.col(length).between(min_read_length, max_read_length)
-    else:
-        # one comparison, so that a computed length is worked out only once
-        middle = min_read_length + max_read_length
-        fits = F.abs(2 * length - middle) <= max_read_length - min_read_length
+        length = F.col(length)
     if isinstance(quality, str):
         quality = F.col(quality)
     # only reads of the right length have their quality worked out
     passed = (
-        reads.filter(fits)
+        reads.select("*", length.alias("__length"))
+        .filter(F.col("__length").between(min_read_length, max_read_length))
         .select(*[F.col(c) for c in reads.columns], quality.alias("__quality"))
         .filter(F.col("__quality") >= min_read_qual)
     )

@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ampliframe.contracts import refuse_rows
 from ampliframe.functions.labels import fastq_sample_name, is_fastq_path
 from ampliframe.operators import delivery, primers
 from ampliframe.operators import read_qc as qc
@@ -79,7 +80,7 @@ def trim_fasta(
     trimmed = primers.trim_amplicons(named, f_primer, r_primer, max_mismatch, orient_to_forward)
     trimmed = materialise(trimmed)
     if trimmed.limit(1).count() == 0:
-        raise ValueError("input_fasta must contain at least one sequence")
+        raise ValueError("the FASTA file to trim holds no record")
     summary = primers.trim_summary(trimmed)
     titles = primers.trim_title("name").alias("name")
     records = trimmed.select("file", "record_no", titles, F.col("trimmed_seq").alias("seq"))
@@ -107,10 +108,11 @@ def fastq_delivery(spark: SparkSession, root: str) -> FastqDelivery:
     if not names:
         raise ValueError(f"no FASTQ files were found in {root}")
     delivery.require_unique_basenames(found)
-    broken = gzip_audit(found).filter(~F.col("ok")).limit(20).collect()
-    if broken:
-        told = ", ".join(f"{r['path']} ({r['error']})" for r in broken)
-        raise ValueError(f"broken gzip file(s): {told}")
+    refuse_rows(
+        gzip_audit(found).filter(~F.col("ok")),
+        "broken gzip file(s)",
+        F.concat_ws(": ", "path", "error"),
+    )
     lengths = materialise(
         st.length_table(
             scan_fastq(spark, root).withColumn("sample", fastq_sample_name("file")),

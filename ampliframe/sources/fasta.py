@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ampliframe.contracts import integer_argument, require_columns
-from ampliframe.functions.labels import is_blank
+from ampliframe.functions.labels import is_blank, plain_path
 from ampliframe.functions.scale import join_lookup, number_in_slices
 
 
@@ -24,7 +24,7 @@ def scan_fasta_text(spark: SparkSession, paths: str | Sequence[str]) -> DataFram
         spark.read.option("lineSep", "\n>")
         .text(list(paths) if not isinstance(paths, str) else paths)
         .select(
-            F.col("_metadata.file_path").alias("file"),
+            plain_path("_metadata.file_path").alias("file"),
             F.col("_metadata.file_block_start").alias("file_block"),
             F.regexp_replace("value", "^>", "").alias("record"),
         )

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ampliframe.contracts import require_columns, text_argument
+from ampliframe.functions.labels import plain_path
 
 
 def read_summary(
@@ -18,24 +19,32 @@ def read_summary(
     """Tab-separated sequencing summary with a text sample and a numeric length column.
 
     Everything is read as text, so no inference pass runs; lengths that are not numbers become
-    NULL. The literal NA is read as NULL. With `keep_order` the columns `file`, `file_block` and
+    NULL. The literal NA is read as NULL; a blank field stays an empty text. With `keep_order` the columns `file`, `file_block` and
     `row_in_block` tell the rows' order in the file without a sort.
     """
     df = (
         spark.read.option("sep", "\t")
         .option("header", True)
-        .option("nullValue", "NA")
         .option("emptyValue", "")
         .csv(path)
     )
+    fields = df.columns
     extra = []
     if keep_order:
         df = df.select("*", "_metadata")
         extra = [
-            F.col("_metadata.file_path").alias("file"),
+            plain_path("_metadata.file_path").alias("file"),
             F.col("_metadata.file_block_start").alias("file_block"),
             F.monotonically_increasing_id().alias("row_in_block"),
         ]
+    # the reader cannot tell a blank field from a NULL: every NULL it gives was blank
+    told = {
+        c: F.when(F.col(f"`{c}`") == "NA", F.lit(None)).otherwise(
+            F.coalesce(F.col(f"`{c}`"), F.lit(""))
+        )
+        for c in fields
+    }
+    df = df.select(*[told[c].alias(c) if c in told else c for c in df.columns])
     return coerce_summary(df, sample_col, length_col, extra)
 
 

@@ -78,7 +78,7 @@ def test_sample_map(rows):
     assert [(r["pair_no"], r["seq1_name"]) for r in got] == [(1, "B"), (2, "A"), (3, "A")]
     named = cons.consensus_distances(one, sset(rows, ("B", "A"), ("A", "A")), keep_order=True)
     assert [r["seq1_name"] for r in named.orderBy("pair_no").collect()] == ["A", "B"]
-    with pytest.raises(ValueError, match="sampleMap"):
+    with pytest.raises(ValueError, match="pair map"):
         cons.compare_consensus(one, two, rows([("A",)], "A string"))
 
 

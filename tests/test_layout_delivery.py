@@ -198,3 +198,38 @@ def test_basecall_models(rows):
     assert got == {"a": "sup_v4", "d": "hac"}
     with pytest.raises(ValueError, match="no basecall_model"):
         demux.require_models(df)
+
+
+def test_every_conflict_is_told(spark, rows):
+    from ampliframe.contracts import ProblemRows
+
+    sheet = rows([(f"b{i:02d}", "3kb") for i in range(25)], "barcode string, size string")
+    files = rows([(f"/d/3kb/b{i:02d}/x.fastq",) for i in range(25)], "path string")
+    with pytest.warns(UserWarning, match="b00, b01.*b24"), pytest.raises(ProblemRows) as caught:
+        lay.plan_fastq_layout(
+            sheet, "/d", files, amplicon_size_col="size", barcode_col="barcode")
+    assert all(f"/d/3kb/b{i:02d}" in str(caught.value) for i in range(25))
+    assert caught.value.problems.count() == 25
+
+
+def test_problem_tables_hold_everything(spark, rows):
+    from ampliframe.contracts import ProblemRows
+
+    files = rows([(f"/d/{x}/f{i}.fq",) for i in range(30) for x in "ab"], "path string")
+    with pytest.raises(ProblemRows, match="30 row") as caught:
+        delivery.require_unique_basenames(files)
+    assert caught.value.problems.count() == 30
+
+
+def test_a_path_listed_twice_is_one_file(spark, rows):
+    evidence = rows([("p", "notes", "/d/n")], "project string, role string, source string")
+    files = rows([("/d/n", 0), ("/d/n", 0)], "path string, size long")
+    assert delivery.evidence_problems(evidence, files).count() == 1
+
+
+def test_whole_numbers_name_groups_without_a_point(spark, rows):
+    sheet = rows(
+        [("b1", 3500.0), ("b2", 1.5), ("b3", None)], "barcode string, size double")
+    got = lay.layout_rows(sheet, amplicon_size_col="size", barcode_col="barcode").collect()
+    assert [(r["group"], r["valid"]) for r in got] == [
+        ("3500", True), ("1.5", True), (None, False)]

@@ -198,3 +198,19 @@ def test_file_statistics(spark, work):
     assert got[1]["gc_pct"] == pytest.approx(100 * 4 / 6)
     total = st.run_rollup(df, "file").filter("is_total = 1").first()
     assert (total["num_seqs"], total["sum_len"], total["file"]) == (3, 10, None)
+
+
+def test_blank_labels_stay_and_paths_are_spelt_alike(spark, work):
+    from ampliframe.sources.files import list_files
+    from ampliframe.sources.tables import read_summary
+
+    folder = f"{work}/a b+c"
+    os.makedirs(folder)
+    with open(f"{folder}/f.fasta", "w") as out:
+        out.write(">x\nACGT\n")
+    with open(f"{folder}/s.txt", "w") as out:
+        out.write("alias\tsequence_length_template\n\t10\nNA\t20\nb\tNA\nb\t\n")
+    got = read_summary(spark, f"{folder}/s.txt").collect()
+    assert [tuple(r) for r in got] == [("", 10.0), (None, 20.0), ("b", None), ("b", None)]
+    listed = {r["path"] for r in list_files(spark, folder).collect()}
+    assert {r["file"] for r in fasta.read_fasta(spark, f"{folder}/f.fasta").collect()} <= listed
