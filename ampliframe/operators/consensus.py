@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ampliframe.contracts import require_columns
+from ampliframe.functions.dna import reverse_complement
 from ampliframe.functions.labels import is_blank
 from ampliframe.functions.scale import spread
 from ampliframe.operators import alignment as al
@@ -101,10 +102,13 @@ def _repeated_as_mapped(
     return entries.join(results, ["seq1_name", "seq2_name"]).select(*columns)
 
 
-def _distinct_codes(seq1: pa.Array, seq2: pa.Array):
-    """Encoded distinct pairs of a batch and the row each input row maps to."""
+def _distinct_codes(seq1: pa.Array, seq2: pa.Array, needed: pa.Array):
+    """Encoded distinct pairs of a batch and the row each input row maps to, null if not needed."""
     rows: dict[tuple[str, str], int] = {}
-    which = [rows.setdefault(p, len(rows)) for p in zip(seq1.to_pylist(), seq2.to_pylist())]
+    which = [
+        rows.setdefault((a, b), len(rows)) if n else None
+        for a, b, n in zip(seq1.to_pylist(), seq2.to_pylist(), needed.to_pylist())
+    ]
     firsts, seconds = [], []
     for a, b in rows:
         if not a or not b:
@@ -122,8 +126,8 @@ def _align_udf(scoring: al.Scoring, kind: str, texts: bool, differences: bool):
         fields += [f"differences:array<{_DIFFERENCE}>"]
 
     @F.arrow_udf("struct<" + ",".join(fields) + ">")
-    def align(seq1: pa.Array, seq2: pa.Array) -> pa.Array:
-        firsts, seconds, which = _distinct_codes(seq1, seq2)
+    def align(seq1: pa.Array, seq2: pa.Array, needed: pa.Array) -> pa.Array:
+        firsts, seconds, which = _distinct_codes(seq1, seq2, needed)
         distance, reverse = al.oriented_distances(firsts, seconds, scoring, kind)
         out = {
             "orientation": pa.array(_ORIENTATIONS[reverse.astype(int)], pa.string()),
@@ -144,6 +148,46 @@ def _align_udf(scoring: al.Scoring, kind: str, texts: bool, differences: bool):
     return align
 
 
+def _aligned(
+    pairs: DataFrame, scoring: al.Scoring, kind: str, texts: bool, differences: bool
+) -> DataFrame:
+    """`pairs` with the alignment of each in `__a`.
+
+    Under the default scores, sequences of plain bases that are equal, as given or after turning
+    the second, are their own best alignment: those are answered by expressions, and neither
+    sequence is sent to Python.
+    """
+    align = _align_udf(scoring, _kind(kind), texts, differences)
+    if differences and not texts:
+        # marked nondeterministic so that no filter copies the alignment below the explode
+        align = align.asNondeterministic()
+    spread_pairs = spread(pairs)
+    if kind != "global" or scoring is not al.DEFAULT_SCORING:
+        return spread_pairs.withColumn("__a", align("seq1", "seq2", F.lit(True)))
+    plain = F.col("seq1").rlike("^[ACGT]+$")
+    same = F.coalesce(plain & (F.col("seq1") == F.col("seq2")), F.lit(False))
+    turned = F.coalesce(
+        ~same & plain & (F.col("seq1") == reverse_complement("seq2")), F.lit(False)
+    )
+
+    def answer(orientation: int):
+        fields = [
+            F.lit(str(_ORIENTATIONS[orientation])).alias("orientation"),
+            F.lit(0).alias("n_diff"),
+        ]
+        if texts:
+            fields += [F.col("seq1").alias("aligned_seq1"), F.col("seq1").alias("aligned_seq2")]
+        if differences:
+            fields += [F.array().cast(f"array<{_DIFFERENCE}>").alias("differences")]
+        return F.struct(*fields)
+
+    needed = ~(same | turned)
+    found = align(F.when(needed, F.col("seq1")), F.when(needed, F.col("seq2")), needed)
+    return spread_pairs.withColumn("__a", found).withColumn(
+        "__a", F.when(same, answer(0)).when(turned, answer(1)).otherwise(F.col("__a"))
+    )
+
+
 def _difference_lists(shown, seconds, reverse) -> pa.Array:
     """Differing columns of each aligned pair as a list array."""
     sizes, parts = [0], []
@@ -188,8 +232,7 @@ def pair_distances(
     pairs: DataFrame, type: str = "global", scoring: al.Scoring = al.DEFAULT_SCORING
 ) -> DataFrame:
     """Distance and orientation per pair, without a traceback."""
-    align = _align_udf(scoring, _kind(type), False, False)
-    done = spread(pairs).withColumn("__a", align("seq1", "seq2"))
+    done = _aligned(pairs, scoring, type, False, False)
     return done.select(
         *_order(pairs),
         "seq1_name",
@@ -245,9 +288,8 @@ def compare_consensus(
     if check:
         check_consensus_set(set1, "consensus1")
         check_consensus_set(set2, "consensus2")
-    align = _align_udf(scoring, _kind(type), True, False)
     pairs = _pairs(set1, set2, sample_map, keep_order)
-    results = spread(pairs).withColumn("__a", align("seq1", "seq2")).select(
+    results = _aligned(pairs, scoring, type, True, False).select(
         *_order(pairs),
         "seq1_name",
         "seq2_name",
@@ -271,9 +313,7 @@ def sequence_differences(
     Positions are 1-based in the original sequences, NULL on the side of a gap; bases are shown
     as aligned.
     """
-    # marked nondeterministic so that no filter copies the alignment below the explode
-    align = _align_udf(scoring, _kind(type), False, True).asNondeterministic()
-    done = spread(pairs).withColumn("__a", align("seq1", "seq2"))
+    done = _aligned(pairs, scoring, type, False, True)
     label = F.when(
         F.col("__a.orientation") == "forward", F.lit("seq2_original")
     ).otherwise("seq2_reverse_complement")
@@ -300,6 +340,5 @@ def seq_diffs(
     pairs: DataFrame, type: str = "global", scoring: al.Scoring = al.DEFAULT_SCORING
 ) -> DataFrame:
     """Whole result per pair: orientation, n_diff, aligned strings, differences as an array."""
-    align = _align_udf(scoring, _kind(type), True, True)
-    done = spread(pairs).withColumn("__a", align("seq1", "seq2"))
+    done = _aligned(pairs, scoring, type, True, True)
     return done.select("seq1_name", "seq2_name", "__a.*")

@@ -288,3 +288,11 @@ def rendered_fasta_index(
         line.alias("line_bases"),
         F.when(line > 0, line + 1).otherwise(0).cast("bigint").alias("line_bytes"),
     )
+
+
+def write_fasta_index(rows: DataFrame, path: str, mode: str = "errorifexists") -> None:
+    """Index rows of one FASTA file as tab-separated text, in record order."""
+    columns = ("name", "length", "offset", "line_bases", "line_bytes")
+    require_columns(rows, ["file", "record_no", *columns], "the index rows")
+    lines = rows.sort("file", "record_no").select(F.concat_ws("\t", *columns).alias("value"))
+    lines.write.mode(mode).text(path)

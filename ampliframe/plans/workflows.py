@@ -137,12 +137,13 @@ class ConsensusDelivery:
     manifest: DataFrame
     stats: DataFrame
     index: DataFrame
+    checksums: DataFrame
 
 
 def consensus_delivery(
     spark: SparkSession, project: str, evidence: dict[str, str]
 ) -> ConsensusDelivery:
-    """Manifest, statistics and FASTA index of one consensus package.
+    """Manifest, statistics, FASTA index and checksums of one consensus package.
 
     `evidence` maps roles such as consensus, bam or notes to file paths.
     """
@@ -155,8 +156,11 @@ def consensus_delivery(
     listed = list_files(spark, list(evidence.values()))
     manifest = delivery.checked_manifest(rows, listed)
     consensus = evidence["consensus"]
+    sums = md5_list(listed, "/").select("md5", F.concat(F.lit("/"), "path").alias("source"))
+    delivered = manifest.join(sums, "source").select("md5", F.col("delivery_path").alias("path"))
     return ConsensusDelivery(
         manifest,
         st.sequence_stats(read_fasta(spark, consensus)),
         st.fasta_index(spark, consensus),
+        delivered.orderBy("path"),
     )

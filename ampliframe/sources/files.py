@@ -124,6 +124,12 @@ def md5_list(files: DataFrame, root: str, exclude: str | None = None) -> DataFra
     )
 
 
+def write_md5_list(sums: DataFrame, path: str, mode: str = "errorifexists") -> None:
+    """md5 and path rows as text lines, two spaces between, in path order."""
+    lines = sums.orderBy("path").select(F.concat_ws("  ", "md5", "path").alias("value"))
+    lines.write.mode(mode).text(path)
+
+
 def gzip_audit(files: DataFrame) -> DataFrame:
     """path, ok, error for every .gz file."""
 

@@ -143,3 +143,19 @@ def test_whole_sets_equal_a_plain_loop(rows):
         assert (row["seq2_orientation"] == "reverse_complement") == (backward < forward)
         shown = zip(row["aligned_seq1"], row["aligned_seq2"])
         assert sum(u != v for u, v in shown) == row["distance"]
+
+
+def test_equal_pairs_are_answered_without_python(spark, rows):
+    pairs = rows(
+        [("a", "a", "ACGTT", "ACGTT"), ("b", "b", "ACGTT", "AACGT"), ("c", "c", "ACNTT", "ACNTT"),
+         ("d", "d", "ACGTT", "ACGTA")],
+        "seq1_name string, seq2_name string, seq1 string, seq2 string",
+    )
+    got = {r["seq1_name"]: r for r in cons.seq_diffs(pairs).collect()}
+    assert [(got[n]["n_diff"], got[n]["orientation"]) for n in "abcd"] == [
+        (0, "forward"), (0, "reverse_complement"), (0, "forward"), (1, "forward")]
+    assert got["b"]["aligned_seq2"] == "ACGTT" and got["a"]["differences"] == []
+    assert cons.sequence_differences(pairs).count() == 1
+    missing = rows([("e", "e", None, None)], pairs.schema)
+    with pytest.raises(Exception, match="missing or empty"):
+        cons.seq_diffs(missing).collect()

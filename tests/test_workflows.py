@@ -1,10 +1,13 @@
 import gzip
+import hashlib
 import os
 
 import pytest
 
 from ampliframe.functions.dna import complement_text
+from ampliframe.operators.seq_stats import write_fasta_index
 from ampliframe.plans import workflows as wf
+from ampliframe.sources.files import write_md5_list
 
 
 def put(path, text, mode="w"):
@@ -82,6 +85,16 @@ def test_consensus_delivery(spark, work):
     assert (stats["num_seqs"], stats["sum_len"], stats["format"]) == (1, 8, "FASTA")
     index = got.index.first()
     assert (index["name"], index["length"], index["offset"]) == ("consensus1", 8, 12)
+    sums = [tuple(r) for r in got.checksums.collect()]
+    assert sums == [
+        (hashlib.md5(b"note").hexdigest(), "00_metadata/notes.txt"),
+        (hashlib.md5(b">consensus1\nACGTACGT\n").hexdigest(), "01_consensus/consensus.fasta"),
+    ]
+    write_md5_list(got.checksums, f"{work}/md5")
+    assert [r["value"] for r in spark.read.text(f"{work}/md5").collect()] == [
+        f"{a}  {b}" for a, b in sums]
+    write_fasta_index(got.index, f"{work}/fai")
+    assert spark.read.text(f"{work}/fai").first()["value"] == "consensus1\t8\t12\t8\t9"
     put(f"{work}/empty.txt", "")
     with pytest.raises(ValueError, match="empty"):
         wf.consensus_delivery(spark, "P1", {"consensus": fasta, "notes": f"{work}/empty.txt"})
