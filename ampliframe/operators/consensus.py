@@ -31,6 +31,13 @@ def check_consensus_set(df: DataFrame, what: str) -> None:
         raise ValueError(f"{what} sequences must all have non-empty names")
 
 
+def unnamed_records(df: DataFrame) -> DataFrame:
+    """Records that break the contract of a consensus set: record_no, problem."""
+    require_columns(df, ["record_no", "name", "seq"], "the consensus set")
+    problem = F.when(is_blank("name"), "no name").when(is_blank("seq"), "no sequence")
+    return df.select("record_no", problem.alias("problem")).filter("problem is not null")
+
+
 def shared_names(set1: DataFrame, set2: DataFrame) -> DataFrame:
     """Distinct names found in both sets."""
     return set1.select("name").intersect(set2.select("name"))

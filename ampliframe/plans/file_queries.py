@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ampliframe.functions.labels import safe_output_label
+from ampliframe.operators import consensus as cons
 from ampliframe.operators import delivery, demux
 from ampliframe.operators import layout as lay
 from ampliframe.plans.fixtures import safe_part, view
-from ampliframe.sources.fasta import fasta_record
+from ampliframe.sources.fasta import fasta_record, record_name, record_seq
 from ampliframe.sources.files import list_directories
+from ampliframe.sources.tables import coerce_summary
 
 ROOT = "/data/fastq"
 
@@ -72,6 +74,23 @@ def basecall_model(spark, sf_dir):
     return demux.basecall_models(view(spark, sf_dir, "fx_header_lines"))
 
 
+def summary_coercion(spark, sf_dir):
+    """Types of a summary read as text."""
+    return coerce_summary(view(spark, sf_dir, "fx_summary_text"))
+
+
+def fasta_records(spark, sf_dir):
+    """Names and sequences of records as they stand in a file."""
+    records = view(spark, sf_dir, "fx_records")
+    return records.select(
+        "doc_id", record_name("record").alias("name"), record_seq("record").alias("seq")
+    )
+
+
+def unnamed_records(spark, sf_dir):
+    return cons.unnamed_records(view(spark, sf_dir, "fx_unnamed"))
+
+
 def output_labels(spark, sf_dir):
     sheet = view(spark, sf_dir, "fx_sample_info")
     return sheet.select("p_partkey", safe_output_label("Project").alias("label"))
@@ -94,6 +113,9 @@ def fasta_lines(spark, sf_dir):
 QUERIES = {
     f.__name__: f
     for f in (
+        summary_coercion,
+        fasta_records,
+        unnamed_records,
         layout_plan,
         layout_dropped_rows,
         deliverable_inventory,
@@ -219,6 +241,11 @@ ORACLES = {
         from t)
       select file, substr(arg_min(m,line_no),16) as model from w where m is not null
       group by file""",
+    "summary_coercion": """select read_id, alias, try_cast(sequence_length_template as double)
+      as sequence_length_template from fx_summary_text""",
+    "fasta_records": """select doc_id, concat('d',doc_id,' note') as name, seq from fx_seq""",
+    "unnamed_records": """select record_no, case when coalesce(name,'')='' then 'no name'
+      else 'no sequence' end as problem from fx_unnamed where coalesce(name,'')='' or seq=''""",
     "output_labels": """select p_partkey, regexp_replace(Project,'[^A-Za-z0-9_.-]+','_','g')
       as label from fx_sample_info""",
     "checksums": """select md5(seq) as md5, concat(source,'/',doc_id) as path from fx_seq""",

@@ -74,10 +74,30 @@ VIEWS: dict[str, str] = {
         "case when l_partkey % 50 = 0 then cast(null as double) else "
         "floor(l_extendedprice/10)*1.0 end as sequence_length_template from lineitem"
     ),
+    # the same kind of table as a text file gives it: blanks, missing fields and bad numbers
+    "fx_summary_text": (
+        "select l_orderkey*10+l_linenumber as read_id, case when l_suppkey % 13 = 11 then '' "
+        "when l_suppkey % 13 = 12 then cast(null as <S>) else concat('barcode',cast(l_suppkey % 13 "
+        "as <S>)) end as alias, case l_partkey % 7 when 0 then 'about 900' when 1 then '' "
+        "when 2 then cast(null as <S>) when 3 then '1e3' when 4 then '-12.5' else "
+        "cast(cast(floor(l_extendedprice) as bigint) as <S>) end as sequence_length_template "
+        "from lineitem"
+    ),
     "fx_seq": (
         f"select doc_id, source, translate({_letters('text')},'{_LETTERS}','{_AS_DNA}') as seq, "
         f"translate({_letters('text')},'{_LETTERS}','{_AS_QUALITY}') as qual from documents"
     ),
+    # records of a sequence file, some lines ended the other way
+    "fx_records": (
+        "select doc_id, concat('>d',cast(doc_id as <S>),' note',case when doc_id % 3=0 then "
+        "chr(13) else '' end,chr(10),substr(seq,1,60),chr(13),chr(10),substr(seq,61)) as record "
+        "from fx_seq"
+    ),
+    "fx_unnamed": (
+        "select record_no, case when record_no % 5=0 then '' when record_no % 7=0 then "
+        "cast(null as <S>) else name end as name, case when record_no % 11=0 then '' else seq end "
+        "as seq from fx_cons1"
+    ),
     # the same bases in lower case with the white space of the text
     "fx_raw_seq": (
         "select doc_id, translate(upper(regexp_replace(text,'[^A-Za-z \\t\\r\\n]',''<G>)),"

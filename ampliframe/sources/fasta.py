@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ampliframe.contracts import integer_argument, require_columns
@@ -12,6 +12,26 @@ from ampliframe.functions.labels import is_blank, plain_path
 from ampliframe.functions.scale import join_lookup, number_in_slices
 
 
+def record_header(record: Column | str) -> Column:
+    """The first line of a record's text, as it stands."""
+    return F.substring_index(record, "\n", 1)
+
+
+def record_name(record: Column | str) -> Column:
+    """The title of a record's text, without its mark and a carriage return."""
+    return F.regexp_replace(F.regexp_replace(record_header(record), "\r$", ""), "^>", "")
+
+
+def record_body(record: Column | str) -> Column:
+    text = F.col(record) if isinstance(record, str) else record
+    return F.substring(text, F.length(record_header(text)) + 2, F.length(text))
+
+
+def record_seq(record: Column | str) -> Column:
+    """The sequence of a record's text without white space."""
+    return F.regexp_replace(record_body(record), r"\s+", "")
+
+
 def scan_fasta_text(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """One row per record with its raw text: file, file_block, row_in_block, record, header,
     name, body.
@@ -36,12 +56,10 @@ def scan_fasta_text(spark: SparkSession, paths: str | Sequence[str]) -> DataFram
         "file_block",
         F.monotonically_increasing_id().alias("row_in_block"),
         "record",
-        F.substring_index("record", "\n", 1).alias("header"),
+        record_header("record").alias("header"),
     )
     return with_header.select(
-        "*",
-        F.regexp_replace("header", "\r$", "").alias("name"),
-        F.expr("substring(record, length(header) + 2)").alias("body"),
+        "*", record_name("record").alias("name"), record_body("record").alias("body")
     )
 
 
