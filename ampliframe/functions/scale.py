@@ -50,14 +50,23 @@ def join_lookup(
     return df.join(lookup, list(on), how)
 
 
+#: Spark's own number of shuffle partitions, which says nothing about the data at hand
+UNSET_PARTITIONS = 200
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Deal rows evenly over tasks before work that costs far more per byte than a shuffle.
 
-    Rows are dealt in turn, so equal rows do not meet in one task. How many tasks there are is left
-    to adaptive execution: it sizes them by the bytes that were really shuffled, down to the number
-    of cores for small inputs, and splits what is large.
+    Rows are dealt in turn, so equal rows do not meet in one task. There are two tasks for each
+    core, and more where `spark.sql.shuffle.partitions` has been set to more: bytes are no measure
+    of this work, so adaptive execution must not merge tasks that are small in bytes.
     """
-    return df.hint("rebalance")
+    session = df.sparkSession
+    tasks = 2 * session.sparkContext.defaultParallelism
+    wanted = int(session.conf.get("spark.sql.shuffle.partitions"))
+    if wanted != UNSET_PARTITIONS:
+        tasks = max(tasks, wanted)
+    return df.repartition(tasks)
 
 
 def number_in_slices(

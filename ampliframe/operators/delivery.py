@@ -176,8 +176,8 @@ def roles_table(spark: SparkSession) -> DataFrame:
 
 def evidence_problems(evidence: DataFrame, files: DataFrame) -> DataFrame:
     """Supplied evidence whose file is missing or empty: project, role, source, problem."""
-    # a path that is listed twice has one size
-    sizes = files.groupBy(F.col("path").alias("source")).agg(F.max("size").alias("size"))
+    # a path that is listed twice is one file, and unusable if any listing says so
+    sizes = files.groupBy(F.col("path").alias("source")).agg(F.min("size").alias("size"))
     return (
         evidence.join(sizes, "source", "left")
         .filter(F.col("size").isNull() | (F.col("size") <= 0))

@@ -207,7 +207,8 @@ ORACLES = {
         where role='consensus'""",
     "evidence_problems": """select e.project, e.role, e.source,
       case when f.size is null then 'missing' else 'empty' end as problem
-      from fx_evidence as e left join fx_evidence_files as f on f.path=e.source
+      from fx_evidence as e left join (select path, min(size) as size from fx_evidence_files
+        group by path) as f on f.path=e.source
       where f.size is null or f.size<=0""",
     "missing_index": """select path, 'fasta' as kind from fx_index_files where path like '%.fasta'
       and concat(path,'.fai') not in (select path from fx_index_files)
