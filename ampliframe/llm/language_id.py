@@ -23,16 +23,20 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from ampliframe.llm.common import SPACES, WordCache, add_columns, utf8
+from ampliframe.llm.common import SPACES, WordCache, add_columns, strings
+from ampliframe.session import materialise
 
 UNKNOWN = "und"
 #: a word's letters: what stands before its first and after its last letter is cut off
 CORE = r"\p{L}(?:.*\p{L})?"
+_CORE = regex.compile(CORE, regex.S)
 
 
 @dataclass(frozen=True)
 class Settings:
     rows_per_language: int = 1500
+    #: the languages with most rows are learnt
+    languages_kept: int = 1000
     words_kept: int = 20_000
     grams_kept: int = 10_000
     highest_order: int = 4
@@ -105,10 +109,15 @@ def fit(
         # a uniform number from 0 to 1 that depends on the id alone
         (F.shiftrightunsigned(F.xxhash64(F.col(doc_id)), 11) / F.lit(float(1 << 53))).alias("u"),
     )
-    sizes = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("__n"))
-    sample = rows.join(sizes, "lang").filter(
-        F.col("u") * F.col("__n") < settings.rows_per_language
+    # one number per language decides which rows are taken, so that no text is moved
+    sizes = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    sizes = sizes.orderBy(F.desc("n"), "lang").limit(settings.languages_kept).collect()
+    if not sizes:
+        return Model([])
+    share = F.create_map(
+        *[x for r in sizes for x in (F.lit(r["lang"]), F.lit(settings.rows_per_language / r["n"]))]
     )
+    sample = rows.filter(F.col("u") < F.element_at(share, F.col("lang")))
     words = F.split(F.lower("text"), f"[{SPACES}]+")
     counted = (
         sample.select("lang", F.explode(words).alias("word"))
@@ -117,6 +126,7 @@ def fit(
         .groupBy("lang", "unit")
         .agg(F.count(F.lit(1)).alias("times"))
     )
+    counted = materialise(counted)
     marked = F.concat(F.lit("_"), "unit", F.lit("_"))
     grams = F.concat(*[_grams(marked, n) for n in range(1, settings.highest_order + 1)])
     gram_counts = (
@@ -132,23 +142,33 @@ def fit(
     return Model(languages, _log_frequencies(found, languages, settings.smoothing))
 
 
-def word_scores(word: str, model: Model) -> np.ndarray | None:
-    """What a word adds to the score of each language; None for a word without a letter."""
-    core = regex.search(CORE, word.lower(), regex.S)
-    if core is None:
-        return None
-    core = core.group()
+def core_scores(core: str, model: Model) -> np.ndarray:
+    """What a word, in lower case from its first to its last letter, adds for each language."""
     words, rows = model.tables.get(0, ({}, None))
     if core in words:
         return rows[words[core]]
     marked = f"_{core}_"
-    for n in sorted(model.tables, reverse=True)[: -1 if 0 in model.tables else None]:
-        known, rows = model.tables[n]
-        grams = (marked[i : i + n] for i in range(len(marked) - n + 1))
+    for n in range(max(model.tables, default=0), 0, -1):
+        known, rows = model.tables.get(n, ({}, None))
+        grams = [marked[i : i + n] for i in range(len(marked) - n + 1)]
         found = [known[g] for g in grams if g in known]
         if found:
-            return rows[found].mean(0)
-    return np.zeros(len(model.languages))
+            return np.add.reduce(rows.take(found, 0)) / np.float32(len(found))
+    return np.zeros(len(model.languages), np.float32)
+
+
+def core_of(word: str) -> str:
+    """A lower-case word from its first to its last letter; empty without a letter."""
+    if word.isalpha():
+        return word
+    found = _CORE.search(word)
+    return found.group() if found else ""
+
+
+def word_scores(word: str, model: Model) -> np.ndarray | None:
+    """What a word adds to the score of each language; None for a word without a letter."""
+    core = core_of(word.lower())
+    return core_scores(core, model) if core else None
 
 
 def identify(
@@ -167,18 +187,23 @@ def identify(
     languages = model.languages
 
     def start():
+        # rows hold a score for each language and a one that counts words with a letter
         none = np.zeros(len(languages) + 1, np.float32).tobytes()
+        one = np.ones(1, np.float32).tobytes()
+        limit = max(20_000, 1_000_000 // (len(languages) + 1))
+        cores = WordCache(lambda c: core_scores(c, model).tobytes() + one, limit)
 
-        def packed(word: bytes) -> bytes:
-            own = word_scores(word.decode("utf-8", "replace"), model)
-            return none if own is None else np.append(own, 1).astype(np.float32).tobytes()
+        def packed(word: str) -> bytes:
+            core = core_of(word)
+            return cores[core] if core else none
 
-        cache = WordCache(packed, max(20_000, 1_500_000 // (len(languages) + 1)))
+        cache = WordCache(packed, limit)
 
         def step(texts):
             names, scores = [], []
-            for t in utf8(texts):
-                rows = np.frombuffer(b"".join([cache[w] for w in t.split()]), np.float32)
+            for t in strings(texts):
+                words = t.lower().split()
+                rows = np.frombuffer(b"".join([cache[w] for w in words]), np.float32)
                 total = rows.reshape(-1, len(languages) + 1).sum(0, dtype=np.float64)
                 if not languages or total[-1] == 0:
                     names.append(UNKNOWN)
