@@ -2,11 +2,11 @@
 
 Three measures of a text's words: the characters a token covers on average, the share of tokens
 that stand for single bytes because the vocabulary has no piece for them, and the entropy of the
-text's tokens as a share of the highest entropy that many tokens can have. Text unlike what a
-vocabulary was made for (symbols, shouting, machine output) needs many tokens, repeated text has
-little entropy. Wide fixed bands per script say which values can pass at all; within them, the
-characters per token must not lie far below what is usual in the text's language (or script, if
-the language is null), as measured over all texts that pass the base rules.
+text's tokens as a share of the highest entropy that many tokens, at most 1,024, can have. Text
+unlike what a vocabulary was made for (symbols, shouting, machine output) needs many tokens,
+repeated text has little entropy. Wide fixed bands per script say which values can pass at all;
+within them, the characters per token must not lie far below what is usual in the text's language
+(or script, if the language is null), as measured over all texts that pass the base rules.
 
 Words are tokenized one by one, so the measures of a word are worked out once and reused.
 """
@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import base64
 import math
+from array import array
 from collections.abc import Mapping
 from dataclasses import dataclass
 from functools import lru_cache
@@ -34,6 +35,10 @@ SYMBOLS = b"#*$%&|<>"
 MIN_WORDS = 10
 MAX_REPEATED_PERCENT = 20
 REPEAT_WINDOW = 5
+#: texts with more tokens than this are not expected to have a higher entropy
+ENTROPY_TOKENS = 1024
+#: room for one count of a whole text in a number that holds several
+COUNT_BITS = 40
 
 
 @dataclass(frozen=True)
@@ -75,6 +80,8 @@ def _tokenizers(piece_path: str, rank_path: str):
 
 def script_of(word: str) -> int:
     """The index in SCRIPTS of a word's first letter; beyond the end for another or none."""
+    if word[:1].isascii() and word[:1].isalpha():
+        return 0
     letter = regex.search(r"\p{L}", word)
     if letter:
         for i, s in enumerate(SCRIPTS):
@@ -146,36 +153,38 @@ def measure(
         pieces, plain = _tokenizers(piece_path, rank_path)
         single = np.array([pieces.is_byte(i) for i in range(pieces.get_piece_size())])
 
-        def word_tokens(word: bytes) -> tuple[bytes, complex]:
+        def word_tokens(word: bytes) -> tuple[bytes, int]:
             w = word.decode("utf-8", "replace")
-            # two counts in one number: code points, and tokens of the byte-pair vocabulary
-            counts = complex(len(w), len(plain.encode_ordinary(" " + w)))
-            return np.array(pieces.encode(w), "<i4").tobytes(), counts, script_of(w)
+            # counts that are summed together, in one number: code points, tokens of the byte-pair
+            # vocabulary, and one for the word's script
+            counts = len(w) | len(plain.encode_ordinary(" " + w)) << COUNT_BITS
+            counts |= 1 << COUNT_BITS * (2 + script_of(w))
+            return array("i", pieces.encode(w)).tobytes(), counts
 
-        cache = WordCache(word_tokens, 250_000)
+        cache = WordCache(word_tokens, 400_000)
 
         def row(text: bytes, language: str | None):
             words = text.split()
             found = [cache[w] for w in words]
-            counts = sum([f[1] for f in found], 0j)
-            ids = np.frombuffer(b"".join([f[0] for f in found]), "<i4")
-            n, chars, n_plain = len(words), int(counts.real), int(counts.imag)
+            ids = np.frombuffer(b"".join([f[0] for f in found]), np.int32)
+            sums = sum([f[1] for f in found])
+            chars, n_plain, *scripts = (
+                sums >> COUNT_BITS * i & (1 << COUNT_BITS) - 1 for i in range(len(SCRIPTS) + 2)
+            )
+            n = len(words)
             symbols = len(text) - len(text.translate(None, SYMBOLS))
             repeats = repeated_words(words)
             base = n < MIN_WORDS or 100 * repeats > MAX_REPEATED_PERCENT * n
             share = entropy = 1.0
             if len(ids):
-                times = np.bincount(ids)
-                share = float(single[ids].mean())
-                times = times[times > 0]
+                times = np.unique(ids, return_counts=True)[1]
+                share = np.count_nonzero(single[ids]) / len(ids)
                 if len(ids) > 1:
                     bits = math.log2(len(ids)) - float((times * np.log2(times)).sum()) / len(ids)
-                    entropy = bits / math.log2(min(len(ids), len(single)))
+                    entropy = min(1.0, bits / math.log2(min(len(ids), ENTROPY_TOKENS)))
             else:
                 share = 0.0
-            scripts = np.bincount([f[2] for f in found], minlength=len(SCRIPTS) + 1)
-            top = int(scripts[:-1].argmax()) if scripts[:-1].any() else len(SCRIPTS)
-            script = SCRIPTS[top] if top < len(SCRIPTS) else "other"
+            script = SCRIPTS[scripts.index(max(scripts))] if any(scripts) else "other"
             band = by_name.get(language) or by_name.get(script) or by_name["other"]
             per = chars / max(len(ids), 1), chars / max(n_plain, 1)
             good = (
