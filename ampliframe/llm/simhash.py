@@ -2,10 +2,11 @@
 
 A fingerprint is mapped to the bit counts of its 32 segments of two bits. The Manhattan distance
 of two such vectors is a lower bound of the fingerprints' Hamming distance. The vectors are cut
-into `BLOCKS` blocks, unit cells of a grid; within a distance of `bits`, at most so many blocks
-differ, so a pair in range shares its cell in all of some `BLOCKS - bits` blocks. One equi join
-for each choice of those blocks therefore finds every pair in range. Its pairs are cut down by
-the Manhattan distance of the whole vectors and then verified exactly.
+into blocks, each a unit cell of a grid; within a distance of `bits`, at most so many blocks
+differ, so a pair in range shares its cell in all but `bits` of the blocks. One equi join for each
+choice of those blocks therefore finds every pair in range. Its pairs are cut down by the
+Manhattan distance of the whole vectors and then verified exactly. The number of blocks follows
+from the number of fingerprints (`blocks_for`).
 
 Cells with more than `CELL_ROWS` fingerprints, as families of edited copies make them, are not
 joined with themselves. Fingerprints in such cells are linked through midpoints instead: two of
@@ -19,6 +20,7 @@ from __future__ import annotations
 
 from functools import reduce
 from itertools import combinations
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +36,10 @@ from ampliframe.session import materialise
 SHINGLE = 4
 SEED = 42
 BITS = 4
-BLOCKS = 7
+#: bits of information in a segment's count, if the bits of fingerprints are even
+SEGMENT_BITS = 1.5
+#: what a pair in a cell costs, in rows of the index: it is stored, moved and compared later on
+PAIR_COST = 64
 #: fingerprints of a cell that are compared pair by pair
 CELL_ROWS = 400
 LOW_BITS = 0x5555555555555555
@@ -90,6 +95,21 @@ def signed(value: int) -> int:
     return value - (1 << 64) if value >= 1 << 63 else value
 
 
+def blocks_for(n: int, bits: int) -> int:
+    """Blocks to cut the vectors of `n` fingerprints into.
+
+    More blocks make more rows of the index, fewer make more unrelated fingerprints share a cell.
+    The number with the least expected cost is taken, so that with more fingerprints cells get
+    narrower and the work does not grow with their square. The result does not depend on it.
+    """
+
+    def cost(blocks: int) -> float:
+        cells = 2.0 ** (SEGMENT_BITS * 32 * (blocks - bits) / blocks)
+        return comb(blocks, bits) * (1 + PAIR_COST * n / cells)
+
+    return min(range(bits + 1, 33), key=cost)
+
+
 def block_masks(blocks: int) -> list[int]:
     edges = [2 * round(32 * i / blocks) for i in range(blocks + 1)]
     return [sum(1 << b for b in range(x, y)) for x, y in zip(edges, edges[1:])]
@@ -120,12 +140,13 @@ def _shared_before(a: Column, b: Column, table: Column, bits: int, blocks: int)
 
 
 def links(
-    fps: DataFrame, bits: int = BITS, blocks: int = BLOCKS, cell_rows: int = CELL_ROWS
+    fps: DataFrame, bits: int = BITS, blocks: int | None = None, cell_rows: int = CELL_ROWS
 ) -> DataFrame:
     """Links (a, b) between distinct fingerprints `fp` that differ in at most `bits` bits.
 
     Every such pair is connected by the links, those in a crowded cell perhaps by way of others.
     """
+    blocks = blocks or blocks_for(fps.count(), bits)
     cells = _cells(fps, bits, blocks)
     sizes = cells.groupBy("t", "cell").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     sizes = materialise(sizes)
@@ -174,7 +195,7 @@ def _midpoint_links(fps: DataFrame, bits: int) -> DataFrame:
 def near_duplicates(
     docs: DataFrame,
     bits: int = BITS,
-    blocks: int = BLOCKS,
+    blocks: int | None = None,
     cell_rows: int = CELL_ROWS,
     doc_id: str = "doc_id",
     text: str = "text",
