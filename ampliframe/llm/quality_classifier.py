@@ -37,7 +37,7 @@ class Settings:
     rate: float = 0.5
     seed: int = 7
     #: labelled rows used for training, those with the smallest hashes of their ids
-    max_rows: int = 3000
+    max_rows: int = 1500
 
 
 @dataclass(frozen=True)
@@ -96,9 +96,13 @@ def _train(rows: pa.Table, s: Settings) -> Model:
     layer = np.zeros((s.width, 2), np.float32)
     bias = np.zeros(2, np.float32)
     examples = []
-    for b, c, y in zip(rows["__buckets"], rows["__counts"], rows["__label"].to_pylist()):
-        counts = c.values.to_numpy().astype(np.float32)
-        examples.append((b.values.to_numpy(), counts[:, None] / max(counts.sum(), 1), y))
+    by_id = np.argsort(rows["__id"].to_numpy(), kind="stable")
+    labels = rows["__label"].to_pylist()
+    for i in by_id.tolist():
+        # small types: all examples are held by the driver while it trains
+        buckets = rows["__buckets"][i].values.to_numpy()
+        counts = rows["__counts"][i].values.to_numpy().astype(np.float32)
+        examples.append((buckets, counts[:, None] / max(counts.sum(), 1), labels[i]))
     steps = s.epochs * len(examples)
     for n in range(steps):
         if n % len(examples) == 0:
@@ -146,7 +150,10 @@ def fit(
     rows = rows.select("__id", "__label", "__buckets", "__counts").toArrow()
     if not rows.num_rows:
         return Model(settings, np.zeros(settings.buckets, np.float32), 0.0)
-    return _train(rows.sort_by("__id"), settings)
+    model = _train(rows, settings)
+    del rows
+    pa.default_memory_pool().release_unused()
+    return model
 
 
 def score(
