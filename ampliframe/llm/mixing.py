@@ -1,8 +1,9 @@
-"""Mixing sources to target weights in blocks of equal size.
+"""Mixing sources to target weights in blocks of words.
 
 Targets follow from weights and capacities. Sainte-Laguë apportionment turns them into whole
-numbers of blocks: the seats go, one by one, to the source with the highest quotient of its target
-and the odd numbers 1, 3, 5, ... Because a longer list of seats only extends a shorter one, the
+numbers of blocks: the seats go, one by one, to the source with the highest quotient of its target,
+in blocks of its size, and the odd numbers 1, 3, 5, ... All sources have blocks of one size, but
+tiny ones smaller blocks of their own. Because a longer list of seats only extends a shorter one, the
 first part of the list is itself an apportionment; output shard k takes the k-th part, so every
 shard holds all sources in the wanted proportion, as integer quotas.
 
@@ -34,8 +35,10 @@ from ampliframe.llm.common import WORD, without
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
 MOST_REPEATS = 2
-#: words of a block; smaller where a source's target would have fewer than FEWEST_BLOCKS of them
+#: words of a block; smaller where a source's target would have fewer than FEWEST_BLOCKS of them,
+#: for all sources down to LEAST_WORDS, below that for the source alone
 BLOCK_WORDS = 2048
+LEAST_WORDS = 64
 FEWEST_BLOCKS = 256
 SHARDS = 8
 #: documents of a source that are put in order within one task
@@ -110,7 +113,9 @@ def word_count(text: Column | str) -> Column:
 class Plan:
     sources: list[Source]
     targets: list[float]
+    #: words of a block, and of each source's own blocks, which are smaller for tiny sources
     block: int
+    own: list[int]
     #: a row for each source, a column for each output shard
     quotas: np.ndarray
     starts: list[int]
@@ -121,14 +126,16 @@ def plan(sources: Sequence[Source], shards: int = SHARDS, seed: int = 11, **rule
     ordered = sorted(sources, key=lambda s: (s.name is None, s.name or ""))
     wanted = targets(ordered, **rules)
     least = min([t for t in wanted if t > 0], default=BLOCK_WORDS)
-    block = max(1, min(BLOCK_WORDS, int(least / FEWEST_BLOCKS)))
-    seats = round(sum(wanted) / block)
-    blocks = [math.ceil(s.size / block) for s in ordered]
+    block = max(LEAST_WORDS, min(BLOCK_WORDS, int(least / FEWEST_BLOCKS)))
+    own = [max(1, min(block, int(t / FEWEST_BLOCKS))) for t in wanted]
+    in_blocks = [t / b for t, b in zip(wanted, own)]
+    seats = round(sum(in_blocks))
+    blocks = [math.ceil(s.size / b) for s, b in zip(ordered, own)]
     most = [MOST_REPEATS * n for n in blocks]
-    upto = [apportion(wanted, seats * k // shards, most) for k in range(shards + 1)]
+    upto = [apportion(in_blocks, seats * k // shards, most) for k in range(shards + 1)]
     quotas = np.array([b - a for a, b in zip(upto, upto[1:])]).reshape(shards, len(ordered)).T
     starts = [zlib.crc32(f"{seed}:{s.name}".encode()) % max(n, 1) for s, n in zip(ordered, blocks)]
-    return Plan(ordered, wanted, block, quotas, starts)
+    return Plan(ordered, wanted, block, own, quotas, starts)
 
 
 def mix(
@@ -164,15 +171,17 @@ def mix(
     p = plan([Source(r[0], r[1], r[2]) for r in found.collect()], shards, seed, **rules)
     rows = [
         (
-            s.name, i, s.size, float(t), math.ceil(s.size / p.block), int(q.sum()), start,
+            s.name, i, s.size, float(t), b, math.ceil(s.size / b), int(q.sum()), start,
             math.ceil(s.rows / CHUNK_ROWS), [int(x) for x in np.cumsum(q)],
         )
-        for i, (s, t, q, start) in enumerate(zip(p.sources, p.targets, p.quotas, p.starts))
+        for i, (s, t, b, q, start) in enumerate(
+            zip(p.sources, p.targets, p.own, p.quotas, p.starts)
+        )
     ]
     schema = StructType(
         [found.schema["__source"], StructField("__no", IntegerType()),
          StructField("source_size", LongType()), StructField("target", DoubleType()),
-         StructField("__blocks", LongType()), StructField("__quota", LongType()),
+         StructField("__block", LongType()), StructField("__blocks", LongType()), StructField("__quota", LongType()),
          StructField("__start", LongType()), StructField("__chunks", IntegerType()),
          StructField("__upto", ArrayType(LongType()))]
     )
@@ -185,7 +194,7 @@ def mix(
         F.struct("__drawn", "size"),
         {"__from": F.col("size")},
     )
-    block = F.lit(p.block).cast("long")
+    block = F.col("__block")
 
     def before(j: Column) -> Column:
         """Blocks taken, repeats counted, before block j."""

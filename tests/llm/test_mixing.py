@@ -89,3 +89,22 @@ def test_odd_rows_and_texts_as_taken(spark, rows):
     assert mixing.mixed_texts(mixing.mix(df.limit(0))).count() == 0
     single = mixing.mix(df.filter(F.col("doc_id") == 102)).collect()
     assert [(r["size"], r["target"]) for r in single] == [(3, 4.5)]
+
+
+def test_a_tiny_source_does_not_cut_the_texts_of_a_large_one_into_words(spark, rows):
+    data = [doc(i, " ".join(f"w{i}x{k}" for k in range(900)), source="large") for i in range(60)]
+    data.append(doc(1000, " ".join(f"t{k}" for k in range(100)), source=None))
+    mixed = mixing.mix(rows(data, DOCS))
+    got = mixed.collect()
+    large = [x for r in got if r["source"] == "large" for x in r["stretches"]]
+    assert len(large) <= 60 * (900 / 64 + 2)
+    sums = {}
+    for r in got:
+        taken, target = sums.get(r["source"], (0, 0))
+        sums[r["source"]] = (taken + r["taken"], r["target"])
+    assert all(abs(taken - target) <= 64 for taken, target in sums.values())
+    order = {f"w{i}x{k}": (i, k) for i in range(60) for k in range(900)}
+    for r in mixing.mixed_texts(mixed).filter("source = 'large'").select("text").collect():
+        own = [order[w] for w in WORDS.findall(r["text"])]
+        breaks = sum(b != (a[0], a[1] + 1) for a, b in zip(own, own[1:]))
+        assert breaks <= len(own) / 64 + 1
