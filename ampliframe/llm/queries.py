@@ -7,8 +7,8 @@ from functools import wraps
 from pyspark.sql import functions as F
 
 from ampliframe.llm import (
-    bpe, language_id, line_dedup, mixing, passages, quality_classifier, quality_rules, revisits,
-    simhash, topk,
+    bpe, language_id, line_dedup, mixing, passages, pieces, quality_classifier, quality_rules,
+    revisits, simhash, topk,
 )
 from ampliframe.llm.common import table
 from ampliframe.session import materialise, ship_package
@@ -94,6 +94,17 @@ def op10_recurring_passages(spark, sf_dir):
     return passages.passage_classes(found)
 
 
+def op11_piece_round_trip(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    coded = pieces.encode(docs, tokenizer_path("piece_bpe_32k.model"))
+    return coded.select(
+        "doc_id",
+        F.size("token_ids").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(" ", F.col("token_ids").cast("array<string>")), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def _shipped(query):
     """The query, after making the package importable in the session's workers."""
 
@@ -117,6 +128,7 @@ QUERIES = {
         op8_language_id,
         op9_source_mix,
         op10_recurring_passages,
+        op11_piece_round_trip,
     )
 }
 ORACLES: dict[str, str] = {"op1_resolve_revisits": revisits.oracle(), "op3_line_dedup": line_dedup.oracle(10), "op5_exact_top_k": topk.oracle(50, 5)}
