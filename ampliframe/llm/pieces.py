@@ -5,12 +5,13 @@ piece of the vocabulary crosses: before a marker, between a letter and what is n
 characters that no longer piece holds. What merging does to one chunk then never depends on its
 neighbours, so a chunk's ids can be looked up.
 
-1. Texts are cut in blocks of about `BLOCK_CHUNKS` chunks. A block is one row: its distinct chunks
-   in the order of their hash, and for every place of its texts the number of the chunk there.
-2. The distinct chunks of all blocks go to buckets, ranges of the hash, packed by block. A bucket
+1. Texts are cut in blocks of about `BLOCK_CHUNKS` chunks. A block is one row: its distinct chunks,
+   numbered as they come, and for every place of its texts the number of the chunk there. Blocks
+   are stored as a table bucketed by block, so that they need not move again.
+2. The distinct chunks of all blocks go to buckets, ranges of their hash, packed by block. A bucket
    segments each of its distinct chunks once, whatever number of blocks holds it, and answers each
-   block with the ids of the block's chunks, in their order.
-3. Every block meets its answers again; ids are joined back by position and decoded.
+   block with the ids of the block's chunks.
+3. Every block meets its answers; ids are joined back by position and decoded.
 
 A chunk that every text holds is one entry of every block, so no bucket is larger than others by
 its frequent chunks; buckets grow in number with the distinct chunks of all blocks. Segmenting
@@ -23,6 +24,7 @@ from __future__ import annotations
 import codecs
 import heapq
 import re
+import uuid
 from array import array
 from collections.abc import Sequence
 from functools import lru_cache
@@ -36,13 +38,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
 from ampliframe.llm.common import strings
-from ampliframe.session import materialise
+from ampliframe.session import ensure_checkpoint_dir
 
 MARK = "▁"
 #: what the library writes for the unknown piece
 UNKNOWN = " ⁇ "
 #: chunks of a block (a longer text is still one block), and entries of a bucket on average
-BLOCK_CHUNKS = 1 << 21
+BLOCK_CHUNKS = 1 << 22
 BUCKET_ENTRIES = 250_000
 #: tokens of a slice of rows that a task hands on at once
 SLICE_TOKENS = 1 << 19
@@ -212,17 +214,25 @@ def vocabulary(path: str) -> PieceVocabulary:
     return PieceVocabulary(path)
 
 
-def _squeezed(data: np.ndarray | bytes) -> bytes:
-    raw = data.tobytes() if isinstance(data, np.ndarray) else data
+def _squeezed(text: str) -> bytes:
+    raw = text.encode()
     return len(raw).to_bytes(8, "little") + pa.compress(raw, "zstd", asbytes=True)
 
 
-def _restored(data: bytes) -> bytes:
-    return pa.decompress(data[8:], int.from_bytes(data[:8], "little"), "zstd", asbytes=True)
+def _restored(data: bytes) -> str:
+    return pa.decompress(data[8:], int.from_bytes(data[:8], "little"), "zstd", asbytes=True).decode()
 
 
-def _numbers(data: bytes, kind: str = "<i4") -> np.ndarray:
-    return np.frombuffer(_restored(data), kind)
+def _packed(numbers: Sequence[int] | np.ndarray) -> bytes:
+    """Numbers below 2^31, first bytes, second bytes and so on, which compresses best."""
+    planes = np.array(numbers, "<i4").view(np.uint8).reshape(-1, 4).T.tobytes()
+    return len(planes).to_bytes(8, "little") + pa.compress(planes, "zstd", asbytes=True)
+
+
+def _numbers(data: bytes) -> np.ndarray:
+    size = int.from_bytes(data[:8], "little")
+    planes = np.frombuffer(pa.decompress(data[8:], size, "zstd", asbytes=True), np.uint8)
+    return np.ascontiguousarray(planes.reshape(4, -1).T).view("<i4").ravel()
 
 
 def _list_of(offsets: np.ndarray, values: pa.Array) -> pa.ListArray:
@@ -230,7 +240,7 @@ def _list_of(offsets: np.ndarray, values: pa.Array) -> pa.ListArray:
 
 
 def blocks(df: DataFrame, path: str, keep: Sequence[str], text: str, room: int) -> DataFrame:
-    """Blocks of texts: block, n_chunks, hashes and chunks (packed), places, counts and kept rows."""
+    """Blocks of texts: block, n_chunks, the chunks and places (packed), counts and kept rows."""
     given = df.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`").alias("__text"))
     n_kept = len(keep)
     rows = ArrayType(StructType(given.schema.fields[:n_kept]))
@@ -244,23 +254,16 @@ def blocks(df: DataFrame, path: str, keep: Sequence[str], text: str, room: int)
         def block():
             nonlocal made
             found = list(numbers)
-            hashes = np.array([xxhash.xxh64_intdigest(c) for c in found], np.uint64)
-            order = np.lexsort((np.arange(len(found)), hashes))
-            rank = np.empty(len(order), np.int32)
-            rank[order] = np.arange(len(order), dtype=np.int32)
-            at = rank[np.concatenate(places)] if total else np.zeros(0, np.int32)
-            found = [found[i] for i in order.tolist()]
             columns = [pa.concat_arrays([h[i] for h in held]) for i in range(n_kept)]
             kept = pa.StructArray.from_arrays(columns, names=list(keep))
             made += 1
             fields = {
                 "block": pa.array([(TaskContext.get().partitionId() << 32) + made], pa.int64()),
                 "n_chunks": pa.array([len(found)], pa.int64()),
-                "hashes": pa.array([_squeezed(hashes[order])], pa.binary()),
-                "sizes": pa.array([_squeezed(np.array([len(c) for c in found], "<i4"))], pa.binary()),
-                "chunks": pa.array([_squeezed("".join(found).encode())], pa.binary()),
-                "places": pa.array([_squeezed(at.astype("<i4"))], pa.binary()),
-                "counts": pa.array([_squeezed(np.array(counts, "<i4"))], pa.binary()),
+                "sizes": pa.array([_packed([len(c) for c in found])], pa.binary()),
+                "chunks": pa.array([_squeezed("".join(found))], pa.binary()),
+                "places": pa.array([_packed(np.concatenate(places))], pa.binary()),
+                "counts": pa.array([_packed(counts)], pa.binary()),
                 "rows": _list_of(np.array([0, len(kept)]), kept),
             }
             return pa.RecordBatch.from_arrays(list(fields.values()), names=list(fields))
@@ -286,40 +289,55 @@ def blocks(df: DataFrame, path: str, keep: Sequence[str], text: str, room: int)
             yield block()
 
     schema = StructType().add("block", "long").add("n_chunks", "long")
-    for name in ("hashes", "sizes", "chunks", "places", "counts"):
+    for name in ("sizes", "chunks", "places", "counts"):
         schema = schema.add(name, "binary")
     return given.mapInArrow(run, schema.add("rows", rows))
 
 
+def stored(cut: DataFrame) -> DataFrame:
+    """The blocks as a table in the shared folder, bucketed by block; no row is shuffled."""
+    session = cut.sparkSession
+    name = f"pieces_{uuid.uuid4().hex}"
+    writer = cut.write.bucketBy(int(session.conf.get("spark.sql.shuffle.partitions")), "block")
+    path = f"{ensure_checkpoint_dir(session)}/{name}"
+    writer.format("parquet").option("path", path).saveAsTable(name)
+    return session.table(name)
+
+
+def _cut_up(chunks: bytes, sizes: bytes) -> list[str]:
+    text, ends = _restored(chunks), np.cumsum(_numbers(sizes)).tolist()
+    return [text[a:b] for a, b in zip([0, *ends], ends)]
+
+
 def _packs(cut: DataFrame, buckets: int) -> DataFrame:
-    """The distinct chunks of every block, packed by the range of the hash: bucket, block, chunks."""
+    """The distinct chunks of every block by the range of their hash: bucket, block, numbers, chunks.
+
+    `numbers` are the steps from one chunk's number in its block to the next one's.
+    """
 
     def run(batches):
-        edges = np.array([(b << 64) // buckets for b in range(1, buckets)], np.uint64)
         for batch in batches:
-            for block, hashes, sizes, chunks in zip(*(batch.column(i) for i in range(4))):
-                own, sizes = _numbers(hashes.as_py(), "<u8"), _numbers(sizes.as_py())
-                if not len(own):
-                    continue
-                text = _restored(chunks.as_py()).decode()
-                cuts = np.concatenate([[0], np.searchsorted(own, edges), [len(own)]])
-                ends = np.concatenate([[0], np.cumsum(sizes)])
-                used = np.flatnonzero(np.diff(cuts))
-                packs = [(cuts[b], cuts[b + 1]) for b in used.tolist()]
+            for block, sizes, chunks in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                own = _cut_up(chunks, sizes)
+                hashes = np.array([xxhash.xxh32_intdigest(c) for c in own], np.int64)
+                bucket = hashes * buckets >> 32
+                order = np.argsort(bucket, kind="stable")
+                used, first = np.unique(bucket[order], return_index=True)
+                packs = np.split(order, first[1:]) if len(own) else []
+                held = [[own[i] for i in p.tolist()] for p in packs]
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(used.astype(np.int32)),
-                        pa.array([block.as_py()] * len(used), pa.int64()),
-                        pa.array([_squeezed(sizes[x:y]) for x, y in packs], pa.binary()),
-                        pa.array(
-                            [_squeezed(text[ends[x] : ends[y]].encode()) for x, y in packs], pa.binary()
-                        ),
+                        pa.array([block] * len(packs), pa.int64()),
+                        pa.array([_packed(np.diff(p, prepend=0)) for p in packs], pa.binary()),
+                        pa.array([_packed([len(c) for c in h]) for h in held], pa.binary()),
+                        pa.array([_squeezed("".join(h)) for h in held], pa.binary()),
                     ],
-                    names=["bucket", "block", "sizes", "chunks"],
+                    names=["bucket", "block", "numbers", "sizes", "chunks"],
                 )
 
-    return cut.select("block", "hashes", "sizes", "chunks").mapInArrow(
-        run, "bucket int, block long, sizes binary, chunks binary"
+    return cut.select("block", "sizes", "chunks").mapInArrow(
+        run, "bucket int, block long, numbers binary, sizes binary, chunks binary"
     )
 
 
@@ -332,36 +350,40 @@ def _segmented(packs: DataFrame, path: str) -> DataFrame:
         current = None
         for batch in batches:
             out = []
-            for bucket, block, sizes, chunks in zip(*(batch.column(i) for i in range(4))):
+            for bucket, block, numbers, sizes, chunks in zip(
+                *(batch.column(i).to_pylist() for i in range(5))
+            ):
                 if bucket != current:
                     known, current = {}, bucket
-                text, at, found = _restored(chunks.as_py()).decode(), 0, []
-                for size in _numbers(sizes.as_py()).tolist():
-                    chunk = text[at : at + size]
-                    at += size
+                found = []
+                for chunk in _cut_up(chunks, sizes):
                     ids = known.get(chunk)
                     if ids is None:
                         ids = known[chunk] = np.array(own.segment(chunk), "<i4").tobytes()
                     found.append(ids)
-                lengths = np.array([len(f) // 4 for f in found], "<i4")
-                out.append((block.as_py(), bucket.as_py(), _squeezed(lengths), _squeezed(b"".join(found))))
+                lengths = _packed([len(f) // 4 for f in found])
+                out.append((block, numbers, lengths, _packed(np.frombuffer(b"".join(found), "<i4"))))
             columns = zip(*out) if out else [[], [], [], []]
-            kinds = [pa.int64(), pa.int32(), pa.binary(), pa.binary()]
+            kinds = [pa.int64(), pa.binary(), pa.binary(), pa.binary()]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(list(c), k) for c, k in zip(columns, kinds)],
-                names=["block", "bucket", "lengths", "ids"],
+                names=["block", "numbers", "lengths", "ids"],
             )
 
-    return packs.mapInArrow(run, "block long, bucket int, lengths binary, ids binary")
+    return packs.mapInArrow(run, "block long, numbers binary, lengths binary, ids binary")
 
 
 def _joined(own: PieceVocabulary, places, counts, answers, end: bool, decoded: bool):
     """Slices (first row, last row, id offsets, ids, texts or None) of a block."""
-    lengths = [_numbers(a["lengths"]) for a in answers]
-    ids = [_numbers(a["ids"]) for a in answers]
-    lengths = np.concatenate([np.zeros(0, "<i4"), *lengths]).astype(np.int64)
-    ids = np.concatenate([np.zeros(0, "<i4"), *ids])
-    starts = np.cumsum(lengths) - lengths
+    none = [np.zeros(0, np.int64)]
+    numbers, own_lengths = (
+        np.concatenate(none + [found(_numbers(a[name])) for a in answers])
+        for name, found in (("numbers", np.cumsum), ("lengths", np.asarray))
+    )
+    ids = np.concatenate(none + [_numbers(a["ids"]) for a in answers]).astype(np.int32)
+    lengths, starts = np.zeros((2, len(numbers)), np.int64)
+    lengths[numbers] = own_lengths
+    starts[numbers] = np.cumsum(own_lengths) - own_lengths
     ends = np.concatenate([[0], np.cumsum(counts)])
     tokens = np.concatenate([[0], np.cumsum(lengths[places])])[ends]
     first, n = 0, len(counts)
@@ -404,14 +426,14 @@ def encode(
     counter = "__row" if not keep else None
     if counter:
         df, keep = df.withColumn(counter, F.lit(0)), [counter]
-    cut = materialise(blocks(df, path, keep, text, room))
+    cut = stored(blocks(df, path, keep, text, room))
     entries = cut.agg(F.sum("n_chunks")).first()[0] or 0
     buckets = max(1, -(-entries // BUCKET_ENTRIES), 2 * df.sparkSession.sparkContext.defaultParallelism)
     packs = _packs(cut, buckets).repartitionByRange(buckets, "bucket").sortWithinPartitions("bucket")
     answers = (
         _segmented(packs, path)
         .groupBy("block")
-        .agg(F.sort_array(F.collect_list(F.struct("bucket", "lengths", "ids"))).alias("answers"))
+        .agg(F.collect_list(F.struct("numbers", "lengths", "ids")).alias("answers"))
     )
     met = cut.select("block", "places", "counts", "rows").join(answers, "block", "left")
     fields = list(cut.schema["rows"].dataType.elementType.fields)

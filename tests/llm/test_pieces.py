@@ -85,18 +85,14 @@ def test_rows_blocks_and_columns(spark, rows, library):
     assert sorted(r["text"] for r in again.collect()) == sorted(r["decoded"] for r in out)
 
 
-def test_each_distinct_chunk_is_segmented_once(spark, rows, monkeypatch):
+def test_each_distinct_chunk_is_segmented_once(rows):
     df = rows([doc(i, f"a b c{i % 7} a") for i in range(60)], DOCS)
     cut = pieces.blocks(df.repartition(4), PATH, ["doc_id"], "text", 8)
-    held = [
-        (p["bucket"], p["chunks"], p["sizes"]) for p in pieces._packs(cut, 5).collect()
-    ]
+    held = pieces._packs(cut, 5).collect()
     seen = {}
-    for bucket, chunks, sizes in held:
-        text, at = pieces._restored(bytes(chunks)).decode(), 0
-        for n in pieces._numbers(bytes(sizes)).tolist():
-            seen.setdefault(text[at : at + n], set()).add(bucket)
-            at += n
+    for p in held:
+        for chunk in pieces._cut_up(bytes(p["chunks"]), bytes(p["sizes"])):
+            seen.setdefault(chunk, set()).add(p["bucket"])
     assert all(len(b) == 1 for b in seen.values()) and len(held) > len(seen)
 
 
