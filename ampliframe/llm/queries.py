@@ -7,8 +7,8 @@ from functools import wraps
 from pyspark.sql import functions as F
 
 from ampliframe.llm import (
-    bpe, language_id, line_dedup, mixing, passages, pieces, quality_classifier, quality_rules,
-    revisits, simhash, topk,
+    bpe, language_id, line_dedup, mixing, passages, periodic, pieces, quality_classifier,
+    quality_rules, revisits, simhash, topk,
 )
 from ampliframe.llm.common import table
 from ampliframe.session import materialise, ship_package
@@ -105,6 +105,29 @@ def op11_piece_round_trip(spark, sf_dir):
     )
 
 
+def op12_periodic_runs(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = periodic.find_runs(periodic.with_repeats(docs))
+    # lengths in periods are compared as fractions
+    first = F.expr("""array_sort(runs, (x, y) -> case
+        when x.length * y.period <> y.length * x.period
+          then if(x.length * y.period > y.length * x.period, -1, 1)
+        when x.start <> y.start then if(x.start < y.start, -1, 1)
+        else sign(x.period - y.period) :: int end)""")
+    found = found.withColumn("best", F.get(first, F.lit(0)))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.*",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform(lines, lambda x: F.concat(x, F.lit("\n"))), ""), 256).alias(
+            "runs_sha256"
+        ),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 def _shipped(query):
     """The query, after making the package importable in the session's workers."""
 
@@ -129,6 +152,7 @@ QUERIES = {
         op9_source_mix,
         op10_recurring_passages,
         op11_piece_round_trip,
+        op12_periodic_runs,
     )
 }
 ORACLES: dict[str, str] = {"op1_resolve_revisits": revisits.oracle(), "op3_line_dedup": line_dedup.oracle(10), "op5_exact_top_k": topk.oracle(50, 5)}
