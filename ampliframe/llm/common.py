@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -97,3 +98,21 @@ class WordCache(dict):
             value = self._make(word)
         self[word] = value
         return value
+
+
+def pack_numbers(numbers: np.ndarray) -> bytes:
+    """Whole numbers as first bytes, second bytes and so on, which compresses best.
+
+    The narrowest of 1, 2, 4 and 8 bytes that holds them all is taken.
+    """
+    least, most = (int(numbers.min()), int(numbers.max())) if numbers.size else (0, 0)
+    size = next(n for n in (1, 2, 4, 8) if -(1 << 8 * n - 1) <= least and most < 1 << 8 * n - 1)
+    planes = numbers.astype(f"<i{size}").reshape(-1, 1).view(np.uint8).T.tobytes()
+    return bytes([size]) + len(planes).to_bytes(8, "little") + pa.compress(planes, "zstd", asbytes=True)
+
+
+def unpack_numbers(data: bytes) -> np.ndarray:
+    """The numbers of `pack_numbers`, as 64-bit integers."""
+    size, total = data[0], int.from_bytes(data[1:9], "little")
+    planes = np.frombuffer(pa.decompress(data[9:], total, "zstd", asbytes=True), np.uint8)
+    return np.ascontiguousarray(planes.reshape(size, -1).T).view(f"<i{size}").ravel().astype(np.int64)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ampliframe.llm import (
     bpe, language_id, line_dedup, mixing, passages, periodic, pieces, quality_classifier,
-    quality_rules, revisits, simhash, topk,
+    quality_rules, revisits, simhash, topk, vector_codes,
 )
 from ampliframe.llm.common import table
 from ampliframe.session import materialise, ship_package
@@ -128,6 +128,14 @@ def op12_periodic_runs(spark, sf_dir):
     )
 
 
+def op13_vector_codes(spark, sf_dir):
+    coded = vector_codes.compress(table(spark, sf_dir, "embeddings"))
+    rows = vector_codes.with_group_error(coded.rows)
+    return rows.select(
+        "vec_id", "code", "error", "label_error", F.lit(coded.digest()).alias("codebooks_sha256")
+    )
+
+
 def _shipped(query):
     """The query, after making the package importable in the session's workers."""
 
@@ -153,6 +161,12 @@ QUERIES = {
         op10_recurring_passages,
         op11_piece_round_trip,
         op12_periodic_runs,
+        op13_vector_codes,
     )
 }
-ORACLES: dict[str, str] = {"op1_resolve_revisits": revisits.oracle(), "op3_line_dedup": line_dedup.oracle(10), "op5_exact_top_k": topk.oracle(50, 5)}
+ORACLES: dict[str, str] = {
+    "op1_resolve_revisits": revisits.oracle(),
+    "op3_line_dedup": line_dedup.oracle(10),
+    "op5_exact_top_k": topk.oracle(50, 5),
+    "op13_vector_codes": vector_codes.oracle(),
+}

@@ -8,7 +8,7 @@ from helpers import SF_DIR, WORDS
 def test_registered():
     names = entry.queries()
     assert set(queries.QUERIES) < set(names) and "pipeline" in names
-    assert {n.split("_")[0] for n in queries.QUERIES} == {f"op{i}" for i in range(1, 13)}
+    assert {n.split("_")[0] for n in queries.QUERIES} == {f"op{i}" for i in range(1, 14)}
 
 
 def test_each_stage_keeps_the_columns_and_acts_on_what_it_gets(spark):
