@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from ampliframe.contracts import integer_argument, require_columns
 from ampliframe.functions.arrow_text import flat_bytes, slices_by_bytes
 from ampliframe.functions.scale import running_totals
-from ampliframe.sources.fasta import scan_fasta_text
+from ampliframe.sources.fasta_pieces import SPLIT_BYTES, index_rows
 
 # Fixed value: FASTQ qualities are stored as characters starting at code 33.
 PHRED_OFFSET = 33
@@ -191,63 +191,15 @@ def run_rollup(df: DataFrame, sample: str, seq: str = "seq", qual: str = "qual")
     return stats_of_lengths(table, [sample], True)
 
 
-def fasta_index(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+def fasta_index(
+    spark: SparkSession, paths: str | Sequence[str], split_bytes: int = SPLIT_BYTES
+) -> DataFrame:
     """Index rows of FASTA files as stored: file, record_no, name, length, offset, line sizes.
 
-    Raises while running if a record's lines differ in length before its last one.
+    Raises while running if a record's lines differ in length before its last one. A record may
+    be spread over any number of splits.
     """
-    body = F.regexp_replace("body", r"[\r\n]+$", "")
-    lines = scan_fasta_text(spark, paths).select(
-        "file",
-        "file_block",
-        "row_in_block",
-        F.regexp_extract("name", r"^(\S*)", 1).alias("name"),
-        (F.octet_length("record") + 2).alias("record_bytes"),
-        (F.octet_length("header") + 2).alias("header_bytes"),
-        F.length(F.regexp_replace(body, r"[\r\n]", "")).alias("length"),
-        F.when(F.col("body").contains("\r\n"), 2).otherwise(1).alias("line_end"),
-        F.transform(
-            F.split(body, "\n"), lambda s: F.length(F.regexp_replace(s, "\r$", ""))
-        ).alias("widths"),
-    )
-    # only numbers and the name go through the shuffle of the running totals
-    first = F.get("widths", F.lit(0))
-    all_but_last = F.greatest(F.size("widths") - 1, F.lit(1))
-    shape = F.array_distinct(F.slice("widths", F.lit(1), all_but_last))
-    slim = lines.select(
-        "file",
-        "file_block",
-        "row_in_block",
-        "name",
-        "record_bytes",
-        "header_bytes",
-        "length",
-        "line_end",
-        first.alias("line_bases"),
-        ((F.size(shape) <= 1) & (F.element_at("widths", -1) <= first)).alias("even"),
-    )
-    numbered = running_totals(
-        slim,
-        group=["file"],
-        chunk=[F.col("file_block")],
-        order=F.col("row_in_block"),
-        totals={"record_no": F.lit(1), "start": F.col("record_bytes")},
-    )
-    complaint = F.raise_error(F.concat(F.lit("uneven line lengths in record "), F.col("name")))
-    return numbered.select(
-        "file",
-        (F.col("record_no") + 1).cast("bigint").alias("record_no"),
-        "name",
-        F.when(F.col("even"), F.col("length").cast("bigint"))
-        .otherwise(complaint.cast("bigint"))
-        .alias("length"),
-        (F.col("start") + F.col("header_bytes")).cast("bigint").alias("offset"),
-        F.col("line_bases").cast("bigint").alias("line_bases"),
-        F.when(F.col("line_bases") > 0, F.col("line_bases") + F.col("line_end"))
-        .otherwise(0)
-        .cast("bigint")
-        .alias("line_bytes"),
-    )
+    return index_rows(spark, paths, split_bytes)
 
 
 def rendered_fasta_index(

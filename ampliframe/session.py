@@ -13,6 +13,8 @@ SESSION_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # lets the FASTQ source take over filters
+    "spark.sql.python.filterPushdown.enabled": "true",
     # Sequences are wide rows: keep one Arrow batch small enough for a Python worker.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
 }

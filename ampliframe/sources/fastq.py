@@ -1,255 +1,455 @@
-"""FASTQ data source and sink."""
+"""FASTQ data source and sink.
+
+The source reads plain and blocked gzip files by byte ranges, in any number of tasks, other gzip
+files by one task each. A range owns the records whose header follows a newline of its own. Lines
+are found by their newlines, a few megabytes at once; columns that are not asked for, and reads
+that a pushed filter on length or mean quality refuses, are never made.
+
+The sink writes plain or blocked gzip files, one folder for each value of some columns. A task
+writes below a hidden folder; only the files of tasks that ended well are moved to their place.
+"""
 
 from __future__ import annotations
 
-import zlib
+import operator
+import uuid
 from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
+from urllib.parse import quote
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import (
+    DataSource, DataSourceArrowWriter, DataSourceReader, EqualTo, Filter, GreaterThan,
+    GreaterThanOrEqual, IsNotNull, LessThan, LessThanOrEqual, WriterCommitMessage,
+)
 
 from ampliframe.contracts import integer_argument, require_columns
+from ampliframe.functions.arrow_text import flat_bytes
 from ampliframe.functions.labels import FASTQ_SUFFIXES
-from ampliframe.functions.scale import join_lookup, number_in_slices
-
-SCHEMA = (
-    "file string, range_start bigint, row_in_range bigint, record_offset bigint, "
-    "name string, seq string, qual string"
-)
-_ARROW_SCHEMA = pa.schema(
-    [
-        ("file", pa.string()),
-        ("range_start", pa.int64()),
-        ("row_in_range", pa.int64()),
-        ("record_offset", pa.int64()),
-        ("name", pa.string()),
-        ("seq", pa.string()),
-        ("qual", pa.string()),
-    ]
-)
-_READ = 4 << 20
-_BATCH_BYTES = 8 << 20
-
-
-def _filesystem(path: str):
-    from pyarrow import fs
+from ampliframe.functions.scale import SLICE_ROWS, join_lookup, running_totals
+from ampliframe.sources.ranges import (
+    BLOCK_DATA, LAST_BLOCK, READ_BYTES, ByteRange, Piece, blocks, byte_ranges,
+    files_below, first_block, is_blocked, open_filesystem, packed_block, pieces_of, plain_name,
+)
+
+#: Fixed value: qualities are stored as characters starting at this code.
+PHRED_OFFSET = 33
+KINDS = {
+    "file": pa.string(),
+    "range_start": pa.int64(),
+    "row_in_range": pa.int64(),
+    "record_offset": pa.int64(),
+    "name": pa.string(),
+    "seq": pa.string(),
+    "qual": pa.string(),
+    "length": pa.int64(),
+    "mean_quality": pa.float64(),
+}
+#: columns of a scan that asks for none in particular
+COLUMNS = ("file", "range_start", "row_in_range", "record_offset", "name", "seq", "qual")
+_SQL = {pa.string(): "string", pa.int64(): "bigint", pa.float64(): "double"}
+_COMPARED = {
+    EqualTo: operator.eq,
+    GreaterThan: operator.gt,
+    GreaterThanOrEqual: operator.ge,
+    LessThan: operator.lt,
+    LessThanOrEqual: operator.le,
+}
+
+
+# ---- records --------------------------------------------------------------------------------
+
+
+@dataclass
+class Lines:
+    """Bytes with the start and end of every line, and the lines that are headers.
+
+    `offsets` are the coordinates of the headers. Four lines make a record.
+    """
+
+    data: np.ndarray
+    starts: np.ndarray
+    ends: np.ndarray
+    heads: np.ndarray
+    offsets: np.ndarray
+
+    def lengths(self) -> np.ndarray:
+        return self.ends[self.heads + 1] - self.starts[self.heads + 1]
+
+    def mean_qualities(self) -> np.ndarray:
+        """Phred value of the mean error probability of each read, NaN for an empty one."""
+        first, last = self.starts[self.heads + 3], self.ends[self.heads + 3]
+        filled = np.flatnonzero(last > first)
+        out = np.full(len(self.heads), np.nan)
+        if len(filled):
+            error = np.power(10.0, -(np.arange(256) - PHRED_OFFSET) / 10.0)
+            errors = np.append(error[self.data], 0.0)
+            pairs = np.stack([first[filled], last[filled]], 1).ravel()
+            sums = np.add.reduceat(errors, pairs)[::2]
+            out[filled] = -10 * np.log10(sums / (last - first)[filled])
+        return out
+
+    def texts(self, line: int, rows: np.ndarray) -> pa.Array:
+        """The given line (0 to 3) of the records `rows`; a header without its mark."""
+        if len(self.data) >= 1 << 31:
+            raise ValueError("a record is longer than two gigabytes")
+        starts = self.starts.copy()
+        starts[self.heads] += 1
+        # every line is a value, and so is what stands between two lines
+        edges = np.stack([starts, self.ends], 1).ravel().astype(np.int32)
+        values = pa.StringArray.from_buffers(
+            len(edges) - 1, pa.py_buffer(edges), pa.py_buffer(self.data)
+        )
+        out = values.take(pa.array(2 * (self.heads[rows] + line)))
+        if self.data.size and self.data.max() > 127:
+            out.validate(full=True)
+        return out
 
-    if path.startswith("file:") and "://" not in path:
-        path = path[len("file:") :]
-    return fs.FileSystem.from_uri(path)
 
+def _sync(data: np.ndarray, starts: np.ndarray) -> int | None:
+    """The first header line.
 
-class _Range(InputPartition):
-    def __init__(self, path: str, start: int, end: int | None):
-        self.path = path
-        self.start = start
-        self.end = end
+    A quality line may start with '@' too, but two lines below it stands a sequence, while two
+    lines below a header stands '+'.
+    """
+    marks = data[starts]
+    found = np.flatnonzero((marks[:-2] == ord("@")) & (marks[2:] == ord("+")))
+    return int(found[0]) if len(found) else None
 
 
-def _lines(stream, position: int) -> Iterator[tuple[int, bytes]]:
-    """(offset, line without newline) from a byte stream."""
-    rest = b""
-    while True:
-        block = stream.read(_READ)
-        if not block:
+def _heads(data, starts, ends, first: int, ended: bool) -> tuple[np.ndarray, int]:
+    """Header lines from line `first` on, and the first line that belongs to no whole record.
+
+    Where an ended file stops before the quality of an empty read, the line is taken as there.
+    """
+    n = len(starts)
+    heads = first + 4 * np.arange((n - first) // 4)
+    marks = data[starts]
+    rest = n - first - 4 * len(heads)
+    if (marks[heads] == ord("@")).all() and (marks[heads + 2] == ord("+")).all():
+        if not ended or not rest:
+            return heads, n - rest
+    found, at = [], first
+    while at < n:
+        if not data[starts[at] : ends[at]].tobytes().strip():
+            at += 1
+            continue
+        if at + 4 > n and not (ended and at + 3 == n and starts[at + 1] == ends[at + 1]):
             break
-        pieces = (rest + block).split(b"\n")
-        rest = pieces.pop()
-        for piece in pieces:
-            yield position, piece
-            position += len(piece) + 1
-    if rest:
-        yield position, rest
-
-
-class _Inflated:
-    """Reader of a gzip stream that may consist of several members."""
-
-    def __init__(self, raw):
-        self._raw = raw
-        self._inflater = zlib.decompressobj(wbits=31)
-        self._pending = b""
-
-    def read(self, size: int) -> bytes:
-        while True:
-            if not self._pending:
-                self._pending = self._raw.read(_READ)
-                if not self._pending:
-                    if not self._inflater.eof:
-                        raise ValueError("gzip stream ends early")
-                    return b""
-            if self._inflater.eof:
-                if not self._pending.strip(b"\0"):
-                    self._pending = b""
+        if marks[at] != ord("@") or marks[at + 2] != ord("+"):
+            break
+        found.append(at)
+        at += 4
+    return np.array(found, np.int64), at
+
+
+def records(
+    pieces: Iterator[Piece], path: str, at_start: bool, end: int | None
+) -> Iterator[Lines]:
+    """The records that a range owns, from its data and the coordinate of its end."""
+    # a buffer begins with the newline before its first line
+    held, marks, ended = (b"\n", [(0, -1)], False) if at_start else (b"", [], False)
+    synced = at_start
+    while not ended:
+        parts, size, more = [held], len(held), 0
+        while more < READ_BYTES:
+            piece = next(pieces, None)
+            if piece is None:
+                ended = True
+                break
+            text, coordinate = piece
+            if not size:
+                skipped = text.find(b"\n")
+                if skipped < 0:
                     continue
-                self._inflater = zlib.decompressobj(wbits=31)
-            out = self._inflater.decompress(self._pending, size)
-            self._pending = self._inflater.unconsumed_tail or self._inflater.unused_data
-            if out:
-                return out
-
-
-def _records(path: str, lines: Iterator[tuple[int, bytes]], end: int | None):
-    """Four-line records whose header starts before `end`."""
-    while True:
-        head = next(lines, None)
-        while head is not None and head[1].strip() == b"":
-            head = next(lines, None)
-        if head is None or (end is not None and head[0] >= end):
+                text, coordinate = text[skipped:], coordinate + skipped
+            marks.append((size, coordinate))
+            parts.append(text)
+            size += len(text)
+            more += len(text)
+        if ended and size and not parts[-1].endswith(b"\n"):
+            parts.append(b"\n")
+        # one more byte, so that a line may start where the data ends
+        buffer = b"".join([*parts, b"\n"])
+        data = np.frombuffer(buffer, np.uint8)
+        newlines = np.flatnonzero(data[:-1] == 10)
+        starts, ends = newlines[:-1] + 1, newlines[1:].copy()
+        places, coordinates = (np.array(x, np.int64) for x in zip(*marks)) if marks else ([], [])
+
+        def where(at, places=places, coordinates=coordinates):
+            k = np.searchsorted(places, at, "right") - 1
+            return coordinates[k] + (at - places[k])
+
+        first = 0
+        if not synced:
+            first = _sync(data, starts)
+            if first is None:
+                if not ended:
+                    # a header may still be among the last two lines
+                    cut = int(newlines[max(len(newlines) - 3, 0)]) if len(newlines) else 0
+                    held, marks = _kept(buffer, cut, where, marks)
+                continue
+            synced = True
+        ends -= (ends > starts) & (data[ends - 1] == 13)
+        heads, rest = _heads(data, starts, ends, first, ended)
+        if ended and len(heads) and heads[-1] + 3 == len(starts):
+            starts, ends = np.append(starts, len(data) - 1), np.append(ends, len(data) - 1)
+        owned = len(heads)
+        if end is not None and owned:
+            owned = int(np.searchsorted(where(newlines[heads]), end))
+        last = owned < len(heads)
+        lines = Lines(data, starts, ends, heads[:owned], where(starts[heads[:owned]]))
+        wrong = lines.lengths() != ends[lines.heads + 3] - starts[lines.heads + 3]
+        if wrong.any():
+            at = lines.offsets[np.flatnonzero(wrong)[0]]
+            raise ValueError(f"{path}: sequence and quality differ in length at {at}")
+        if owned:
+            yield lines
+        if last:
+            return
+        cut_off = rest < len(starts) and (ended or rest + 4 <= len(starts))
+        if cut_off and (end is None or where(newlines[rest]) < end):
+            raise ValueError(f"{path}: no FASTQ record at {where(starts[rest])}")
+        if end is not None and where(newlines[min(rest, len(newlines) - 1)]) >= end:
             return
-        rest = [next(lines, (0, None))[1] for _ in range(3)]
-        if not head[1].startswith(b"@") or rest[1] is None or not rest[1].startswith(b"+"):
-            raise ValueError(f"{path}: no FASTQ record at byte {head[0]}")
-        seq = rest[0].rstrip(b"\r")
-        qual = (rest[2] or b"").rstrip(b"\r")
-        if len(seq) != len(qual):
-            raise ValueError(f"{path}: sequence and quality differ in length at byte {head[0]}")
-        yield head[0], head[1][1:].rstrip(b"\r"), seq, qual
+        held, marks = _kept(buffer, int(newlines[min(rest, len(newlines) - 1)]), where, marks)
 
 
-def _resync(lines: Iterator[tuple[int, bytes]]) -> Iterator[tuple[int, bytes]]:
-    """Skip to the first header line.
+def _kept(buffer: bytes, cut: int, where, marks: list[tuple[int, int]]):
+    """What is left of a buffer from `cut` on, without the byte added to it, and its marks."""
+    left = [(0, int(where(cut)))] if marks else []
+    return buffer[cut:-1], left + [(p - cut, c) for p, c in marks if p > cut]
 
-    A quality line may start with '@' too, but two lines below it stands a sequence, while two
-    lines below a header stands '+'.
-    """
-    window: list[tuple[int, bytes]] = []
-    for line in lines:
-        window.append(line)
-        if len(window) < 3:
-            continue
-        if window[0][1].startswith(b"@") and window[2][1].startswith(b"+"):
-            yield from window
-            yield from lines
-            return
-        window.pop(0)
+
+# ---- source ---------------------------------------------------------------------------------
 
 
 class _FastqReader(DataSourceReader):
     def __init__(self, options):
         self._paths = [p for p in options.get("path", "").split("\n") if p]
         self._split = int(options.get("splitBytes", 64 << 20))
-
-    def _files(self) -> Iterator[tuple[str, int]]:
-        from pyarrow import fs
-
-        for path in self._paths:
-            filesystem, inner = _filesystem(path)
-            scheme = path.split("://")[0] + "://" if "://" in path else ""
-            info = filesystem.get_file_info(inner)
-            if info.type == fs.FileType.Directory:
-                found = filesystem.get_file_info(fs.FileSelector(inner, recursive=True))
-            elif info.type == fs.FileType.File:
-                found = [info]
+        self._columns = [c for c in options.get("columns", ",".join(COLUMNS)).split(",") if c]
+        self._filters: list[Filter] = []
+
+    def pushFilters(self, filters):
+        """Take over comparisons of length and mean quality with a value."""
+        for f in filters:
+            known = getattr(f, "attribute", None) in (("length",), ("mean_quality",))
+            if known and (type(f) in _COMPARED or isinstance(f, IsNotNull)):
+                self._filters.append(f)
             else:
-                raise ValueError(f"no such FASTQ path: {path}")
-            for item in sorted(found, key=lambda i: i.path):
-                if item.type == fs.FileType.File and (
-                    item is info or item.path.endswith(FASTQ_SUFFIXES)
-                ):
-                    yield scheme + item.path, item.size
+                yield f
 
     def partitions(self):
-        ranges = []
-        for path, size in self._files():
-            if path.endswith(".gz"):
-                ranges.append(_Range(path, 0, None))
-                continue
-            ranges.extend(
-                _Range(path, start, min(start + self._split, size))
-                for start in range(0, size, self._split)
-            )
-        return ranges or [_Range("", 0, 0)]
+        ranges = byte_ranges(files_below(self._paths, FASTQ_SUFFIXES), self._split)
+        return ranges or [ByteRange("", 0, 0, 0)]
 
-    def read(self, partition: _Range):
+    def read(self, partition: ByteRange):
         if not partition.path:
             return
-        filesystem, inner = _filesystem(partition.path)
-        if partition.end is None:
-            with filesystem.open_input_stream(inner, compression=None) as raw:
-                lines = _lines(_Inflated(raw), 0)
-                yield from _batches(partition, _records(partition.path, lines, None))
-            return
+        filesystem, inner = open_filesystem(partition.path)
         with filesystem.open_input_file(inner) as raw:
-            start = max(partition.start - 1, 0)
-            raw.seek(start)
-            lines = _lines(raw, start)
-            if partition.start > 0:
-                next(lines, None)  # the tail of a line that began in the previous range
-                lines = _resync(lines)
-            yield from _batches(partition, _records(partition.path, lines, partition.end))
-
-
-def _batches(partition: _Range, records) -> Iterator[pa.RecordBatch]:
-    rows: list[tuple] = []
-    held = done = 0
-
-    def batch():
-        offsets, names, seqs, quals = zip(*rows)
+            found = pieces_of(raw, partition)
+            if found is None:
+                return
+            done = 0
+            for lines in records(found[0], partition.path, found[1], found[2]):
+                yield self._batch(partition, lines, done)
+                done += len(lines.heads)
+
+    def _batch(self, partition: ByteRange, lines: Lines, done: int) -> pa.RecordBatch:
+        measured = {}
+        used = {*self._columns, *(f.attribute[0] for f in self._filters)}
+        if "length" in used:
+            measured["length"] = lines.lengths()
+        if "mean_quality" in used:
+            measured["mean_quality"] = lines.mean_qualities()
+        keep = np.ones(len(lines.heads), bool)
+        for f in self._filters:
+            values = measured[f.attribute[0]]
+            if isinstance(f, IsNotNull):
+                keep &= ~np.isnan(values)
+            else:
+                # no comparison holds for the missing quality of an empty read
+                keep &= _COMPARED[type(f)](values, f.value)
+        rows = np.flatnonzero(keep)
+        made = {
+            "file": lambda: pa.array([partition.path] * len(rows), pa.string()),
+            "range_start": lambda: pa.array(np.full(len(rows), partition.start)),
+            "row_in_range": lambda: pa.array(done + rows),
+            "record_offset": lambda: pa.array(lines.offsets[rows]),
+            "name": lambda: lines.texts(0, rows),
+            "seq": lambda: lines.texts(1, rows),
+            "qual": lambda: lines.texts(3, rows),
+            "length": lambda: pa.array(measured["length"][rows]),
+            "mean_quality": lambda: pa.array(measured["mean_quality"][rows], from_pandas=True),
+        }
         return pa.RecordBatch.from_arrays(
-            [
-                pa.array([partition.path] * len(rows), pa.string()),
-                pa.array([partition.start] * len(rows), pa.int64()),
-                pa.array(range(done, done + len(rows)), pa.int64()),
-                pa.array(offsets, pa.int64()),
-                pa.array([n.decode() for n in names], pa.string()),
-                pa.array([s.decode("ascii") for s in seqs], pa.string()),
-                pa.array([q.decode("ascii") for q in quals], pa.string()),
-            ],
-            schema=_ARROW_SCHEMA,
+            [made[c]() for c in self._columns],
+            schema=pa.schema([(c, KINDS[c]) for c in self._columns]),
         )
 
-    for record in records:
-        rows.append(record)
-        held += 2 * len(record[2]) + 64
-        if held >= _BATCH_BYTES:
-            yield batch()
-            done += len(rows)
-            rows, held = [], 0
-    if rows:
-        yield batch()
-
 
 class FastqDataSource(DataSource):
-    """`spark.read.format("fastq")`: byte-range tasks for plain files, one task per .gz file."""
+    """`spark.read.format("fastq")` and its writer; see `scan_fastq` and `write_reads_by`."""
 
     @classmethod
     def name(cls):
         return "fastq"
 
     def schema(self):
-        return SCHEMA
+        columns = self.options.get("columns", ",".join(COLUMNS)).split(",")
+        return ", ".join(f"{c} {_SQL[KINDS[c]]}" for c in columns)
 
     def reader(self, schema):
         return _FastqReader(self.options)
 
+    def writer(self, schema, overwrite):
+        return _FastqWriter(self.options, overwrite)
+
+
+class _BlockReader(_FastqReader):
+    """The blocks of blocked gzip files, from their headers and sizes alone."""
+
+    def pushFilters(self, filters):
+        return filters
+
+    def read(self, partition: ByteRange):
+        if not partition.path.endswith(".gz"):
+            return
+        filesystem, inner = open_filesystem(partition.path)
+        with filesystem.open_input_file(inner) as raw:
+            at = first_block(raw, partition.start, partition.size) if is_blocked(raw) else None
+            if at is None:
+                return
+            rows = []
+            for offset, member in blocks(raw, at):
+                if offset >= partition.end:
+                    break
+                rows.append((offset, len(member), int.from_bytes(member[-4:], "little")))
+            columns = list(zip(*rows)) or [(), (), ()]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([partition.path] * len(rows), pa.string()),
+                    pa.array([partition.start] * len(rows), pa.int64()),
+                    *[pa.array(c, pa.int64()) for c in columns],
+                ],
+                names=["file", "range_start", "block_offset", "block_bytes", "data_bytes"],
+            )
+
+
+class BlockDataSource(DataSource):
+    """`spark.read.format("gzip_blocks")`; see `block_index`."""
+
+    @classmethod
+    def name(cls):
+        return "gzip_blocks"
+
+    def schema(self):
+        return (
+            "file string, range_start bigint, block_offset bigint, block_bytes bigint, "
+            "data_bytes bigint"
+        )
+
+    def reader(self, schema):
+        return _BlockReader(self.options)
+
+
+def _loaded(spark: SparkSession, source: type[DataSource], paths, split_bytes: int, **options):
+    split_bytes = integer_argument(split_bytes, "split_bytes", 1)
+    spark.dataSource.register(source)
+    joined = paths if isinstance(paths, str) else "\n".join(paths)
+    reader = spark.read.format(source.name()).option("splitBytes", split_bytes)
+    return reader.options(**options).load(joined)
+
 
 def scan_fastq(
-    spark: SparkSession, paths: str | Sequence[str], split_bytes: int = 64 << 20
+    spark: SparkSession,
+    paths: str | Sequence[str],
+    split_bytes: int = 64 << 20,
+    columns: Sequence[str] = COLUMNS,
 ) -> DataFrame:
     """Records of FASTQ files or folders: file, range_start, row_in_range, record_offset, name,
     seq, qual.
 
-    `record_offset` is the (uncompressed) byte position of the record and orders a file; the
-    range columns tell which task's part of the file a record came from.
+    `columns` chooses from these and `length` and `mean_quality` (Phred value of the mean error
+    probability, NULL for an empty read). Comparisons of the last two with a value are pushed into
+    the scan where `spark.sql.python.filterPushdown.enabled` is set, and then no text of a refused
+    read is made. `record_offset` orders a file: the byte position of the record, of its data in a
+    gzip file, or the virtual offset (2^16 times the block's offset plus the place in it) in a
+    blocked one. The range columns tell which part of the file a record came from; `row_in_range`
+    counts refused reads too.
     """
-    split_bytes = integer_argument(split_bytes, "split_bytes", 1)
-    spark.dataSource.register(FastqDataSource)
-    joined = paths if isinstance(paths, str) else "\n".join(paths)
-    return spark.read.format("fastq").option("splitBytes", split_bytes).load(joined)
+    unknown = [c for c in columns if c not in KINDS]
+    if unknown or not columns:
+        raise ValueError(f"a FASTQ scan has no column(s) {', '.join(unknown) or '(none given)'}")
+    return _loaded(spark, FastqDataSource, paths, split_bytes, columns=",".join(columns))
 
 
 def read_fastq(
     spark: SparkSession, paths: str | Sequence[str], split_bytes: int = 64 << 20
 ) -> DataFrame:
-    """Like `scan_fastq` with a dense 1-based `record_no` per file instead of the offset."""
-    df = scan_fastq(spark, paths, split_bytes).drop("record_offset")
-    numbered = number_in_slices(df, ["file"], "range_start", "row_in_range", "record_no")
+    """Records with a dense 1-based `record_no` per file: file, record_no, name, seq, qual.
+
+    Records before a range are counted by newlines alone; no text is made for that.
+    """
+    ordered = ("file", "range_start", "row_in_range")
+    before = Window.partitionBy("file").orderBy("range_start").rowsBetween(
+        Window.unboundedPreceding, -1
+    )
+    ranges = scan_fastq(spark, paths, split_bytes, ordered).groupBy("file", "range_start")
+    ranges = ranges.agg(F.count(F.lit(1)).alias("n")).select(
+        "file", "range_start", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("__before")
+    )
+    found = scan_fastq(spark, paths, split_bytes, (*ordered, "name", "seq", "qual"))
+    numbered = join_lookup(found, ranges, ["file", "range_start"], "left", SLICE_ROWS)
+    number = F.coalesce("__before", F.raise_error(F.lit("the input changed while it was read")))
     return numbered.select(
-        "file", F.col("record_no").cast("bigint").alias("record_no"), "name", "seq", "qual"
+        "file",
+        (number.cast("bigint") + F.col("row_in_range") + 1).alias("record_no"),
+        "name",
+        "seq",
+        "qual",
+    )
+
+
+def block_index(
+    spark: SparkSession, paths: str | Sequence[str], split_bytes: int = 64 << 20
+) -> DataFrame:
+    """Blocks of blocked gzip files: file, block_offset, block_bytes, data_offset, data_bytes.
+
+    Each task finds the blocks of its own byte range; where data of a block begins is summed up
+    over the ranges. Other files have no rows.
+    """
+    found = _loaded(spark, BlockDataSource, paths, split_bytes)
+    placed = running_totals(
+        found,
+        group=["file"],
+        chunk=[F.col("range_start")],
+        order=F.col("block_offset"),
+        totals={"data_offset": F.col("data_bytes")},
+    )
+    return placed.select("file", "block_offset", "block_bytes", "data_offset", "data_bytes")
+
+
+def with_data_offset(df: DataFrame, index: DataFrame) -> DataFrame:
+    """Records of blocked gzip files with `data_offset`, the place of their text in the data."""
+    block = index.select(
+        "file",
+        F.col("block_offset").alias("__block"),
+        F.col("data_offset").alias("__data"),
     )
+    keyed = df.withColumn("__block", F.shiftright("record_offset", 16))
+    joined = keyed.join(block, ["file", "__block"], "left")
+    place = F.col("__data") + F.col("record_offset").bitwiseAND(0xFFFF)
+    return joined.select(*df.columns, place.alias("data_offset"))
+
+
+# ---- sink -----------------------------------------------------------------------------------
 
 
 def fastq_record(name: str = "name", seq: str = "seq", qual: str = "qual"):
@@ -259,34 +459,157 @@ def fastq_record(name: str = "name", seq: str = "seq", qual: str = "qual"):
     )
 
 
+class _Files(WriterCommitMessage):
+    def __init__(self, moves: list[tuple[str, str]]):
+        self.moves = moves
+
+
+class _FastqWriter(DataSourceArrowWriter):
+    """Rows (by columns, name, seq, qual) that come folder by folder, as FASTQ files."""
+
+    def __init__(self, options, overwrite: bool):
+        self.path = plain_name(options["path"]).rstrip("/")
+        self.overwrite = overwrite
+        self.by = [c for c in options.get("by", "").split(",") if c]
+        self.blocked = options.get("compression", "blocked") == "blocked"
+        self.level = int(options.get("level", 5))
+        self.file_bytes = int(options.get("fileBytes", 256 << 20))
+        self.file_rows = int(options.get("fileRows", 1 << 62))
+        self.job = uuid.uuid4().hex
+
+    def _working(self) -> str:
+        return f"{self.path}/_writing-{self.job}"
+
+    def _folder(self, values: Sequence[str | None]) -> str:
+        return "/".join(
+            f"{c}={quote(v, safe=' -_.,;@!+$&()~') if v else '__HIVE_DEFAULT_PARTITION__'}"
+            for c, v in zip(self.by, values)
+        )
+
+    def write(self, iterator):
+        filesystem, root = open_filesystem(self.path)
+        working = root + self._working()[len(self.path) :]
+        suffix = ".fastq.gz" if self.blocked else ".fastq"
+        moves, attempt = [], uuid.uuid4().hex
+        out, folder, held, size, rows = None, None, b"", 0, 0
+
+        def put(data: bytes):
+            nonlocal size
+            out.write(data)
+            size += len(data)
+
+        def add(data: bytes, last: bool = False):
+            nonlocal held
+            if not self.blocked:
+                return put(data)
+            held += data
+            upto = len(held) if last else len(held) - len(held) % BLOCK_DATA
+            for at in range(0, upto, BLOCK_DATA):
+                put(packed_block(held[at : at + BLOCK_DATA], self.level))
+            held = held[upto:]
+
+        def close():
+            nonlocal out
+            if out is not None:
+                add(b"", last=True)
+                if self.blocked:
+                    put(LAST_BLOCK)
+                out.close()
+            out = None
+
+        for batch in iterator:
+            columns = dict(zip(batch.schema.names, batch.columns))
+            text = pc.binary_join_element_wise(
+                pc.binary_join_element_wise("@", columns["name"], ""),
+                columns["seq"], "+", columns["qual"], "", "\n",
+            )
+            if text.null_count:
+                raise ValueError("a read has no name, sequence or quality")
+            data, bounds = flat_bytes(text)
+            keys = list(zip(*[columns[c].cast(pa.string()).to_pylist() for c in self.by]))
+            keys = keys or [()] * batch.num_rows
+            for i in range(batch.num_rows):
+                if out is None or keys[i] != folder or size >= self.file_bytes or rows >= self.file_rows:
+                    close()
+                    folder, size, rows = keys[i], 0, 0
+                    inside = "/".join(filter(None, [self._folder(folder), f"part-{len(moves):05d}-{attempt}{suffix}"]))
+                    place = f"{working}/{attempt}/{inside}"
+                    filesystem.create_dir(place.rsplit("/", 1)[0], recursive=True)
+                    out = filesystem.open_output_stream(place, compression=None)
+                    moves.append((place, f"{root}/{inside}"))
+                add(data[bounds[i] : bounds[i + 1]].tobytes())
+                rows += 1
+        close()
+        return _Files(moves)
+
+    def commit(self, messages):
+        from pyarrow import fs
+
+        filesystem, root = open_filesystem(self.path)
+        if self.overwrite:
+            for old in filesystem.get_file_info(fs.FileSelector(root, allow_not_found=True)):
+                if old.type == fs.FileType.Directory and not old.base_name.startswith("_writing-"):
+                    filesystem.delete_dir(old.path)
+                elif old.type == fs.FileType.File:
+                    filesystem.delete_file(old.path)
+        for message in messages:
+            for place, target in message.moves if message else ():
+                filesystem.create_dir(target.rsplit("/", 1)[0], recursive=True)
+                filesystem.move(place, target)
+        self._clean(filesystem, root)
+
+    def abort(self, messages):
+        self._clean(*open_filesystem(self.path))
+
+    def _clean(self, filesystem, root: str):
+        from pyarrow import fs
+
+        working = root + self._working()[len(self.path) :]
+        if filesystem.get_file_info(working).type == fs.FileType.Directory:
+            filesystem.delete_dir(working)
+
+
 def write_reads_by(
     df: DataFrame,
     path: str,
     by: Sequence[str] = ("group", "barcode"),
-    rows_per_file: int = 500_000,
+    rows_per_file: int | None = None,
     compression: str = "gzip",
     mode: str = "errorifexists",
+    file_bytes: int = 256 << 20,
+    level: int = 5,
 ) -> None:
     """Write reads as FASTQ text below one folder per value of the `by` columns.
 
-    Each folder gets as many files as its reads need: a folder with a third of all reads is
-    spread over many tasks, a small one is a single file.
+    Tasks are cut by bytes while the job runs: a folder with a third of all reads is split over
+    many tasks, small ones share a task. A task begins a new file at `file_bytes` (and at
+    `rows_per_file` reads, if given). "gzip" makes blocked gzip, which any gzip reader reads and
+    `scan_fastq` splits; "none" plain text. Repeated and failed tasks leave nothing behind. Modes
+    are errorifexists, overwrite and append. The path must be one that all tasks reach.
     """
+    from pyarrow import fs
+
     by = list(by)
     require_columns(df, [*by, "name", "seq", "qual"], "the read set")
-    rows_per_file = integer_argument(rows_per_file, "rows_per_file", 1)
-    files = df.groupBy(*by).agg(
-        F.ceil(F.count(F.lit(1)) / rows_per_file).cast("int").alias("__files")
-    )
-    spread = join_lookup(df, files, by, "inner").withColumn(
-        "__part", F.pmod(F.xxhash64("name", "seq"), F.col("__files"))
-    )
-    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    (
-        spread.repartition(tasks, *by, "__part")
-        .select(*by, fastq_record().alias("value"))
-        .write.mode(mode)
-        .option("compression", compression)
-        .partitionBy(*by)
-        .text(path)
-    )
+    if compression not in ("gzip", "none"):
+        raise ValueError("compression must be 'gzip' or 'none'")
+    if mode not in ("errorifexists", "error", "overwrite", "append"):
+        raise ValueError(f"unknown mode {mode}")
+    filesystem, inner = open_filesystem(path)
+    if mode in ("errorifexists", "error") and filesystem.get_file_info(inner).type != fs.FileType.NotFound:
+        raise ValueError(f"path {path} already exists")
+    spark = df.sparkSession
+    spark.dataSource.register(FastqDataSource)
+    rows = df.select(*by, "name", "seq", "qual")
+    if by:
+        rows = rows.hint("rebalance", *by).sortWithinPartitions(*by)
+    options = {
+        "by": ",".join(by),
+        "compression": "blocked" if compression == "gzip" else "none",
+        "level": integer_argument(level, "level"),
+        "fileBytes": integer_argument(file_bytes, "file_bytes", 1),
+    }
+    if rows_per_file is not None:
+        options["fileRows"] = integer_argument(rows_per_file, "rows_per_file", 1)
+    writer = rows.write.format("fastq").options(**options)
+    writer.mode("overwrite" if mode == "overwrite" else "append").save(path)
