@@ -32,6 +32,9 @@ WHITE = "\\t-\\r\\x20\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205
 #: ... and the ranges of bytes that a vocabulary file writes as the character of the same number.
 PLAIN_BYTES = ((33, 126), (161, 172), (174, 255))
 
+#: characters of the longest word whose ids are kept for the next time
+CACHED_CHARACTERS = 64
+
 
 def byte_characters() -> dict[str, int]:
     """The character that stands for each byte in a vocabulary file."""
@@ -85,8 +88,9 @@ class BytePairVocabulary:
             a, b = ("".join(chr(to_byte[c]) for c in part) for part in (left, right))
             self._rank[ids[a] * size + ids[b]] = rank
             self._parts.setdefault(ids[a + b], (ids[a], ids[b], rank))
-        self._lefts = [self._edge(t, 1) for t in range(size)]
-        self._rights = [self._edge(t, 0) for t in range(size)]
+        # of the tokens that come up
+        self._lefts = WordCache(lambda t: self._edge(t, 1), 1 << 17)
+        self._rights = WordCache(lambda t: self._edge(t, 0), 1 << 17)
         self._compatible: dict[int, bool] = WordCache(self._may_follow, 300_000)
         self._pattern = piece_pattern()
         self._added = (
@@ -95,8 +99,12 @@ class BytePairVocabulary:
             else None
         )
         self._space_twice = regex.compile(f"[{WHITE}] ")
-        self._pieces = WordCache(lambda p: np.array(self.encode_piece(p), "<i4").tobytes())
-        self._words = WordCache(lambda w: self._by_pieces(" " + w))
+        # a word is held by one of the two
+        self._pieces = WordCache(self._packed, 50_000, CACHED_CHARACTERS)
+        self._words = WordCache(
+            lambda w: b"".join(map(self._packed, self._pattern.findall(" " + w))),
+            100_000, CACHED_CHARACTERS,
+        )
         self._marks = {t: np.array([i], "<i4").tobytes() for t, i in self.added.items()}
 
     def _edge(self, token: int, side: int) -> list[tuple[int, float]]:
@@ -159,6 +167,9 @@ class BytePairVocabulary:
                 before = taken[-1] if taken else -1
         return taken
 
+    def _packed(self, piece: str) -> bytes:
+        return np.array(self.encode_piece(piece), "<i4").tobytes()
+
     def _by_pieces(self, text: str) -> bytes:
         pieces = self._pieces
         return b"".join([pieces[p] for p in self._pattern.findall(text)])
@@ -206,6 +217,8 @@ def vocabulary(path: str) -> BytePairVocabulary:
 
 #: tokens or bytes handled at once when a batch is decoded
 DECODE_BLOCK = 1 << 20
+#: bytes of text whose ids and decoded texts are held at once
+SLICE_BYTES = 4 << 20
 
 
 def _id_lists(lists: list[np.ndarray]) -> pa.Array:
@@ -230,7 +243,7 @@ def encode(df: DataFrame, path: str, text: str = "text", ids: str = "token_ids")
         return lambda texts: [_id_lists([own.encode(t) for t in strings(texts)])]
 
     fields = StructType([StructField(ids, ArrayType(IntegerType(), False), False)])
-    return add_columns(df, [text], fields, start)
+    return add_columns(df, [text], fields, start, SLICE_BYTES)
 
 
 def decode(df: DataFrame, path: str, ids: str = "token_ids", text: str = "text") -> DataFrame:
@@ -296,4 +309,4 @@ def encode_decode(df: DataFrame, path: str, text: str = "text") -> DataFrame:
             StructField("decoded", StringType(), False),
         ]
     )
-    return add_columns(df, [text], fields, start)
+    return add_columns(df, [text], fields, start, SLICE_BYTES)

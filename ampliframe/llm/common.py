@@ -6,6 +6,7 @@ from collections.abc import Callable, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
@@ -36,14 +37,33 @@ def without(df: DataFrame, names: Sequence[str]) -> list[Column]:
     return [F.col(f"`{c}`") for c in df.columns if c.lower() not in taken]
 
 
+def _slices(batch: pa.RecordBatch, column: int, slice_bytes: int | None):
+    """The batch in slices whose values of a column take about `slice_bytes`."""
+    if slice_bytes is None or batch.num_rows < 2:
+        yield batch
+        return
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+    ends, first = np.cumsum(sizes, dtype=np.int64), 0
+    while first < batch.num_rows:
+        upto = (ends[first - 1] if first else 0) + slice_bytes
+        last = max(int(np.searchsorted(ends, upto, "right")), first + 1)
+        yield batch.slice(first, last - first)
+        first = last
+
+
 def add_columns(
-    df: DataFrame, inputs: Sequence[str | Column], fields: StructType, start: Callable[[], ArrowStep]
+    df: DataFrame,
+    inputs: Sequence[str | Column],
+    fields: StructType,
+    start: Callable[[], ArrowStep],
+    slice_bytes: int | None = None,
 ) -> DataFrame:
     """`df` with columns computed by Python, one Arrow batch at a time.
 
     `start` runs once per task and returns the function from the input arrays of a batch to the
     arrays of `fields`. Columns of `df` named like one of `fields` are replaced. Only one batch,
-    whose bytes Spark bounds, is held at a time.
+    whose bytes Spark bounds, is held at a time; where a row makes several times its size, give
+    `slice_bytes`, and batches are worked on in slices with so many bytes of the first input.
     """
     kept = without(df, fields.names)
     given = [F.col(f"`{c}`") if isinstance(c, str) else c for c in inputs]
@@ -59,10 +79,11 @@ def add_columns(
         step = None
         for batch in batches:
             step = step or start()
-            columns = batch.columns
-            made = step(*columns[n_kept : n_kept + n_in])
-            made = [a if a.type == t else a.cast(t) for a, t in zip(made, types)]
-            yield pa.RecordBatch.from_arrays([*columns[:n_kept], *made], names=schema.names)
+            for part in _slices(batch, n_kept, slice_bytes):
+                columns = part.columns
+                made = step(*columns[n_kept : n_kept + n_in])
+                made = [a if a.type == t else a.cast(t) for a, t in zip(made, types)]
+                yield pa.RecordBatch.from_arrays([*columns[:n_kept], *made], names=schema.names)
 
     return source.mapInArrow(run, schema)
 
@@ -81,15 +102,17 @@ class WordCache(dict):
     """word -> value, filled on first use, with at most twice `limit` entries.
 
     At `limit` entries the cache starts anew but still looks into what it held before, so that
-    frequent words survive. This bounds a worker's memory for texts with endless new words and
-    changes no value.
+    frequent words survive. Words longer than `longest` are never kept. This bounds a worker's
+    memory for texts with endless or very long words and changes no value.
     """
 
-    def __init__(self, make: Callable, limit: int = 200_000):
+    def __init__(self, make: Callable, limit: int = 200_000, longest: int | None = None):
         super().__init__()
-        self._make, self._limit, self._before = make, limit, {}
+        self._make, self._limit, self._longest, self._before = make, limit, longest, {}
 
     def __missing__(self, word):
+        if self._longest is not None and len(word) > self._longest:
+            return self._make(word)
         if len(self) >= self._limit:
             self._before = dict(self)
             self.clear()

@@ -67,11 +67,15 @@ def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
     return int.from_bytes(np.packbits(2 * counts > len(rows)).tobytes(), "big", signed=True)
 
 
-def with_fingerprint(docs: DataFrame, text: str = "text", name: str = "fp") -> DataFrame:
+def with_fingerprint(
+    docs: DataFrame, text: str = "text", name: str = "fp", shingle: int = SHINGLE
+) -> DataFrame:
     """`docs` with the fingerprint of every whole text; a null text counts as empty."""
 
     def start():
-        return lambda texts: [pa.array([fingerprint(t) for t in utf8(texts)], pa.int64())]
+        return lambda texts: [
+            pa.array([fingerprint(t, shingle) for t in utf8(texts)], pa.int64())
+        ]
 
     return add_columns(docs, [text], StructType([StructField(name, LongType(), False)]), start)
 
@@ -199,6 +203,7 @@ def near_duplicates(
     cell_rows: int = CELL_ROWS,
     doc_id: str = "doc_id",
     text: str = "text",
+    shingle: int = SHINGLE,
 ) -> DataFrame:
     """One row (doc_id, fingerprint, component_id) for every row of `docs`.
 
@@ -207,7 +212,7 @@ def near_duplicates(
     a component but are never one, unless all of its ids are null. Repeated rows stay repeated.
     """
     given = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
-    prints = materialise(with_fingerprint(given).select("doc_id", "fp"))
+    prints = materialise(with_fingerprint(given, shingle=shingle).select("doc_id", "fp"))
     nodes = materialise(prints.groupBy("fp").agg(F.min("doc_id").alias("least")))
     found = components(links(nodes.select("fp"), bits, blocks, cell_rows))
     labelled = nodes.join(found, nodes["fp"] == found["node"], "left").select(
