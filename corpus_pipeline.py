@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ampliframe.llm import bpe, line_dedup, mixing, quality_classifier, simhash
 from ampliframe.llm.common import DOCUMENT_COLUMNS, table
 from ampliframe.llm.queries import tokenizer_path
-from ampliframe.session import ensure_checkpoint_dir, ship_package
+from ampliframe.session import ensure_checkpoint_dir, materialise, ship_package
 
 
 def _with_text(docs: DataFrame, text: str) -> DataFrame:
@@ -36,11 +36,31 @@ def drop_shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near-duplicates."""
+    """One row of each group of near-duplicates: that with the smallest id, of these by its hash.
+
+    Rows are told apart by all their columns, so a repeated id loses none of its texts; equal rows
+    become one. Rows without an id stay only where their whole group has none. Texts that are null
+    or hold no word are copies of each other. Fingerprints are of five-word shingles and link at
+    four bits or fewer, which is closer than a similarity of 0.8.
+    """
     ship_package(spark)
-    groups = simhash.near_duplicates(docs)
-    others = groups.filter("doc_id <> component_id").select("doc_id")
-    return docs.join(others, "doc_id", "left_anti").select(*DOCUMENT_COLUMNS)
+    columns = [c for name in DOCUMENT_COLUMNS for c in (F.col(name), F.col(name).isNull())]
+    keyed = docs.select(
+        *DOCUMENT_COLUMNS,
+        F.xxhash64(*columns).alias("h1"),
+        F.xxhash64(F.lit(1), *columns).alias("h2"),
+    )
+    row = F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "h1", "h2").alias("row")
+    groups = simhash.near_duplicates(keyed.select(row, "text"), doc_id="row", shingle=5)
+    rows = groups.groupBy(
+        F.col("doc_id.h1").alias("h1"), F.col("doc_id.h2").alias("h2"),
+        F.col("component_id.h1").alias("c1"), F.col("component_id.h2").alias("c2"),
+    ).agg(F.count(F.lit(1)).alias("n"))
+    stays = (F.col("h1") == F.col("c1")) & (F.col("h2") == F.col("c2"))
+    rows = materialise(rows.filter(~stays | (F.col("n") > 1)).select("h1", "h2", stays.alias("stays")))
+    repeated = keyed.join(rows.filter("stays"), ["h1", "h2"], "left_semi").dropDuplicates(["h1", "h2"])
+    others = keyed.join(rows.select("h1", "h2"), ["h1", "h2"], "left_anti")
+    return others.unionByName(repeated).select(*DOCUMENT_COLUMNS)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
