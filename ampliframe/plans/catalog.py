@@ -4,12 +4,11 @@ from __future__ import annotations
 
 from functools import wraps
 
-from ampliframe.plans import file_queries, qc_queries, sequence_queries
+from ampliframe.plans import file_queries, qc_queries, read_queries, sequence_queries
 from ampliframe.plans.fixtures import with_views
 from ampliframe.session import ship_package
 
-MODULES = (qc_queries, sequence_queries, file_queries)
-
+MODULES = (qc_queries, sequence_queries, file_queries, read_queries)
 
 
 def _shipped(query):

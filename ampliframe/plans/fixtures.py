@@ -63,6 +63,12 @@ def _moved_name(key: str) -> str:
     )
 
 
+_CUSTOMER = "concat('{0}',cast(c_custkey as <S>))"
+_PANELLED = f"concat('AC',f_primer,seq,{rc('r_primer')},'GT')"
+_REFERENCE = (
+    f"concat({_hex_dna('{0}')},{_hex_dna(chr(39) + 'all' + chr(39))},"
+    f"{_hex_dna('reverse({0})')})"
+)
 _PART_SEQ = _hex_dna("concat_ws('|',p_name,p_brand,p_type,cast(p_partkey as <S>))")
 _BARCODE_NO = "lpad(cast({0} as <S>),2,'0')"
 
@@ -87,6 +93,10 @@ VIEWS: dict[str, str] = {
         f"select doc_id, source, translate({_letters('text')},'{_LETTERS}','{_AS_DNA}') as seq, "
         f"translate({_letters('text')},'{_LETTERS}','{_AS_QUALITY}') as qual from documents"
     ),
+    "fx_fastq": (
+        "select doc_id, coalesce(source,'none') as source, concat('d',cast(doc_id as <S>)) as "
+        "name, coalesce(seq,'') as seq, coalesce(qual,'') as qual from fx_seq"
+    ),
     # records of a sequence file, some lines ended the other way
     "fx_records": (
         "select doc_id, concat('>d',cast(doc_id as <S>),' note',case when doc_id % 3=0 then "
@@ -151,6 +161,29 @@ VIEWS: dict[str, str] = {
         f"substr({_hex_dna('r_name')},17)) as piece from customer join nation on "
         "c_nationkey=n_nationkey join region on n_regionkey=r_regionkey) as t"
     ),
+    # a primer pair for every customer, and documents between the primers of one of them
+    "fx_panel": (
+        "select c_custkey as pair_no, "
+        f"substr({_hex_dna(_CUSTOMER.format('f'))},1,20) as f_primer, "
+        f"substr({_hex_dna(_CUSTOMER.format('r'))},1,20) as r_primer from customer"
+    ),
+    "fx_panel_reads": (
+        f"select doc_id, case when doc_id % 7=0 then seq when doc_id % 2=1 then {rc(_PANELLED)} "
+        f"else {_PANELLED} end as seq from (select doc_id, coalesce(seq,'') as seq, f_primer, "
+        "r_primer from fx_seq join fx_panel on pair_no=doc_id % 150+1) as t"
+    ),
+    # references of regions with a stretch in common, and reads of customers that reach into it
+    "fx_references": (
+        f"select r_name as name, {_REFERENCE.format('r_name')} as seq from region"
+    ),
+    "fx_group_reads": (
+        "select c_custkey as record_no, c_name as name, r_name as reference, "
+        f"case when c_custkey % 2=0 then piece else {rc('piece')} end as seq from (select "
+        f"c_custkey, c_name, r_name, concat(substr({_REFERENCE.format('r_name')},"
+        "c_custkey % 20+1,24),translate(cast(c_custkey as <S>),'0123456789','ACGTACGTAC'),"
+        f"substr({_REFERENCE.format('r_name')},c_custkey % 20+25,30)) as piece from customer "
+        "join nation on c_nationkey=n_nationkey join region on n_regionkey=r_regionkey) as t"
+    ),
     "fx_sample_info": (
         "select p_partkey, concat('NB-',lpad(cast(p_partkey % 96+1 as <S>),2,'0')) as Barcode_ID, "
         "case when p_partkey % 41=0 then cast(null as <S>) else concat(' ',p_brand,' / ',p_type,"

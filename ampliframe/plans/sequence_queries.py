@@ -329,7 +329,7 @@ _OPEN = 10_000_000_000 * _UNIT
 _EXTEND = 4_000_000_000 * _UNIT + 1
 
 
-def _affine_steps(match: int, mismatch: int, opening: int, extend: int, local: bool) -> str:
+def affine_steps(match: int, mismatch: int, opening: int, extend: int, local: bool) -> str:
     """One recursion step: row i of the score matrix of every distinct pair, as lists."""
     floor = ",0" if local else ""
     first = "0" if local else "e2[1]"
@@ -358,7 +358,7 @@ def _distance_sql(paired: str, tail: str) -> str:
    from work union all select row(seq1,seq2,true), string_split(seq1,''),
    string_split({_rc_sql('seq2')},'') from work),
  dp(k,a,b,i,h,e,best) as ({start} union all
- {_affine_steps(_MATCH, _MISMATCH, _OPEN, _EXTEND, False)}),
+ {affine_steps(_MATCH, _MISMATCH, _OPEN, _EXTEND, False)}),
  ends as (select k, ((-h[len(h)]) % {_UNIT} + {_UNIT}) % {_UNIT} as d from dp where i=len(a)),
  best as (select w.seq1, w.seq2, f.d as fd, r.d as rd from work as w
    join ends as f on f.k=row(w.seq1,w.seq2,false) join ends as r on r.k=row(w.seq1,w.seq2,true)),
@@ -385,7 +385,7 @@ _STRANDS = f"""with recursive
    list_transform(range(0,len(b)+1), lambda j: cast(0 as bigint)),
    list_transform(range(0,len(b)+1), lambda j: cast(-1000000000 as bigint)),
    cast(0 as bigint) from keys union all
- {_affine_steps(2, -3, 5, 2, True)}),
+ {affine_steps(2, -3, 5, 2, True)}),
  ends as (select k, best from dp where i=len(a)),
  scored as (select n.*, cast(f.best as double) as forward_score,
    cast(r.best as double) as reverse_score from named as n

@@ -19,6 +19,7 @@ UNCHECKED = {
     "document_compare": "test_alignment",
     "document_orientation": "test_alignment",
     "read_stack": "test_orient",
+    "primer_panel_best": "test_primer_panel",
 }
 
 
