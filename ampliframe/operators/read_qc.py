@@ -85,6 +85,76 @@ def _length_kept(length: str, low: float | None, high: float | None) -> Column:
     return kept
 
 
+def length_frequencies(df: DataFrame, sample: str, length: str) -> DataFrame:
+    """The summary as (sample, length, n): every count and histogram below follows from it.
+
+    One pass over the reads, combined in each task; missing samples and lengths are kept. With it
+    given to `totals_of`, `counts_of`, `run_numbers` and `histogram_of`, the reads are not looked at again.
+    """
+    require_columns(df, [sample, length], "the summary")
+    named = df.select(F.col(sample).alias("sample"), F.col(length).alias("length"))
+    return named.groupBy("sample", "length").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _bounded(low: float | None, high: float | None) -> Column:
+    return F.coalesce(_length_kept("length", low, high), F.lit(False))
+
+
+def totals_of(
+    frequencies: DataFrame, min_read_length: float | None = None, max_read_length: float | None = None
+) -> DataFrame:
+    """`read_totals` from a table of frequencies."""
+    return frequencies.filter("sample is not null").agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("n_reads_raw"),
+        F.coalesce(
+            F.sum(F.when(_bounded(min_read_length, max_read_length), F.col("n"))), F.lit(0)
+        ).alias("n_reads_filtered"),
+    )
+
+
+def counts_of(
+    frequencies: DataFrame,
+    levels: DataFrame,
+    min_read_length: float | None = None,
+    max_read_length: float | None = None,
+) -> DataFrame:
+    """`read_counts` from a table of frequencies."""
+    kept = frequencies.filter(_bounded(min_read_length, max_read_length))
+    counted = kept.filter("sample is not null").groupBy("sample").agg(F.sum("n").alias("__n"))
+    return (
+        levels.join(counted, "sample", "left")
+        .select("sample", "level_no", F.coalesce("__n", F.lit(0)).alias("Freq"))
+        .orderBy("level_no")
+    )
+
+
+def run_numbers(
+    frequencies: DataFrame,
+    levels: DataFrame,
+    min_read_length: float | None = None,
+    max_read_length: float | None = None,
+    unclassified: str = "unclassified",
+) -> DataFrame:
+    """One row: recovery and n_reads_in_levels, as `recovery_rate`, and the totals of `totals_of`.
+
+    One aggregate over the table of frequencies; levels are joined to its samples.
+    """
+    kept = F.when(_bounded(min_read_length, max_read_length), F.col("n")).otherwise(0)
+    samples = frequencies.filter("sample is not null").groupBy("sample").agg(
+        F.sum("n").alias("raw"), F.sum(kept).alias("kept")
+    )
+    placed = samples.join(levels.select("sample", "level_no"), "sample", "left")
+    counted = F.when(F.col("level_no").isNotNull(), F.col("kept"))
+    lost = F.coalesce(F.sum(F.when(F.col("sample") == unclassified, counted)), F.lit(0))
+    total = F.sum(counted)
+    return placed.agg(
+        F.when(total > 0, (1 - lost / total) * 100).alias("recovery"),
+        F.coalesce(total, F.lit(0)).alias("n_reads_in_levels"),
+        F.coalesce(F.sum("raw"), F.lit(0)).alias("n_reads_raw"),
+        F.coalesce(F.sum("kept"), F.lit(0)).alias("n_reads_filtered"),
+    )
+
+
 def read_totals(
     df: DataFrame,
     sample: str,
@@ -164,37 +234,32 @@ def length_histogram(
     without reads keep one row with NULL bin and n = 0. Reads are reduced to distinct lengths
     with counts first; everything after works on that table.
     """
+    return histogram_of(length_frequencies(df, sample, length), levels, bins=bins)
+
+
+def histogram_of(
+    frequencies: DataFrame,
+    levels: DataFrame,
+    min_read_length: float | None = None,
+    max_read_length: float | None = None,
+    bins: int = BINS,
+) -> DataFrame:
+    """`length_histogram` from a table of frequencies; the range of a sample comes from its rows there."""
     bins = integer_argument(bins, "bins", 2)
-    usable = F.col(length).isNotNull() & ~F.isnan(length) & (F.col(length) > 0)
-    usable = usable & (F.col(length) < F.lit(float("inf")))
-    counted = (
-        df.filter(F.col(sample).isNotNull() & usable)
-        .groupBy(F.col(sample).alias("sample"), F.col(length).alias("__length"))
-        .agg(F.count(F.lit(1)).alias("__n"))
-        .select("sample", "__n", F.log10("__length").alias("__x"))
-    )
-    ranges = counted.groupBy("sample").agg(
-        F.min("__x").alias("__lo"), F.max("__x").alias("__hi")
+    length = F.col("length").cast("double")
+    usable = _bounded(min_read_length, max_read_length) & ~F.isnan(length) & (length > 0)
+    usable = usable & (length < F.lit(float("inf"))) & F.col("sample").isNotNull()
+    own = Window.partitionBy("sample")
+    counted = frequencies.filter(usable).select("sample", "n", F.log10(length).alias("__x"))
+    ranged = counted.select(
+        "*", F.min("__x").over(own).alias("__lo"), F.max("__x").over(own).alias("__hi")
     )
     width = F.when(F.col("__hi") > F.col("__lo"), (F.col("__hi") - F.col("__lo")) / (bins - 1))
-    width = width.otherwise(F.lit(0.1))
+    placed = ranged.withColumn("__width", width.otherwise(F.lit(0.1)))
     edge = F.col("__lo") - F.col("__width") / 2
-    binned = (
-        counted.join(ranges, "sample")
-        .withColumn("__width", width)
-        .select(
-            "sample",
-            "__n",
-            F.least(
-                F.greatest(F.ceil((F.col("__x") - edge) / F.col("__width")), F.lit(1)),
-                F.lit(bins),
-            )
-            .cast("int")
-            .alias("bin"),
-        )
-        .groupBy("sample", "bin")
-        .agg(F.sum("__n").alias("n"))
-    )
+    place = F.ceil((F.col("__x") - edge) / F.col("__width"))
+    bin_ = F.least(F.greatest(place, F.lit(1)), F.lit(bins)).cast("int").alias("bin")
+    binned = placed.groupBy("sample", bin_).agg(F.sum("n").alias("n"))
     return levels.join(binned, "sample", "left").select(
         "sample", "level_no", "bin", F.coalesce("n", F.lit(0)).alias("n")
     )

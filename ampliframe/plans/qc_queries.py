@@ -33,14 +33,14 @@ def qc_long_metrics(spark, sf_dir):
 
 
 def demux_recovery(spark, sf_dir):
-    totals = qc.read_totals(_summary(spark, sf_dir), "alias", LENGTH, LOW, HIGH)
-    rate = qc.recovery_rate(_counts(spark, sf_dir))
-    return rate.crossJoin(totals).withColumn("recovery", F.round("recovery", 9))
+    table = qc.length_frequencies(_summary(spark, sf_dir), "alias", LENGTH)
+    numbers = qc.run_numbers(table, qc.levels_table(spark, LEVELS), LOW, HIGH)
+    return numbers.withColumn("recovery", F.round("recovery", 9))
 
 
 def length_histogram_log10(spark, sf_dir):
-    kept = qc.filter_read_length(_summary(spark, sf_dir), LENGTH, LOW, HIGH)
-    return qc.length_histogram(kept, qc.levels_table(spark, LEVELS), "alias", LENGTH)
+    table = qc.length_frequencies(_summary(spark, sf_dir), "alias", LENGTH)
+    return qc.histogram_of(table, qc.levels_table(spark, LEVELS), LOW, HIGH)
 
 
 def observed_levels(spark, sf_dir):

@@ -53,15 +53,17 @@ def run_qc(
     else:
         names = qc.declared_levels(barcodes, barcode_digits, unclassified)
         levels = qc.levels_table(spark, names)
-    counts = materialise(qc.read_counts(reads, levels, sample_col, length_col, *bounds))
-    totals = qc.read_totals(reads, sample_col, length_col, *bounds).first()
+    # the reads are looked at once; what follows works on their frequencies
+    table = materialise(qc.length_frequencies(reads, sample_col, length_col))
+    counts = materialise(qc.counts_of(table, levels, *bounds))
+    numbers = qc.run_numbers(table, levels, *bounds, unclassified=unclassified).first()
     return RunQC(
         counts,
         qc.long_metrics(counts, unclassified),
-        qc.length_histogram(kept, levels, sample_col, length_col),
-        qc.recovery_rate(counts, unclassified).first()["recovery"],
-        totals["n_reads_raw"],
-        totals["n_reads_filtered"],
+        qc.histogram_of(table, levels, *bounds),
+        numbers["recovery"],
+        numbers["n_reads_raw"],
+        numbers["n_reads_filtered"],
     )
 
 

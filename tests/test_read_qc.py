@@ -157,3 +157,35 @@ def test_stateless_steps_accept_a_stream(spark, work):
     query.processAllAvailable()
     query.stop()
     assert [tuple(r) for r in spark.table("kept_reads").collect()] == [("barcode01", 1)]
+
+
+def test_one_table_of_frequencies_feeds_all_numbers(spark, rows, work):
+    import random
+
+    rng = random.Random(3)
+    data = [
+        (rng.choice(["a", "b", "c", "unclassified", "other", None]),
+         rng.choice([None, float("nan"), float("inf"), 0.0, 100.0, 250.5, 999.0, 5000.0]))
+        for _ in range(500)
+    ]
+    rows(data, "alias string, length double").write.parquet(f"{work}/summary")
+    df = spark.read.parquet(f"{work}/summary")
+    levels = qc.levels_table(spark, ["a", "b", "empty", "c", "unclassified"])
+    table = qc.length_frequencies(df, "alias", "length")
+    for low, high in [(None, None), (100, 2000), (None, 250.5)]:
+        want = qc.read_counts(df, levels, "alias", "length", low, high)
+        assert qc.counts_of(table, levels, low, high).collect() == want.collect()
+        rate = qc.recovery_rate(want).first()
+        totals = qc.read_totals(df, "alias", "length", low, high).first()
+        got = qc.run_numbers(table, levels, low, high)
+        assert got.first().asDict() == rate.asDict() | totals.asDict()
+        assert qc.totals_of(table, low, high).first() == totals
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("FileScan") == 1
+        histogram = qc.histogram_of(table, levels, low, high)
+        assert histogram._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+        kept = qc.filter_read_length(df, "length", low, high)
+        one = sorted(map(str, qc.length_histogram(kept, levels, "alias", "length").collect()))
+        assert sorted(map(str, histogram.collect())) == one
+    none = qc.run_numbers(table.limit(0), levels).first()
+    assert tuple(none) == (None, 0, 0, 0)
