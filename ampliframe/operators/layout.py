@@ -98,7 +98,8 @@ def plan_fastq_layout(
     dry_run: bool = False,
 ) -> DataFrame:
     """`layout_plan` with the checks of a run: warns about dropped rows and missing folders and
-    refuses existing destinations unless `overwrite`."""
+    refuses existing destinations unless `overwrite`. `files` is a listing of files; one with
+    folders (`list_entries`) also shows the empty ones."""
     flag_argument(overwrite, "overwrite")
     options = (project_col, amplicon_size_col, barcode_col)
     dropped = layout_rows(sample_info, *options).filter("not valid").count()

@@ -3,14 +3,20 @@
 from __future__ import annotations
 
 import hashlib
+import heapq
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from ampliframe.contracts import integer_argument, require_columns
 from ampliframe.functions.labels import base_name, dir_name
+from ampliframe.functions.scale import local_table, running_totals
+from ampliframe.sources.ranges import open_filesystem, plain_name
 
 _CHUNK = 4 << 20
 
@@ -31,15 +37,86 @@ def list_files(spark: SparkSession, root: str | list[str], glob: str | None = No
     )
 
 
+class _Subtree(InputPartition):
+    """A folder whose entries a task lists, with all below it or without."""
+
+    def __init__(self, path: str, deep: bool):
+        self.path, self.deep = path, deep
+
+
+class _ListingReader(DataSourceReader):
+    def __init__(self, options):
+        self._roots = [p for p in options.get("path", "").split("\n") if p]
+        self._tasks = int(options.get("tasks", 32))
+
+    def partitions(self):
+        """Folders are opened level by level until there are enough of them to list in parallel."""
+        done, level = [], [plain_name(p).rstrip("/") for p in self._roots]
+        while level and len(level) < self._tasks:
+            done += level
+            level = [d["path"] for folder in level for d in _entries(folder, False) if d["is_dir"]]
+        return [_Subtree(p, False) for p in done] + [_Subtree(p, True) for p in level]
+
+    def read(self, partition: _Subtree):
+        rows = list(_entries(partition.path, partition.deep))
+        yield pa.RecordBatch.from_pylist(rows, schema=_ENTRY)
+
+
+_ENTRY = pa.schema([("path", pa.string()), ("size", pa.int64()), ("is_dir", pa.bool_())])
+
+
+def _entries(folder: str, deep: bool) -> Iterator[dict]:
+    from pyarrow import fs
+
+    filesystem, inner = open_filesystem(folder)
+    for item in filesystem.get_file_info(fs.FileSelector(inner, recursive=deep)):
+        is_dir = item.type == fs.FileType.Directory
+        name = folder + item.path[len(inner.rstrip("/")) :]
+        yield {"path": name, "size": None if is_dir else item.size, "is_dir": is_dir}
+
+
+class ListingDataSource(DataSource):
+    """`spark.read.format("listing")`: files and folders below some folders, one task a subtree."""
+
+    @classmethod
+    def name(cls):
+        return "listing"
+
+    def schema(self):
+        return "path string, size bigint, is_dir boolean"
+
+    def reader(self, schema):
+        return _ListingReader(self.options)
+
+
+def list_entries(
+    spark: SparkSession, root: str | Sequence[str], tasks: int | None = None
+) -> DataFrame:
+    """Files and folders below `root`, empty folders too: path, name, dir, size, is_dir.
+
+    The first levels of folders are opened while the job is planned, until there are `tasks` of
+    them (four a core, unless given); subtrees are listed by one task each. Takes every file
+    system Arrow opens and keeps the scheme and host of the root. The root itself has no row.
+    """
+    spark.dataSource.register(ListingDataSource)
+    wanted = tasks or 4 * spark.sparkContext.defaultParallelism
+    reader = spark.read.format("listing").option("tasks", integer_argument(wanted, "tasks", 1))
+    listed = reader.load(root if isinstance(root, str) else "\n".join(root))
+    return listed.select(
+        "path", base_name("path").alias("name"), dir_name("path").alias("dir"), "size", "is_dir"
+    )
+
+
 def list_directories(files: DataFrame, path: str = "path") -> DataFrame:
-    """Every directory holding a file at any depth, as `dir`.
+    """Every directory holding a file at any depth, as `dir`; of `list_entries`, all of them.
 
     Files are first reduced to their own directories, map-side, so a folder with much of the
     listing is expanded to its few ancestors only once per task.
     """
-    own = (
-        files.filter(F.col(path).contains("/")).select(dir_name(path).alias("dir")).distinct()
-    )
+    place = dir_name(path)
+    if "is_dir" in files.columns:
+        place = F.when(F.col("is_dir"), F.col(path)).otherwise(place)
+    own = files.filter(F.col(path).contains("/")).select(place.alias("dir")).distinct()
     ancestors = F.expr(
         "transform(sequence(1, length(dir) - length(replace(dir, '/', '')) + 1), "
         "k -> substring_index(dir, '/', k))"
@@ -48,9 +125,7 @@ def list_directories(files: DataFrame, path: str = "path") -> DataFrame:
 
 
 def _open(path: str):
-    from pyarrow import fs
-
-    filesystem, inner = fs.FileSystem.from_uri(path)
+    filesystem, inner = open_filesystem(path)
     return filesystem.open_input_stream(inner, compression=None)
 
 
@@ -91,9 +166,60 @@ def gzip_problem(blocks: Iterator[bytes]) -> str | None:
     return None if inflater.eof else "unexpected end of file"
 
 
+def deal_by_size(files: DataFrame, tasks: int, path: str = "path", size: str = "size") -> DataFrame:
+    """`files` with `task` (0 to tasks - 1), so that no task gets much more than its share of bytes.
+
+    A share is the total over the tasks. The few files above a third of a share (three a task at
+    most) are placed longest first, each into the task with least so far. All others are laid end
+    to end, in an order of no meaning, and cut where the room that is left in the tasks ends, so
+    none of these is ever sorted or brought to the driver. A task gets at most a third of a share
+    more than a share, or than its large files. Missing sizes count as zero.
+    """
+    tasks = integer_argument(tasks, "tasks", 1)
+    require_columns(files, [path, size], "the listing")
+    bytes_ = F.greatest(F.coalesce(F.col(size), F.lit(0)), F.lit(0)).cast("bigint")
+    # an empty file costs a little too
+    costed = files.withColumn("__cost", bytes_ + 1)
+    total = costed.agg(F.sum("__cost")).first()[0] or 0
+    share = total / tasks
+    large = costed.filter(F.col("__cost") > share / 3).select(path, "__cost")
+    load = [(0, t) for t in range(tasks)]
+    placed = []
+    for name, cost in sorted(map(tuple, large.collect()), key=lambda r: (-r[1], r[0])):
+        least, t = heapq.heappop(load)
+        placed.append((name, t))
+        heapq.heappush(load, (least + cost, t))
+    # the room of each task, one behind the other
+    ends, at = [], 0.0
+    for held, t in sorted(load, key=lambda x: x[1]):
+        at += max(share - held, 0.0)
+        ends.append(at)
+    schema = T.StructType([T.StructField("__path", T.StringType()), T.StructField("__task", T.IntegerType())])
+    spark = files.sparkSession
+    # at most three rows a task
+    own = costed.filter(F.col("__cost") > share / 3).join(
+        F.broadcast(local_table(spark, placed, schema)), F.col(path) == F.col("__path")
+    )
+    small = running_totals(
+        costed.filter(F.col("__cost") <= share / 3),
+        group=[],
+        chunk=[F.pmod(F.xxhash64(path), F.lit(256))],
+        order=F.col(path),
+        totals={"__before": F.col("__cost")},
+    )
+    cuts = F.array(*[F.lit(float(e)) for e in ends])
+    behind = F.size(F.filter(cuts, lambda e: e <= F.col("__before")))
+    dealt = small.withColumn("task", F.least(behind, F.lit(tasks - 1)))
+    return dealt.select(*files.columns, "task").unionByName(
+        own.select(*files.columns, F.col("__task").alias("task"))
+    )
+
+
 def _spread(files: DataFrame) -> DataFrame:
-    tasks = int(files.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return files.select("path").repartition(tasks, "path")
+    """Paths by task, as many tasks as three a core, each with its share of the bytes."""
+    tasks = 3 * files.sparkSession.sparkContext.defaultParallelism
+    dealt = deal_by_size(files.select("path", "size"), tasks)
+    return dealt.repartitionById(tasks, F.col("task")).select("path")
 
 
 def md5_list(files: DataFrame, root: str, exclude: str | None = None) -> DataFrame:
