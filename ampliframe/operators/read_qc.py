@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from ampliframe.contracts import integer_argument, number_argument, require_columns
 from ampliframe.functions.scale import join_lookup, local_table
+from ampliframe.session import materialise
 
 # Bins of a length histogram, default thresholds of an amplicon run.
 BINS = 30
@@ -278,8 +279,9 @@ def eligible_reads(
 ) -> DataFrame:
     """Reads passing length and mean quality, of barcodes keeping at least `min_n_reads` of them.
 
-    Barcodes are counted with a hash aggregate; a barcode holding much of the data is never
-    gathered in one task. `quality_as` names a column for the quality compared.
+    The reads are read and their quality is worked out once: those that pass are stored in the
+    checkpoint folder, counted there by a hash aggregate and read again. A barcode holding much of
+    the data is never gathered in one task. `quality_as` names a column for the quality compared.
     """
     min_read_length = integer_argument(min_read_length, "min_read_length", 1)
     max_read_length = integer_argument(max_read_length, "max_read_length", 1)
@@ -299,6 +301,7 @@ def eligible_reads(
         .select(*[F.col(c) for c in reads.columns], quality.alias("__quality"))
         .filter(F.col("__quality") >= min_read_qual)
     )
+    passed = materialise(passed)
     enough = (
         passed.groupBy(barcode)
         .agg(F.count(F.lit(1)).alias("__n"))

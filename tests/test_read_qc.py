@@ -189,3 +189,25 @@ def test_one_table_of_frequencies_feeds_all_numbers(spark, rows, work):
         assert sorted(map(str, histogram.collect())) == one
     none = qc.run_numbers(table.limit(0), levels).first()
     assert tuple(none) == (None, 0, 0, 0)
+
+
+def test_eligible_reads_are_read_and_measured_once(spark, rows, work):
+    data = [("b1" if i % 3 else "b2", "ACGT" * (i % 9), "I" * (4 * (i % 9))) for i in range(200)]
+    rows(data, "barcode string, seq string, qual string").write.parquet(f"{work}/reads")
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def quality(text):
+        seen.add(1)
+        return float(len(text))
+
+    # as the kernel of the library, so that a filter on it does not work it out twice
+    quality = quality.asNondeterministic()
+    reads = spark.read.parquet(f"{work}/reads")
+    kept = qc.eligible_reads(reads, "barcode", F.length("seq"), quality("qual"), 8, 100, 4, 60)
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 0 and "BatchEvalPython" not in plan
+    wanted = [d for d in data if 8 <= len(d[1]) <= 100]
+    n = {b: sum(d[0] == b for d in wanted) for b in ("b1", "b2")}
+    assert sorted(map(tuple, kept.collect())) == sorted(d for d in wanted if n[d[0]] >= 60)
+    assert min(n.values()) < 60 <= max(n.values()) and seen.value == len(wanted)
