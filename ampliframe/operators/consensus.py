@@ -26,7 +26,7 @@ def check_consensus_set(df: DataFrame, what: str) -> None:
         F.count(F.lit(1)).alias("rows"), F.count_if(is_blank("name")).alias("unnamed")
     ).first()
     if seen["rows"] == 0:
-        raise ValueError(f"{what} must contain at least one sequence")
+        raise ValueError(f"{what} holds no sequence, at least one is needed")
     if seen["unnamed"]:
         raise ValueError(f"{what} sequences must all have non-empty names")
 
@@ -119,7 +119,7 @@ def _distinct_codes(seq1: pa.Array, seq2: pa.Array, needed: pa.Array):
     firsts, seconds = [], []
     for a, b in rows:
         if not a or not b:
-            raise ValueError("sequences must not be missing or empty")
+            raise ValueError("a sequence to align is missing or empty")
         firsts.append(al.encode(a))
         seconds.append(al.encode(b))
     return firsts, seconds, pa.array(which, pa.int32())
@@ -160,38 +160,72 @@ def _aligned(
 ) -> DataFrame:
     """`pairs` with the alignment of each in `__a`.
 
-    Under the default scores, sequences of plain bases that are equal, as given or after turning
-    the second, are their own best alignment: those are answered by expressions, and neither
-    sequence is sent to Python.
+    Two kinds of pairs are answered by expressions, and neither sequence is sent to Python: global
+    alignments with an empty sequence, which are one gap, and, under the default scores, sequences
+    of plain bases that are equal, as given or after turning the second.
     """
     align = _align_udf(scoring, _kind(kind), texts, differences)
     if differences and not texts:
         # marked nondeterministic so that no filter copies the alignment below the explode
         align = align.asNondeterministic()
     spread_pairs = spread(pairs)
-    if kind != "global" or scoring is not al.DEFAULT_SCORING:
+    if kind != "global":
         return spread_pairs.withColumn("__a", align("seq1", "seq2", F.lit(True)))
-    plain = F.col("seq1").rlike("^[ACGT]+$")
-    same = F.coalesce(plain & (F.col("seq1") == F.col("seq2")), F.lit(False))
-    turned = F.coalesce(
-        ~same & plain & (F.col("seq1") == reverse_complement("seq2")), F.lit(False)
-    )
-
-    def answer(orientation: int):
+    if scoring is al.DEFAULT_SCORING:
+        plain = F.col("seq1").rlike("^[ACGT]+$")
+        same = F.coalesce(plain & (F.col("seq1") == F.col("seq2")), F.lit(False))
+        turned = ~same & plain & (F.col("seq1") == reverse_complement("seq2"))
+        turned = F.coalesce(turned, F.lit(False))
+    else:
+        same = turned = F.lit(False)
+    both = F.col("seq1").isNotNull() & F.col("seq2").isNotNull()
+    hollow = both & ((F.col("seq1") == "") | (F.col("seq2") == ""))
+
+    def answer(orientation: int, n_diff, aligned1, aligned2, listed):
         fields = [
             F.lit(str(_ORIENTATIONS[orientation])).alias("orientation"),
-            F.lit(0).alias("n_diff"),
+            n_diff.cast("int").alias("n_diff"),
         ]
         if texts:
-            fields += [F.col("seq1").alias("aligned_seq1"), F.col("seq1").alias("aligned_seq2")]
+            fields += [aligned1.alias("aligned_seq1"), aligned2.alias("aligned_seq2")]
         if differences:
-            fields += [F.array().cast(f"array<{_DIFFERENCE}>").alias("differences")]
+            fields += [listed.cast(f"array<{_DIFFERENCE}>").alias("differences")]
         return F.struct(*fields)
 
-    needed = ~(same | turned)
+    def equal(orientation: int):
+        return answer(orientation, F.lit(0), F.col("seq1"), F.col("seq1"), F.array())
+
+    needed = ~(same | turned | hollow)
     found = align(F.when(needed, F.col("seq1")), F.when(needed, F.col("seq2")), needed)
+    own = F.concat("seq1", "seq2")
+    gap = F.repeat(F.lit("-"), F.length(own))
+    rows = F.transform(F.when(own != "", F.split(own, "")).otherwise(F.array()), _gap_row)
+    one_gap = answer(
+        0,
+        F.length(own),
+        F.when(F.col("seq1") == "", gap).otherwise(F.col("seq1")),
+        F.when(F.col("seq2") == "", gap).otherwise(F.col("seq2")),
+        rows,
+    )
     return spread_pairs.withColumn("__a", found).withColumn(
-        "__a", F.when(same, answer(0)).when(turned, answer(1)).otherwise(F.col("__a"))
+        "__a",
+        F.when(same, equal(0))
+        .when(turned, equal(1))
+        .when(hollow, one_gap)
+        .otherwise(F.col("__a")),
+    )
+
+
+def _gap_row(base, i):
+    """The differing column i (from 0) of a pair of which one sequence is empty."""
+    first = F.col("seq1") != ""
+    place = (i + 1).cast("int")
+    return F.struct(
+        place.alias("aln_pos"),
+        F.when(first, place).alias("seq1_pos"),
+        F.when(first, base).otherwise("-").alias("seq1_base"),
+        F.when(~first, place).alias("seq2_pos"),
+        F.when(~first, base).otherwise("-").alias("seq2_base"),
     )
 
 

@@ -373,6 +373,47 @@ _DISTANCE_COLUMNS = (
     "select seq1_name, seq2_name, distance, seq1_len, seq2_len, seq2_orientation"
 )
 
+# What the edits of the second set must show, without aligning: a lost base at the last place of
+# its run of equal bases, a substitution in the turned sequence, and two bases more, as late as
+# they can stand.
+_DIFFERENCE_ROWS = f"""with {_PAIRED},
+ keyed as (select *, cast(substr(seq1_name,2) as bigint) % 4 as kind, length(seq2) as len2,
+   {_rc_sql('seq2')} as turned from paired),
+ lost as (select *, 11+length(regexp_extract(substr(seq1,11),concat('^',substr(seq1,11,1),'+')))-1
+   as place from keyed where kind=1),
+ more as (select *, length(regexp_extract(substr(seq1,21),'^(GT)*G?')) as moved from keyed
+   where kind=3)
+select place as aln_pos, seq1_name, place as seq1_pos, substr(seq1,place,1) as seq1_base, seq2_name,
+  cast(null as integer) as seq2_pos, '-' as seq2_base, 'forward' as orientation,
+  'seq2_original' as seq2_aligned_as from lost
+union all select 20, seq1_name, 20, substr(seq1,20,1), seq2_name, len2-20+1, 'A',
+  'reverse_complement', 'seq2_reverse_complement' from keyed
+  where kind=2 and substr(seq1,20,1)<>'A'
+union all select 20+moved+i, seq1_name, null, '-', seq2_name, len2-(20+moved+i)+1,
+  substr(turned,20+moved+i,1), 'reverse_complement', 'seq2_reverse_complement'
+  from more, unnest([1,2]) as u(i)"""
+
+# Short texts are aligned by the tables above. Of longer ones the edits leave no better answer:
+# lengths that differ need a gap, and equal lengths a substitution.
+_DOC_PAIRS = (
+    f"all_pairs as (select a.name as seq1_name, b.name as seq2_name, a.seq as seq1, b.seq as seq2 "
+    f"from {_FIRST.format('fx_doc1')} as a join {_FIRST.format('fx_doc2')} as b "
+    "on a.name=b.name)"
+)
+_SHORT_DOCS = (
+    _DOC_PAIRS + ", paired as (select * from all_pairs where length(seq1) between 1 and 23 "
+    "and length(seq2)>0)"
+)
+_LONG_DOCS = """union all select seq1_name, seq2_name, cast(case
+   when least(length(seq1),length(seq2))=0 then greatest(length(seq1),length(seq2))
+   when kind=0 then 0 when kind=1 then 1 when kind=3 then 2
+   when substr(seq1,20,1)='A' then 0 else 1 end as integer),
+  cast(length(seq1) as integer), cast(length(seq2) as integer),
+  case when kind<2 or least(length(seq1),length(seq2))=0 then 'forward'
+    else 'reverse_complement' end
+  from (select *, cast(substr(seq1_name,2) as bigint) % 4 as kind from all_pairs)
+  where length(seq1)>23 or least(length(seq1),length(seq2))=0"""
+
 # The reference is walked base by base, the lists run over the read: scores are symmetric.
 _STRANDS = f"""with recursive
  named as (select record_no, case when name='' or name is null then
@@ -455,6 +496,10 @@ ORACLES = {
         "cast(distance as bigint) as n_diff, cast(abs(seq1_len-seq2_len) as bigint) as n_gap "
         "from answer where distance>0",
     ),
+    "difference_rows": _DIFFERENCE_ROWS,
+    "document_distance": _distance_sql(
+        _SHORT_DOCS, _DISTANCE_COLUMNS + " from answer " + _LONG_DOCS
+    ),
     "strand_orientation": _STRANDS
     + """select sample, case when reverse_score>forward_score then 'reverse_complement' else
       'forward' end as direction, forward_score, reverse_score,

@@ -14,8 +14,6 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="tables not pr
 
 # Queries without checking SQL, and where their results are tested instead.
 UNCHECKED = {
-    "difference_rows": "test_consensus",
-    "document_distance": "test_alignment",
     "document_compare": "test_alignment",
     "document_orientation": "test_alignment",
     "read_stack": "test_orient",

@@ -159,3 +159,27 @@ def test_equal_pairs_are_answered_without_python(spark, rows):
     missing = rows([("e", "e", None, None)], pairs.schema)
     with pytest.raises(Exception, match="missing or empty"):
         cons.seq_diffs(missing).collect()
+
+
+@pytest.mark.parametrize("scored", [None, "simple"])
+def test_an_empty_sequence_is_one_gap(rows, scored):
+    from ampliframe.operators import alignment as al
+
+    scoring = al.DEFAULT_SCORING if scored is None else al.simple_scoring()
+    pairs = rows(
+        [("a", "a", "", "ACG"), ("b", "b", "TT", ""), ("c", "c", "", ""), ("d", "d", "ACGT", "ACGA")],
+        "seq1_name string, seq2_name string, seq1 string, seq2 string",
+    )
+    got = {r["seq1_name"]: r for r in cons.seq_diffs(pairs, scoring=scoring).collect()}
+    assert [(got[n]["n_diff"], got[n]["orientation"]) for n in "abc"] == [(3, "forward"), (2, "forward"), (0, "forward")]
+    assert (got["a"]["aligned_seq1"], got["a"]["aligned_seq2"]) == ("---", "ACG")
+    assert (got["b"]["aligned_seq1"], got["b"]["aligned_seq2"]) == ("TT", "--")
+    assert [tuple(d) for d in got["a"]["differences"]] == [
+        (1, None, "-", 1, "A"), (2, None, "-", 2, "C"), (3, None, "-", 3, "G")]
+    assert [tuple(d) for d in got["b"]["differences"]] == [(1, 1, "T", None, "-"), (2, 2, "T", None, "-")]
+    assert got["c"]["differences"] == [] and got["d"]["n_diff"] == 1
+    lengths = cons.pair_distances(pairs, scoring=scoring).collect()
+    assert {(r["seq1_name"], r["distance"]) for r in lengths} == {("a", 3), ("b", 2), ("c", 0), ("d", 1)}
+    missing = rows([("a", "a", None, "A")], "seq1_name string, seq2_name string, seq1 string, seq2 string")
+    with pytest.raises(Exception, match="missing or empty"):
+        cons.pair_distances(missing).collect()
