@@ -245,6 +245,29 @@ VIEWS: dict[str, str] = {
         "select concat('/aln/a',cast(o_orderkey as <S>),case when o_custkey % 5=0 then '.csi' "
         "when o_custkey % 2=0 then '.bam.bai' else '.bai' end) as path from orders"
     ),
+    # amplicons between the primers of their own sheet row, on both strands
+    "fx_grouped_amplicons": (
+        "select p_partkey as record_no, Project, Expected_Amplicon_Size_bp, case when "
+        f"Primer_Sequence_5='' then middle when p_partkey % 2=1 then {rc('whole')} else whole end "
+        "as seq from (select *, concat('GG',upper(Primer_Sequence_5),middle,"
+        f"{rc('upper(Primer_Sequence_3)')},'CC') as whole from (select *, "
+        f"{_hex_dna('cast(p_partkey as <S>)')} as middle from fx_sample_info) as t) as u"
+    ),
+    # one small file for every supplier
+    "fx_supplier_reads": (
+        "select concat('s',cast(s_suppkey as <S>)) as name, "
+        f"{_hex_dna('s_name')} as seq, "
+        "translate(md5(s_name),'0123456789abcdef','#$%&()*+,-./0123') as qual from supplier"
+    ),
+    # models before and behind the tag that ends a description
+    "fx_header_tags": (
+        "select concat('calls_',cast(o_custkey as <S>),'.bam') as file, o_orderkey as line_no, "
+        "case o_orderkey % 4 when 0 then concat('@RG ID:a DS:runid=7 PL:ONT basecall_model=after_',"
+        "cast(o_orderkey as <S>)) when 1 then concat('@RG ID:b DS:run note basecall_model=sup_',"
+        "cast(o_orderkey % 13 as <S>),' more PU:x basecall_model=late') "
+        "when 2 then concat('@RG ID:c PU:p DS:basecall_model=fast_',cast(o_orderkey % 7 as <S>)) "
+        "else '@RG ID:d SM:s' end as line from orders"
+    ),
     "fx_demux_files": (
         "select concat('/demux/kit',cast(l_suppkey % 7 as <S>),'/run',cast(l_orderkey % 50 as "
         "<S>),'/bam_pass',case when l_linenumber=7 then '' when l_partkey % 9=0 then "

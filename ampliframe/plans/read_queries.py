@@ -11,11 +11,12 @@ import uuid
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ampliframe.operators import primer_panel, references
+from ampliframe.operators import demux, primer_panel, references
 from ampliframe.plans.fixtures import rc, view
 from ampliframe.plans.sequence_queries import affine_steps
 from ampliframe.session import ensure_checkpoint_dir
-from ampliframe.sources import fasta, fasta_pieces, fastq
+from ampliframe.sources import fasta, fasta_pieces, fastq, files
+from ampliframe.sources.tables import read_sample_info
 
 #: small, so that files of the given tables fall into many ranges
 SPLIT_BYTES = 1 << 18
@@ -79,6 +80,51 @@ def gzip_block_totals(spark, sf_dir) -> DataFrame:
     )
 
 
+def stored_gzip_audit(spark, sf_dir) -> DataFrame:
+    """Whether all files written for a source inflate to their end."""
+    found = files.list_files(spark, _stored_reads(spark, sf_dir), "*.gz")
+    audit = files.gzip_audit(found)
+    return audit.groupBy(_source("path")).agg(F.bool_and("ok").alias("ok"))
+
+
+def _stored_by(spark, sf_dir, name: str, by: str) -> str:
+    folder = _folder(spark, "plain")
+    rows = view(spark, sf_dir, name)
+    rows = rows.select(F.col(by).alias("source"), "name", "seq", "qual")
+    fastq.write_reads_by(rows, folder, by=["source"], compression="none")
+    return folder
+
+
+def stored_listing(spark, sf_dir) -> DataFrame:
+    """Bytes of the files written for a source, and the folders they are in."""
+    listed = files.list_entries(spark, _stored_by(spark, sf_dir, "fx_fastq", "source"))
+    source = F.regexp_extract("path", "source=([^/]*)", 1).alias("source")
+    return listed.groupBy(source).agg(
+        F.sum("size").alias("bytes"), F.count_if("is_dir").alias("folders")
+    )
+
+
+def stored_md5_list(spark, sf_dir) -> DataFrame:
+    """Checksums of files with one read each."""
+    folder = _stored_by(spark, sf_dir, "fx_supplier_reads", "name")
+    sums = files.md5_list(files.list_entries(spark, folder).filter("not is_dir"), folder)
+    return sums.select("md5", F.regexp_extract("path", "source=([^/]*)/", 1).alias("name"))
+
+
+def stored_sample_sheet(spark, sf_dir) -> DataFrame:
+    """A sample sheet written as CSV and read with its types."""
+    folder = _folder(spark, "sheet")
+    sheet = view(spark, sf_dir, "fx_sample_info").drop("Primer_Sequence_3")
+    writer = sheet.write.option("header", True).option("nullValue", "NA")
+    writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(folder)
+    return read_sample_info(spark, folder)
+
+
+def tagged_basecall_models(spark, sf_dir) -> DataFrame:
+    """Base-call models of descriptions that another tag follows."""
+    return demux.basecall_models(view(spark, sf_dir, "fx_header_tags"))
+
+
 def stored_fasta_index(spark, sf_dir) -> DataFrame:
     """Index rows of FASTA files as written; records longer than a range go through several."""
     folder = _folder(spark, "records")
@@ -147,6 +193,11 @@ QUERIES = {
         stored_read_numbers,
         selected_reads,
         gzip_block_totals,
+        stored_gzip_audit,
+        stored_listing,
+        stored_md5_list,
+        stored_sample_sheet,
+        tagged_basecall_models,
         stored_fasta_index,
         stored_fasta_chunks,
         primer_panel_exact,
@@ -183,6 +234,18 @@ ORACLES = {
       where length(seq)>={LEAST_LENGTH}) where mean_quality>{LEAST_QUALITY}""",
     "gzip_block_totals": """select source, sum(length(name)+2*length(seq)+6)::bigint as data_bytes,
       true as placed from fx_fastq group by source""",
+    "stored_gzip_audit": "select distinct source, true as ok from fx_fastq",
+    "stored_listing": """select source, sum(length(name)+2*length(seq)+6)::bigint as bytes,
+      1::bigint as folders from fx_fastq group by source""",
+    "stored_md5_list": """select md5(concat('@',name,chr(10),seq,chr(10),'+',chr(10),qual,chr(10)))
+      as md5, name from fx_supplier_reads""",
+    "stored_sample_sheet": """select p_partkey::integer as p_partkey, Barcode_ID, Project,
+      Expected_Amplicon_Size_bp, Primer_Sequence_5 from fx_sample_info""",
+    "tagged_basecall_models": """with d as (select file, line_no, list_filter(string_split(
+        regexp_extract(line,' DS:(.*?)( [A-Z][A-Z]:|$)',1),' '),
+        lambda w: w like 'basecall_model=%')[1] as m from fx_header_tags where line like '@RG%')
+      select file, substr(arg_min(m,line_no),16) as model from d where m is not null
+      group by file""",
     "stored_fasta_index": """select name, length(seq) as length, least(80,length(seq)) as line_bases,
       case when seq='' then 0 else least(80,length(seq))+1 end as line_bytes from fx_fastq""",
     "stored_fasta_chunks": "select length(seq) as length, md5(seq) as seq_md5 from fx_fastq",

@@ -100,6 +100,16 @@ def primer_trim_by_group(spark, sf_dir):
     )
 
 
+def planted_trim_by_group(spark, sf_dir):
+    """Amplicons of every project and size between their own primers, on both strands."""
+    pairs = pr.primer_pairs_by_group(view(spark, sf_dir, "fx_sample_info"), KEYS)
+    seqs = view(spark, sf_dir, "fx_grouped_amplicons")
+    trimmed = pr.trim_amplicons(
+        seqs, max_mismatch=1, pairs=pairs.filter("n_pairs = 1"), pair_keys=KEYS
+    )
+    return trimmed.select("record_no", "trimmed", "orientation", "start", "end", "trimmed_seq")
+
+
 def _sets(spark, sf_dir, kind="cons"):
     return view(spark, sf_dir, f"fx_{kind}1"), view(spark, sf_dir, f"fx_{kind}2")
 
@@ -218,6 +228,7 @@ QUERIES = {
         primer_trim,
         trim_summary,
         primer_trim_by_group,
+        planted_trim_by_group,
         shared_names,
         consensus_pairs,
         consensus_distance,
@@ -307,6 +318,18 @@ def _mask_list(expression: str) -> str:
     return f"list_transform(string_split({expression},''), lambda c: strpos('{_BY_MASK}',c))"
 
 
+def _by_group_sql(seqs: str, keys: str) -> str:
+    """Trimming of `seqs`, each row with the primers of its group."""
+    return f"""with {_BY_GROUP}, seqs as ({seqs}),
+      hits as (select *, {_row_hit_sql('pf', 1)} as f_start, {_row_hit_sql('prr', 1)}
+        as rc_r_start, {_row_hit_sql('pr', 1)} as r_start, {_row_hit_sql('pfr', 1)}
+        as rc_f_start from (select *, {_MASKS} as m, {_mask_list('f_primer')} as pf,
+        {_mask_list('r_primer')} as pr, {_mask_list(_rc_sql('f_primer'))} as pfr,
+        {_mask_list(_rc_sql('r_primer'))} as prr from seqs)),
+      {_trim_sql('length(f_primer)', 'length(r_primer)', keys)}
+      select {keys}, trimmed, orientation, "start", "end", trimmed_seq from done"""
+
+
 _FIRST = (
     "(select name, arg_min(seq,record_no) as seq from {0} group by name)"
 )
@@ -466,18 +489,19 @@ ORACLES = {
       concat('d',doc_id,' trimmed=',case when trimmed then 'TRUE' else 'FALSE' end,
         ';orientation=',coalesce(orientation,'NA'),';start=',coalesce(cast("start" as varchar),
         'NA'),';end=',coalesce(cast("end" as varchar),'NA')) as output_name from done""",
-    "primer_trim_by_group": f"""with {_BY_GROUP},
-      seqs as (select c.name, c.record_no, c.seq, f_primer, r_primer from fx_cons1 as c
+    "primer_trim_by_group": _by_group_sql(
+        """select c.name, c.record_no, c.seq, f_primer, r_primer from fx_cons1 as c
         join fx_sample_info as s on concat('c',s.p_partkey)=c.name join grouped as g
         on g.Project=s.Project and g.Expected_Amplicon_Size_bp=s.Expected_Amplicon_Size_bp
-        where n_pairs=1),
-      hits as (select *, {_row_hit_sql('pf', 1)} as f_start, {_row_hit_sql('prr', 1)}
-        as rc_r_start, {_row_hit_sql('pr', 1)} as r_start, {_row_hit_sql('pfr', 1)}
-        as rc_f_start from (select *, {_MASKS} as m, {_mask_list('f_primer')} as pf,
-        {_mask_list('r_primer')} as pr, {_mask_list(_rc_sql('f_primer'))} as pfr,
-        {_mask_list(_rc_sql('r_primer'))} as prr from seqs)),
-      {_trim_sql('length(f_primer)', 'length(r_primer)', 'name, record_no')}
-      select name, record_no, trimmed, orientation, "start", "end", trimmed_seq from done""",
+        where n_pairs=1""",
+        "name, record_no",
+    ),
+    "planted_trim_by_group": _by_group_sql(
+        """select record_no, seq, f_primer, r_primer from fx_grouped_amplicons as s
+        join grouped as g on g.Project=s.Project
+        and g.Expected_Amplicon_Size_bp=s.Expected_Amplicon_Size_bp where n_pairs=1""",
+        "record_no",
+    ),
     "shared_names": "select name from fx_cons1 intersect select name from fx_cons2",
     "consensus_pairs": f"with {_PAIRED} select seq1_name, seq1, seq2 from paired",
     "consensus_distance": _distance_sql(_PAIRED, _DISTANCE_COLUMNS + " from answer"),

@@ -228,7 +228,7 @@ def md5_list(files: DataFrame, root: str, exclude: str | None = None) -> DataFra
     Files are streamed in blocks by the tasks, so their size is not limited by memory; the digest
     of one file is sequential by nature. `exclude` is a regex on the relative path.
     """
-    prefix = root.rstrip("/") + "/"
+    prefix = plain_name(root).rstrip("/") + "/"
 
     def digest(batches):
         for batch in batches:
