@@ -103,7 +103,7 @@ class BytePairVocabulary:
         self._pieces = WordCache(self._packed, 50_000, CACHED_CHARACTERS)
         self._words = WordCache(
             lambda w: b"".join(map(self._packed, self._pattern.findall(" " + w))),
-            100_000, CACHED_CHARACTERS,
+            200_000, CACHED_CHARACTERS,
         )
         self._marks = {t: np.array([i], "<i4").tobytes() for t, i in self.added.items()}
 
