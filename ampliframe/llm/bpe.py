@@ -99,12 +99,8 @@ class BytePairVocabulary:
             else None
         )
         self._space_twice = regex.compile(f"[{WHITE}] ")
-        # a word is held by one of the two
-        self._pieces = WordCache(self._packed, 50_000, CACHED_CHARACTERS)
-        self._words = WordCache(
-            lambda w: b"".join(map(self._packed, self._pattern.findall(" " + w))),
-            200_000, CACHED_CHARACTERS,
-        )
+        self._pieces = WordCache(self._packed, 200_000, CACHED_CHARACTERS)
+        self._words = WordCache(lambda w: self._by_pieces(" " + w), 200_000, CACHED_CHARACTERS)
         self._marks = {t: np.array([i], "<i4").tobytes() for t, i in self.added.items()}
 
     def _edge(self, token: int, side: int) -> list[tuple[int, float]]:
