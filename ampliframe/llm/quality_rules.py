@@ -29,6 +29,7 @@ from pyspark.sql.types import (
     BooleanType, DoubleType, LongType, StringType, StructField, StructType,
 )
 
+from ampliframe.functions.scale import join_lookup
 from ampliframe.llm.common import WordCache, add_columns, utf8
 
 SYMBOLS = b"#*$%&|<>"
@@ -252,6 +253,8 @@ def judge(measured: DataFrame, lang: str = "lang") -> DataFrame:
         low = F.col(f"__mid_{c}") - slack * F.col(f"__spread_{c}")
         usual_enough &= F.coalesce(F.col(c) >= low, F.lit(True))
     rest = measured.drop("kept")
-    joined = rest.join(usual, F.coalesce(F.col(lang), F.col("script")) == F.col("__group"), "left")
+    grouped = rest.withColumn("__group", F.coalesce(F.col(lang), F.col("script")))
+    # one row a language: sent to every task if there are as few as that
+    joined = join_lookup(grouped, usual, ["__group"], "left")
     kept = ~F.col("base_failed") & F.col("in_band") & usual_enough
     return joined.select(*[F.col(f"`{c}`") for c in rest.columns], kept.alias("kept"))
