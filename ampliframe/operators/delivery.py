@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -147,7 +147,7 @@ def deliverable_inventory(
         .join(plot_files, "plot_dir")
         .select(
             "result_dir",
-            F.concat("barcode", F.lit("_read_length_plot")).alias("label"),
+            F.concat("barcode", F.lit(PLOT_SUFFIX)).alias("label"),
             "source",
             F.concat_ws("/", "output_dir", "barcode", "plot").alias("destination"),
             F.lit("file").alias("type"),
@@ -169,6 +169,33 @@ def deliverable_inventory(
     return out
 
 
+#: labels of an inventory before and behind those of the barcode folders, in order
+LEADING_LABELS = ("untrimmed_consensus", "consensus_fasta_index", "trimmed_consensus", "sample_map")
+CLOSING_LABELS = ("execution", "README")
+PLOT_SUFFIX = "_read_length_plot"
+
+
+def ordered_inventory(items: DataFrame) -> DataFrame:
+    """An inventory with `item_no`, the place of an item within its result folder (from 1).
+
+    Consensus files and the sample map come first, then the barcode folders by name, each followed
+    by its length plots by path, then the execution folder and the README. A folder's items are
+    numbered together; folders are spread over the tasks.
+    """
+    require_columns(items, ["result_dir", "label", "source", "type"], "the inventory")
+    label = F.col("label")
+    section = F.lit(len(LEADING_LABELS))
+    for i, known in enumerate(LEADING_LABELS):
+        section = F.when(label == known, i).otherwise(section)
+    for i, known in enumerate(CLOSING_LABELS):
+        section = F.when(label == known, len(LEADING_LABELS) + 1 + i).otherwise(section)
+    folder = F.regexp_replace(label, f"{PLOT_SUFFIX}$", "")
+    place = Window.partitionBy("result_dir").orderBy(
+        section, folder, F.col("type") != "directory", "source"
+    )
+    return items.select(*items.columns, F.row_number().over(place).alias("item_no"))
+
+
 def roles_table(spark: SparkSession) -> DataFrame:
     fields = [T.StructField(name, T.StringType()) for name in ("role", "label", "place")]
     return local_table(spark, DELIVERY_ROLES, T.StructType(fields))

@@ -36,6 +36,11 @@ def deliverable_inventory(spark, sf_dir):
     )
 
 
+def ordered_inventory(spark, sf_dir):
+    items = delivery.ordered_inventory(deliverable_inventory(spark, sf_dir))
+    return items.select("result_dir", "item_no", "label", "source")
+
+
 def delivery_manifest(spark, sf_dir):
     return delivery.delivery_manifest(view(spark, sf_dir, "fx_evidence"))
 
@@ -119,6 +124,7 @@ QUERIES = {
         layout_plan,
         layout_dropped_rows,
         deliverable_inventory,
+        ordered_inventory,
         delivery_manifest,
         evidence_problems,
         missing_index,
@@ -254,3 +260,11 @@ ORACLES = {
       array_to_string(list_transform(range(0,cast(ceil(length(seq)/80.0) as bigint)),
         lambda i: substr(seq,i*80+1,80)),chr(10)) end) as record from fx_seq""",
 }
+
+ORACLES["ordered_inventory"] = f"""select result_dir, label, source,
+  cast(row_number() over (partition by result_dir order by case label
+    when 'untrimmed_consensus' then 0 when 'consensus_fasta_index' then 1
+    when 'trimmed_consensus' then 2 when 'sample_map' then 3 when 'execution' then 5
+    when 'README' then 6 else 4 end, regexp_replace(label,'_read_length_plot$',''),
+    case when type='directory' then 0 else 1 end, source) as integer) as item_no
+  from ({ORACLES['deliverable_inventory']}) as items"""
