@@ -38,10 +38,10 @@ def list_files(spark: SparkSession, root: str | list[str], glob: str | None = No
 
 
 class _Subtree(InputPartition):
-    """A folder whose entries a task lists, with all below it or without."""
+    """Folders whose entries a task lists, with all below them or without."""
 
-    def __init__(self, path: str, deep: bool):
-        self.path, self.deep = path, deep
+    def __init__(self, paths: list[str], deep: bool):
+        self.paths, self.deep = paths, deep
 
 
 class _ListingReader(DataSourceReader):
@@ -55,11 +55,14 @@ class _ListingReader(DataSourceReader):
         while level and len(level) < self._tasks:
             done += level
             level = [d["path"] for folder in level for d in _entries(folder, False) if d["is_dir"]]
-        return [_Subtree(p, False) for p in done] + [_Subtree(p, True) for p in level]
+        tasks = min(self._tasks, len(level))
+        dealt = [_Subtree(level[i::tasks], True) for i in range(tasks)]
+        return [_Subtree(done, False), *dealt]
 
     def read(self, partition: _Subtree):
-        rows = list(_entries(partition.path, partition.deep))
-        yield pa.RecordBatch.from_pylist(rows, schema=_ENTRY)
+        for path in partition.paths:
+            rows = list(_entries(path, partition.deep))
+            yield pa.RecordBatch.from_pylist(rows, schema=_ENTRY)
 
 
 _ENTRY = pa.schema([("path", pa.string()), ("size", pa.int64()), ("is_dir", pa.bool_())])
@@ -95,7 +98,7 @@ def list_entries(
     """Files and folders below `root`, empty folders too: path, name, dir, size, is_dir.
 
     The first levels of folders are opened while the job is planned, until there are `tasks` of
-    them (four a core, unless given); subtrees are listed by one task each. Takes every file
+    them (four a core, unless given); they are dealt over as many tasks, which list all below. Takes every file
     system Arrow opens and keeps the scheme and host of the root. The root itself has no row.
     """
     spark.dataSource.register(ListingDataSource)
