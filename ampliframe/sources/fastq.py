@@ -235,15 +235,6 @@ class _FastqReader(DataSourceReader):
         self._columns = [c for c in options.get("columns", ",".join(COLUMNS)).split(",") if c]
         self._filters: list[Filter] = []
 
-    def pushFilters(self, filters):
-        """Take over comparisons of length and mean quality with a value."""
-        for f in filters:
-            known = getattr(f, "attribute", None) in (("length",), ("mean_quality",))
-            if known and (type(f) in _COMPARED or isinstance(f, IsNotNull)):
-                self._filters.append(f)
-            else:
-                yield f
-
     def partitions(self):
         ranges = byte_ranges(files_below(self._paths, FASTQ_SUFFIXES), self._split)
         return ranges or [ByteRange("", 0, 0, 0)]
@@ -294,6 +285,19 @@ class _FastqReader(DataSourceReader):
         )
 
 
+class _FilteringReader(_FastqReader):
+    """The reader of sessions that push filters; Spark refuses it in any other."""
+
+    def pushFilters(self, filters):
+        """Take over comparisons of length and mean quality with a value."""
+        for f in filters:
+            known = getattr(f, "attribute", None) in (("length",), ("mean_quality",))
+            if known and (type(f) in _COMPARED or isinstance(f, IsNotNull)):
+                self._filters.append(f)
+            else:
+                yield f
+
+
 class FastqDataSource(DataSource):
     """`spark.read.format("fastq")` and its writer; see `scan_fastq` and `write_reads_by`."""
 
@@ -306,7 +310,8 @@ class FastqDataSource(DataSource):
         return ", ".join(f"{c} {_SQL[KINDS[c]]}" for c in columns)
 
     def reader(self, schema):
-        return _FastqReader(self.options)
+        pushed = self.options.get("pushFilters", "false") == "true"
+        return (_FilteringReader if pushed else _FastqReader)(self.options)
 
     def writer(self, schema, overwrite):
         return _FastqWriter(self.options, overwrite)
@@ -315,9 +320,6 @@ class FastqDataSource(DataSource):
 class _BlockReader(_FastqReader):
     """The blocks of blocked gzip files, from their headers and sizes alone."""
 
-    def pushFilters(self, filters):
-        return filters
-
     def read(self, partition: ByteRange):
         if not partition.path.endswith(".gz"):
             return
@@ -378,8 +380,8 @@ def scan_fastq(
 
     `columns` chooses from these and `length` and `mean_quality` (Phred value of the mean error
     probability, NULL for an empty read). Comparisons of the last two with a value are pushed into
-    the scan where `spark.sql.python.filterPushdown.enabled` is set, and then no text of a refused
-    read is made. `record_offset` orders a file: the byte position of the record, of its data in a
+    the scan where `spark.sql.python.filterPushdown.enabled` is set when this is called, and then no
+    text of a refused read is made; elsewhere Spark filters the rows, with the same result. `record_offset` orders a file: the byte position of the record, of its data in a
     gzip file, or the virtual offset (2^16 times the block's offset plus the place in it) in a
     blocked one. The range columns tell which part of the file a record came from; `row_in_range`
     counts refused reads too.
@@ -387,7 +389,9 @@ def scan_fastq(
     unknown = [c for c in columns if c not in KINDS]
     if unknown or not columns:
         raise ValueError(f"a FASTQ scan has no column(s) {', '.join(unknown) or '(none given)'}")
-    return _loaded(spark, FastqDataSource, paths, split_bytes, columns=",".join(columns))
+    pushed = spark.conf.get("spark.sql.python.filterPushdown.enabled", "false").lower()
+    options = {"columns": ",".join(columns), "pushFilters": pushed}
+    return _loaded(spark, FastqDataSource, paths, split_bytes, **options)
 
 
 def read_fastq(

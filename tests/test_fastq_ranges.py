@@ -139,6 +139,24 @@ def test_filters_are_pushed(spark, work):
         fastq.scan_fastq(spark, path, columns=["nope"])
 
 
+def test_sessions_that_push_no_filters(spark, work):
+    records = reads(random.Random(5), 100) + [("empty", "", "")]
+    data = fastq_text(records).encode()
+    path = put(f"{work}/n/a.fastq.gz", blocked(data, iter(lambda: 700, 0)), "wb")
+    conf = "spark.sql.python.filterPushdown.enabled"
+    spark.conf.set(conf, "false")
+    try:
+        scan = fastq.scan_fastq(spark, path, 2000, ("name", "length", "mean_quality"))
+        got = {r["name"] for r in scan.filter("length >= 60 and mean_quality > 0").collect()}
+        assert got == {n for n, s, _ in records if len(s) >= 60}
+        assert scan.filter("mean_quality is null").collect()[0]["name"] == "empty"
+        assert fastq.read_fastq(spark, path, 2000).count() == 101
+        blocks = fastq.block_index(spark, path, 2000).filter("data_offset >= 700").count()
+        assert blocks == -(-len(data) // 700)
+    finally:
+        spark.conf.set(conf, "true")
+
+
 def test_block_index_and_data_offsets(spark, work):
     records = reads(random.Random(6), 300)
     data = fastq_text(records).encode()
