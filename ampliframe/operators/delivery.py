@@ -266,22 +266,26 @@ def missing_indexes(
     fasta_pattern: str = r"(?i)\.(fa|fasta|fna)$",
     bam_pattern: str = r"(?i)\.bam$",
 ) -> DataFrame:
-    """FASTA files without .fai and BAM files without .bam.bai or .bai: path, kind."""
+    """FASTA files without .fai and BAM files without .bam.bai or .bai: path, kind.
+
+    Only paths that hold the ending of an index take part as names, and repeated ones stay: a name
+    met twice refuses a file as well as one met once.
+    """
     listed = files.select("path")
-    names = listed.distinct()
 
-    def without(candidates: DataFrame, wanted) -> DataFrame:
+    def without(candidates: DataFrame, wanted, ending: str) -> DataFrame:
+        names = listed.filter(F.col("path").contains(ending))
         return candidates.join(
             names.withColumnRenamed("path", "__index"), wanted == F.col("__index"), "left_anti"
         )
 
     fasta = without(
-        listed.filter(F.col("path").rlike(fasta_pattern)), F.concat("path", F.lit(".fai"))
+        listed.filter(F.col("path").rlike(fasta_pattern)), F.concat("path", F.lit(".fai")), ".fai"
     )
     bam = without(
-        listed.filter(F.col("path").rlike(bam_pattern)), F.concat("path", F.lit(".bai"))
+        listed.filter(F.col("path").rlike(bam_pattern)), F.concat("path", F.lit(".bai")), ".bai"
     )
-    bam = without(bam, F.regexp_replace("path", bam_pattern, ".bai"))
+    bam = without(bam, F.regexp_replace("path", bam_pattern, ".bai"), ".bai")
     return fasta.select("path", F.lit("fasta").alias("kind")).unionByName(
         bam.select("path", F.lit("bam").alias("kind"))
     )

@@ -149,6 +149,16 @@ def test_unusable_evidence(rows):
         delivery.checked_manifest(evidence(rows, ("other", "/i/c.fa")), listing)
 
 
+def test_only_names_of_indexes_are_looked_up(rows):
+    names = [("a.fasta",), ("a.fasta",), ("b.fa",), ("b.fa.fai",), ("b.fa.fai",), ("C.BAM",), ("C.bai",)]
+    missing = delivery.missing_indexes(rows([*names, ("d.bam",), ("d.bam.csi",), (None,)], "path string"))
+    assert sorted(map(tuple, missing.collect())) == [
+        ("a.fasta", "fasta"), ("a.fasta", "fasta"), ("d.bam", "bam")
+    ]
+    plan = missing._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate" not in plan
+
+
 def test_missing_indexes(rows):
     listing = rows(
         [(p,) for p in ("/a.fasta", "/b.fasta", "/b.fasta.fai", "/x.bam", "/y.bam", "/y.bai",
