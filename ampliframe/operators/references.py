@@ -108,13 +108,14 @@ def shared_minimizers(
 
     Columns: the read's keys, `reference` and `votes`. `references` has name and seq, `reads` the
     keys and seq. A minimizer of few references is sent to the reads; if there are too many they
-    are joined, and a frequent one is split by adaptive execution. Votes are counted in each task
-    first, where all minimizers of a read stand together.
+    are joined, and a frequent one is split by adaptive execution. Reads are dealt over the tasks
+    first, because they grow a thousandfold by the bytes they are stored in; votes are counted in
+    each task, where all minimizers of a read stand together.
     """
     require_columns(references, ["name", "seq"], "the references")
     require_columns(reads, [*read_keys, "seq"], "the read set")
     of_references = minimizers(references, ["name"], "seq", k, window).distinct()
-    of_reads = minimizers(reads, read_keys, "seq", k, window)
+    of_reads = minimizers(spread(reads.select(*read_keys, "seq")), read_keys, "seq", k, window)
     named = of_references.select(F.col("name").alias("reference"), "minimizer")
     met = join_lookup(of_reads, named, ["minimizer"], "inner", SENT_MINIMIZERS)
     return met.groupBy(*read_keys, "reference").agg(F.count(F.lit(1)).alias("votes"))

@@ -88,3 +88,11 @@ def test_references_are_checked(rows):
             rf.checked_references(rows(data, "name string, seq string"))
     with pytest.raises(ValueError, match="missing required"):
         rf.orient_to_references(rows([("a", "A")], "name string, seq string"), rows([(1,)], "record_no int"))
+
+
+def test_reads_are_dealt_over_tasks_before_they_grow(spark, rows):
+    targets = rows([("t", "ACGTTGCAAC" * 5)], "name string, seq string")
+    reads = rows([(i, "ACGTTGCAAC" * 4) for i in range(64)], "record_no bigint, seq string").coalesce(1)
+    votes = rf.shared_minimizers(targets, reads, ["record_no"], 5, 3)
+    assert "RoundRobinPartitioning" in votes._jdf.queryExecution().executedPlan().toString()
+    assert votes.count() == 64
