@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+
+#: rows and bytes of a batch that a kernel with many objects for each row works on at once
+SLICED_ROWS = 2048
+SLICED_BYTES = 8 << 20
 
 
 def flat_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -32,3 +37,21 @@ def slices_by_bytes(offsets: np.ndarray, limit: int) -> Iterator[tuple[int, int]
         last = min(max(last, first + 1), rows)
         yield first, last
         first = last
+
+
+def in_slices(kernel: Callable[..., pa.Array], *columns: pa.Array) -> pa.Array:
+    """What `kernel` makes of the columns of a batch, a slice of bounded rows and bytes at a time.
+
+    The memory of a task then follows neither `maxRecordsPerBatch` nor the length of the texts; a
+    longer text stands alone.
+    """
+    sizes = np.zeros(len(columns[0]), np.int64)
+    for column in columns:
+        if pa.types.is_string(column.type):
+            sizes += pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
+    done = []
+    for first, last in slices_by_bytes(np.concatenate([[0], np.cumsum(sizes)]), SLICED_BYTES):
+        for at in range(first, last, SLICED_ROWS):
+            rows = min(SLICED_ROWS, last - at)
+            done.append(kernel(*(c.slice(at, rows) for c in columns)))
+    return pa.concat_arrays(done) if done else kernel(*columns)

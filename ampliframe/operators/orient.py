@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ampliframe.contracts import number_argument, require_columns
+from ampliframe.functions.arrow_text import in_slices
 from ampliframe.functions.dna import clean_sequence, reverse_complement
 from ampliframe.functions.labels import name_or_numbered, name_or_reference
 from ampliframe.functions.scale import spread
@@ -132,8 +133,7 @@ def _placement(reference: np.ndarray, reads: list[np.ndarray], scoring: al.Scori
 
 
 def _place_udf(reference: str, scoring: al.Scoring):
-    @F.arrow_udf("struct<placed:string,inserted:array<struct<slot:int,bases:string>>>")
-    def place(seq: pa.Array) -> pa.Array:
+    def placed_rows(seq: pa.Array) -> pa.Array:
         reads = [al.encode(s) for s in seq.to_pylist()]
         placed, inserted = [], []
         for row, extra in _placement(al.encode(reference), reads, scoring):
@@ -145,6 +145,10 @@ def _place_udf(reference: str, scoring: al.Scoring):
             names=["placed", "inserted"],
         )
 
+    @F.arrow_udf("struct<placed:string,inserted:array<struct<slot:int,bases:string>>>")
+    def place(seq: pa.Array) -> pa.Array:
+        return in_slices(placed_rows, seq)
+
     return place
 
 
@@ -194,8 +198,7 @@ def read_stack(
     for row in widest:
         widths[row["slot"]] = row["width"]
 
-    @F.arrow_udf("string")
-    def pad(rows: pa.Array, inserted: pa.Array) -> pa.Array:
+    def padded(rows: pa.Array, inserted: pa.Array) -> pa.Array:
         return pa.array(
             [
                 _padded_row(row, {i["slot"]: i["bases"] for i in extra}, widths)
@@ -204,6 +207,10 @@ def read_stack(
             pa.string(),
         )
 
+    @F.arrow_udf("string")
+    def pad(rows: pa.Array, inserted: pa.Array) -> pa.Array:
+        return in_slices(padded, rows, inserted)
+
     spark: SparkSession = placed.sparkSession
     top = spark.createDataFrame(
         [(reference.name, 0, reference.name, _padded_row(reference.seq, {}, widths))],

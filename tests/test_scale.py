@@ -56,3 +56,23 @@ def test_spread_deals_equal_rows_evenly(spark):
     dealt = scale.spread(same)
     sizes = [r["n"] for r in dealt.groupBy(F.spark_partition_id().alias("p")).agg(F.count("a").alias("n")).collect()]
     assert sum(sizes) == 400 and max(sizes) <= 110
+
+
+def test_kernels_see_slices_of_a_batch():
+    import pyarrow as pa
+
+    from ampliframe.functions import arrow_text
+
+    seen = []
+
+    def lengths(text, other):
+        seen.append((len(text), sum(len(t or "") for t in text.to_pylist())))
+        return pa.array([len(t or "") + o for t, o in zip(text.to_pylist(), other.to_pylist())], pa.int64())
+
+    texts = ["A" * 5000] * 5000 + [None, "", "B" * (9 << 20)]
+    columns = pa.array(texts, pa.string()), pa.array(range(len(texts)), pa.int64())
+    got = arrow_text.in_slices(lengths, *columns)
+    assert got.to_pylist() == [len(t or "") + i for i, t in enumerate(texts)]
+    assert max(n for n, _ in seen) <= arrow_text.SLICED_ROWS
+    assert sorted(b for _, b in seen)[-2] <= arrow_text.SLICED_BYTES and len(seen) >= 4
+    assert len(arrow_text.in_slices(lengths, *(c.slice(0, 0) for c in columns))) == 0
