@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ampliframe.contracts import require_columns
+from ampliframe.functions.arrow_text import in_slices
 from ampliframe.functions.dna import reverse_complement
 from ampliframe.functions.labels import is_blank
 from ampliframe.functions.scale import spread
@@ -132,8 +133,7 @@ def _align_udf(scoring: al.Scoring, kind: str, texts: bool, differences: bool):
     if differences:
         fields += [f"differences:array<{_DIFFERENCE}>"]
 
-    @F.arrow_udf("struct<" + ",".join(fields) + ">")
-    def align(seq1: pa.Array, seq2: pa.Array, needed: pa.Array) -> pa.Array:
+    def aligned(seq1: pa.Array, seq2: pa.Array, needed: pa.Array) -> pa.Array:
         firsts, seconds, which = _distinct_codes(seq1, seq2, needed)
         distance, reverse = al.oriented_distances(firsts, seconds, scoring, kind)
         out = {
@@ -152,6 +152,10 @@ def _align_udf(scoring: al.Scoring, kind: str, texts: bool, differences: bool):
         table = pa.StructArray.from_arrays(list(out.values()), names=list(out))
         return table.take(which)
 
+    @F.arrow_udf("struct<" + ",".join(fields) + ">")
+    def align(seq1: pa.Array, seq2: pa.Array, needed: pa.Array) -> pa.Array:
+        return in_slices(aligned, seq1, seq2, needed)
+
     return align
 
 
