@@ -65,3 +65,14 @@ def test_views_agree(spark, engine, name):
     picked = ", ".join(f'"{c}"' for c in columns)
     answer = engine.sql(with_views(f"select {picked} from {name}")).fetchall()
     assert plain([tuple(r[c] for c in columns) for r in df.collect()]) == plain(answer)
+
+
+@pytest.mark.parametrize("name", ["stored_reads", "stored_read_numbers", "selected_reads", "gzip_block_totals"])
+def test_stored_reads_where_spark_pushes_no_filters(spark, engine, name):
+    conf = "spark.sql.python.filterPushdown.enabled"
+    before = spark.conf.get(conf)
+    spark.conf.set(conf, "false")
+    try:
+        test_query(spark, engine, name)
+    finally:
+        spark.conf.set(conf, before)
