@@ -1,25 +1,35 @@
-"""Passages that recur, exactly or nearly, in different documents, found by compact windows.
-
-A text's tokens are the hashes of its five-word shingles. Under a hash function, the tokens of a
-text form a Cartesian tree: its nodes are compact windows (l, c, r), in which every stretch from
-[l, c] to [c, r] has its least hash at c. The windows at least as wide as the shortest passage
-wanted stand for all stretches of at least that length, grouped by the min-hash they share, and
-their number is about 2 / that length for each token.
-
-Texts whose windows share a min-hash are candidates. In a group of up to `PAIRED` windows that
-share one, every two are linked. In a larger one, as a licence line or a quotation makes it, each
-window is linked to the group's first one, and the texts are looked at more closely: under the
-first hash function, every stretch of the wanted length whose least hash lies in a large group
-gets a hash of its whole content, and all texts with the same stretch are linked to the first of
-them; links of small groups under that function need no other to agree. An exact repeat has the
-same least hash in both texts, so it is found whatever the size of the groups; of what only resembles another text within a large group, nothing but the likeness to
-the group's first text is sure to be seen.
-
-Groups are read as a sorted stream: a group of any size takes the memory of one batch. At least
-`AGREE` of `HASHES` functions must agree on windows that overlap. What is left is verified on the
-whole texts: a passage counts if two stretches of the wanted length have a Jaccard similarity of
-at least `SIMILARITY` of their shingles. Every link is verified, first token by token at its
-shift, else by all pairs of stretches around the shared token as sets.
+"""Passages that recur, exactly or nearly, in different documents, found by runs of equal tokens.
+
+A text's tokens are the hashes of its five-word shingles. A passage counts if two stretches of the
+wanted length have a Jaccard similarity of at least `SIMILARITY` of their tokens. Then they share
+a certain number of tokens (41 of 46 for 50 words and 0.8), and as a word changed, put in or left
+out within a stretch spoils at least four tokens, what they share is one run of tokens, or two
+with one changed place between: one run has half of the shared tokens (21) or more.
+
+Candidates are found by the least hash of every stretch of that half's length (winnowing): texts
+that share such a run have the same place in it. The place is told by the tokens up to it and by
+the tokens from it on, half a run each (15 words), one of which lies in the shared run. In a group
+of up to `PAIRED` places with the same tokens every two are linked. A larger group, as a licence
+line or a quotation makes it, is looked at more closely, and no pair of it is left out:
+
+- Texts that share all the tokens in one run have a stretch of that length in common. All such
+  stretches around places of large groups are hashed whole, and all texts with the same stretch
+  are linked to the first of them.
+- Texts that share them in two runs differ at the place between: the token before it is followed
+  by different words in different texts, the token behind it preceded by different ones. Where
+  this is true of texts that no links verified so far join, and enough tokens around stand in such
+  texts, the words of both runs are hashed without what stands between, for all places where the
+  first run may begin, and all texts with the same words are linked to the first of them.
+
+So two texts with a near repeat are compared with each other, or each with a text that has the very
+words they share, or links found before join them. What is not sure to be found are stretches similar only as sets, whose tokens stand in
+another order in shorter runs (phrases of four words repeated within a stretch make that possible),
+and, where `similarity` is set so low that there may be two changed places, pairs with two of them
+all of whose runs lie in large groups.
+
+Groups are read as a sorted stream: a group of any size takes the memory of one batch. Every link
+is verified on the whole texts, first token by token at its shift, else by all pairs of stretches
+around the shared token as sets.
 
 Documents with the same words are one text, compared with others once. A document with several
 texts takes part with each of them.
@@ -27,12 +37,14 @@ texts takes part with each of them.
 
 from __future__ import annotations
 
+import math
 import uuid
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ampliframe.llm.common import utf8
@@ -42,35 +54,73 @@ from ampliframe.session import ensure_checkpoint_dir, materialise
 SHINGLE = 5
 PASSAGE_WORDS = 50
 SIMILARITY = 0.8
-HASHES = 8
-AGREE = 2
-#: windows of a group that are linked pair by pair
-PAIRED = 8
+#: places of a group that are linked pair by pair
+PAIRED = 32
 #: tokens of texts that are kept for their next comparison
 KNOWN_TOKENS = 1 << 21
 #: rows of one group that are held until it counts as large
 HELD_ROWS = 1 << 16
 #: tokens handled at once by numpy; a longer text is still handled whole
 BLOCK_TOKENS = 1 << 21
-#: more than the number of hash functions; a key tells its function by its last bits
+#: more than the kinds of keys; a key tells its kind by its last bits
 HASH_ROOM = 64
-#: what stands for the function in a link of equal stretches, which needs no other to agree
-EXACT = (HASH_ROOM - 2, HASH_ROOM - 1)
+#: keys of the tokens up to a place and from it on
+UPTO, ONWARD = 0, 1
 #: bits of a packed hash that hold a token's place in its block
 PLACE_BITS = 27
 MULTIPLIERS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)
 
 
-def words_of(text: bytes) -> list[bytes]:
-    return text.lower().split()
+#: bytes that are hashed at once; a longer word is hashed by itself
+PIECE_BYTES = 1 << 16
 
 
-def tokens_of(words: list[bytes]) -> np.ndarray:
-    """A 64-bit hash of every shingle of five words."""
-    if len(words) < SHINGLE:
+def _powers(base: int, n: int) -> np.ndarray:
+    factors = np.full(n + 1, base, np.uint64)
+    factors[0] = 1
+    return np.cumprod(factors)
+
+
+POWERS = _powers(MULTIPLIERS[3] | 1, PIECE_BYTES)
+INVERSES = _powers(pow(MULTIPLIERS[3] | 1, -1, 1 << 64), PIECE_BYTES)
+
+
+def plain_words(text: bytes) -> bytes:
+    """The words of a text, A-Z in lower case, with one space between them."""
+    return b" ".join(text.lower().split())
+
+
+def count_words(plain: bytes) -> int:
+    return plain.count(b" ") + 1 if plain else 0
+
+
+def word_hashes(plain: bytes) -> np.ndarray:
+    """A 64-bit hash of every word of a text with one space between its words."""
+    raw = np.frombuffer(plain, np.uint8)
+    spaces = np.flatnonzero(raw == 32)
+    starts, ends = np.append(0, spaces + 1), np.append(spaces, len(raw))
+    out, i = np.empty(len(starts), np.uint64), 0
+    while i < len(starts):
+        at = starts[i]
+        j = int(np.searchsorted(ends, at + PIECE_BYTES, "right"))
+        if j <= i:
+            out[i] = xxhash.xxh64_intdigest(plain[at : ends[i]])
+            i += 1
+            continue
+        sums = np.zeros(ends[j - 1] - at + 1, np.uint64)
+        np.cumsum(LETTERS[raw[at : ends[j - 1]]] * POWERS[: len(sums) - 1], out=sums[1:])
+        first = starts[i:j] - at
+        out[i:j] = (sums[ends[i:j] - at] - sums[first]) * INVERSES[first]
+        i = j
+    out ^= out >> np.uint64(29)
+    out *= np.uint64(MULTIPLIERS[1])
+    return out ^ (out >> np.uint64(32))
+
+
+def tokens_of(own: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of every shingle of five words, from the hashes of the words."""
+    if len(own) < SHINGLE:
         return np.zeros(0, np.uint64)
-    digest = xxhash.xxh64_digest
-    own = np.frombuffer(b"".join([digest(w) for w in words]), np.uint64)
     n = len(own) - SHINGLE + 1
     key = np.zeros(n, np.uint64)
     for i in range(SHINGLE):
@@ -86,11 +136,23 @@ def _hashed(tokens: np.ndarray, function: int) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
-def compact_windows(tokens: np.ndarray, ends: np.ndarray, function: int, width: int):
-    """All compact windows at least `width` wide of the texts that end at `ends` in `tokens`.
+LETTERS = _hashed(np.arange(256, dtype=np.uint64), 0)
+
+
+def run_hashes(values: np.ndarray, starts: np.ndarray, width: int) -> np.ndarray:
+    """A hash of the `width` values from each start on."""
+    total = np.zeros(len(starts), np.uint64)
+    for i in range(width):
+        total = total * np.uint64(MULTIPLIERS[3] | 1) + values[starts + i]
+    total ^= total >> np.uint64(29)
+    return total * np.uint64(MULTIPLIERS[2])
+
 
-    Returns the min-hash, l, c and r of each, as places in `tokens`. Equal hashes count as smaller
-    the further left they stand.
+def least_places(tokens: np.ndarray, ends: np.ndarray, function: int, width: int):
+    """Hashes, the same with places, and starts and least places of all stretches of that width.
+
+    No stretch goes beyond the end of its text. Equal hashes count as smaller the further left
+    they stand.
     """
     n = len(tokens)
     hashes = _hashed(tokens, function)
@@ -108,8 +170,19 @@ def compact_windows(tokens: np.ndarray, ends: np.ndarray, function: int, width:
     inside[begins[has_any]] += 1
     inside[ends[has_any] - width + 1] -= 1
     starts = np.flatnonzero(np.cumsum(inside[: n - width + 1]) > 0)
+    return hashes, packed, starts, (least[starts] & low).astype(np.int64)
+
+
+def compact_windows(tokens: np.ndarray, ends: np.ndarray, function: int, width: int):
+    """All compact windows at least `width` wide of the texts that end at `ends` in `tokens`.
+
+    Returns the min-hash, l, c and r of each, as places in `tokens`: all stretches from [l, c] to
+    [c, r] have their least hash at c.
+    """
+    hashes, packed, _, least = least_places(tokens, ends, function, width)
+    begins = np.concatenate([[0], ends[:-1]])
     # every window of that width has its centre among the least of all stretches of the width
-    centres = np.unique(least[starts] & low).astype(np.int64)
+    centres = np.unique(least)
     text_of = np.searchsorted(ends, centres, "right")
     left, right = begins[text_of], ends[text_of] - 1
     values, texts = packed[centres].tolist(), text_of.tolist()
@@ -135,12 +208,12 @@ def not_repeated(
     tokens: np.ndarray, begins: np.ndarray, ends: np.ndarray, key: np.ndarray, text: np.ndarray,
     c: np.ndarray, width: int,
 ) -> np.ndarray:
-    """Which windows to keep: all but those of one text and min-hash in the same surroundings.
+    """Which places to keep: all but those of one text and hash in the same surroundings.
 
-    Words repeated over and over make a window of nearly every token, all with one min-hash. Those
-    with the same tokens on both sides, as far as a passage reaches, compare alike.
+    Words repeated over and over make nearly every token a place, all with one hash. Those with
+    the same tokens on both sides, as far as a passage reaches, compare alike.
     """
-    order = np.lexsort((c, key, text))
+    order = np.argsort(key ^ text.astype(np.uint64) * np.uint64(MULTIPLIERS[0]), kind="stable")
     same = (key[order[1:]] == key[order[:-1]]) & (text[order[1:]] == text[order[:-1]])
     many = np.zeros(len(key), bool)
     many[order[1:]] |= same
@@ -158,107 +231,268 @@ def not_repeated(
 WINDOW_SCHEMA = "key long, th long, c int"
 
 
-def packed_text(words: list[bytes]) -> bytes:
-    """Words with one space between them, compressed."""
-    raw = b" ".join(words)
-    return len(raw).to_bytes(8, "little") + pa.compress(raw, "zstd", asbytes=True)
+def packed_text(plain: bytes) -> bytes:
+    """A text, compressed."""
+    return len(plain).to_bytes(8, "little") + pa.compress(plain, "zstd", asbytes=True)
 
 
-def unpacked_words(data: bytes) -> list[bytes]:
+def unpacked_text(data: bytes) -> bytes:
     size = int.from_bytes(data[:8], "little")
-    return pa.decompress(data[8:], size, "zstd", asbytes=True).split()
+    return pa.decompress(data[8:], size, "zstd", asbytes=True)
+
+
+class Shape(NamedTuple):
+    """What two similar stretches of `words` words have in common at least."""
+
+    words: int
+    #: tokens of a stretch, and how many of them are shared
+    width: int
+    shared: int
+    #: places within a stretch where one may differ from the other
+    gaps: int
+    #: tokens of the longest run that is shared
+    run: int
+
+
+def shape_of(words: int, similarity: float) -> Shape:
+    width = words - SHINGLE + 1
+    shared = max(math.ceil(2 * width * similarity / (1 + similarity) - 1e-9), 1)
+    gaps = (width - shared) // (SHINGLE - 1)
+    return Shape(words, width, shared, gaps, -(-shared // (gaps + 1)))
+
+
+class Block(NamedTuple):
+    """Some texts laid end to end; places count from the first one's first word or token."""
+
+    #: other columns of each text
+    others: list[list]
+    hashes: np.ndarray
+    tokens: np.ndarray
+    begins: np.ndarray
+    ends: np.ndarray
+    #: word hashes, with `SHINGLE - 1` words more than tokens for each text
+    words: np.ndarray
+    word_begins: np.ndarray
+
+
+def _block(held) -> Block:
+    others, hashes, tokens, words = zip(*held)
+    ends = np.cumsum([len(t) for t in tokens])
+    word_ends = np.cumsum([len(w) for w in words])
+    return Block(
+        list(others), np.array(hashes, np.uint64).view(np.int64),
+        np.concatenate(tokens), np.append(0, ends[:-1]), ends,
+        np.concatenate(words), np.append(0, word_ends[:-1]),
+    )
 
 
-def _blocks(batches, words: int, columns: tuple[str, ...]):
-    """Texts of a batch that are long enough, some at once: (rows' other columns, hashes, tokens)."""
+def _blocks(batches, words: int, columns: tuple[str, ...] = ()):
+    """Texts of a batch that are long enough, some at once."""
     for batch in batches:
         held, size = [], 0
-        texts = utf8(batch["text"]) if "text" in batch.schema.names else batch["packed"].to_pylist()
-        rows = zip(texts, *(batch[c].to_pylist() for c in columns))
-        for text, *others in rows:
-            own = words_of(text) if "text" in batch.schema.names else unpacked_words(text)
-            if len(own) < words:
+        if "text" in batch.schema.names:
+            texts = map(plain_words, utf8(batch["text"]))
+        else:
+            texts = map(unpacked_text, batch["packed"].to_pylist())
+        for text, *others in zip(texts, *(batch[c].to_pylist() for c in columns)):
+            if count_words(text) < words:
                 continue
-            tokens = tokens_of(own)
-            held.append((others, xxhash.xxh64_intdigest(b" ".join(own)), tokens))
-            size += len(tokens)
+            own = word_hashes(text)
+            held.append((others, xxhash.xxh64_intdigest(text), tokens_of(own), own))
+            size += len(own)
             if size >= BLOCK_TOKENS:
-                yield held
+                yield _block(held)
                 held, size = [], 0
         if held:
-            yield held
+            yield _block(held)
 
 
-def _laid_out(held):
-    """(tokens end to end, where each text begins and ends, the texts' hashes)."""
-    ends = np.cumsum([len(t) for _, _, t in held])
-    hashes = np.array([p for _, p, _ in held], np.uint64).view(np.int64)
-    return np.concatenate([t for _, _, t in held]), np.concatenate([[0], ends[:-1]]), ends, hashes
+def _rows(key: np.ndarray, block: Block, text: np.ndarray, c: np.ndarray) -> pa.RecordBatch:
+    """Rows of `WINDOW_SCHEMA`."""
+    places = (c - block.begins[text]).astype(np.int32)
+    columns = [pa.array(key.view(np.int64)), pa.array(block.hashes[text]), pa.array(places)]
+    return pa.RecordBatch.from_arrays(columns, names=["key", "th", "c"])
 
 
-def windows(docs: DataFrame, words: int = PASSAGE_WORDS, hashes: int = HASHES) -> DataFrame:
-    """The compact windows of texts under each hash function: key, the text's hash th, and c."""
-    width = words - SHINGLE + 1
+def windows(docs: DataFrame, shape: Shape) -> DataFrame:
+    """The places that stand for all runs of texts: key, the text's hash th, and c.
+
+    Each has a key of the tokens up to it and one of those from it on, half a run each, as far as
+    the text has them.
+    """
+    half = (shape.run + 1) // 2
 
     def run(batches):
-        for held in _blocks(batches, words, ()):
-            tokens, begins, ends, prints_ = _laid_out(held)
-            for fn in range(hashes):
-                key, _, c, _ = compact_windows(tokens, ends, fn, width)
-                text = np.searchsorted(ends, c, "right")
-                once = not_repeated(tokens, begins, ends, key, text, c, width)
-                key, text, c = (x[once] for x in (key, text, c))
-                marked = (key & ~np.uint64(HASH_ROOM - 1)) | np.uint64(fn)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(marked.view(np.int64)),
-                        pa.array(prints_[text]),
-                        pa.array((c - begins[text]).astype(np.int32)),
-                    ],
-                    names=["key", "th", "c"],
-                )
+        for block in _blocks(batches, shape.words):
+            tokens, begins, ends = block.tokens, block.begins, block.ends
+            hashes, _, _, least = least_places(tokens, ends, 0, shape.run)
+            # the least of stretches that follow each other comes in groups
+            c = np.unique(least)
+            text = np.searchsorted(ends, c, "right")
+            once = not_repeated(tokens, begins, ends, hashes[c], text, c, shape.width)
+            c, text = c[once], text[once]
+            for kind, first in ((UPTO, c - half + 1), (ONWARD, c)):
+                there = (first >= begins[text]) & (first + half <= ends[text])
+                key = run_hashes(tokens, first[there], half)
+                key = (key & ~np.uint64(HASH_ROOM - 1)) | np.uint64(kind)
+                yield _rows(key, block, text[there], c[there])
 
     return docs.select("text").mapInArrow(run, WINDOW_SCHEMA)
 
 
-def stretches(docs: DataFrame, words: int = PASSAGE_WORDS) -> DataFrame:
-    """Content hashes of the stretches whose least hash, by the first function, is in `places`.
+def _marked(block: Block, column: int, steps: np.ndarray, starts: np.ndarray, n: int) -> np.ndarray:
+    """Marks of n places: those the column lists for each text, and `steps` from them."""
+    marks = np.zeros(n, bool)
+    for other, at, to in zip(block.others, starts, np.append(starts[1:], n)):
+        places = np.array(other[column], np.int64)
+        places = (places[:, None] + steps).ravel() + at
+        marks[places[(places >= at) & (places < to)]] = True
+    return marks
+
 
-    `docs` has packed and places; rows (key, th, c): the hash, the text's and the stretch's start.
+def stretches(crowded: DataFrame, shape: Shape) -> DataFrame:
+    """Content hashes of the stretches of shared tokens whose least place is in large groups.
+
+    `crowded` has packed, and upto and onward, the places whose keys are in large groups; rows
+    (key, th, c): the hash, the text's and the stretch's start. A stretch with a key in another
+    group is found by that.
     """
-    width = words - SHINGLE + 1
-    powers = np.cumprod(np.full(width, MULTIPLIERS[3] | 1, np.uint64))[::-1].copy()
+    half = (shape.run + 1) // 2
 
     def run(batches):
-        for held in _blocks(batches, words, ("places",)):
-            tokens, begins, ends, prints_ = _laid_out(held)
-            wanted = [np.array(o[0], np.int64) + b for (o, _, _), b in zip(held, begins)]
-            wanted = np.sort(np.concatenate(wanted))
-            _, l, c, r = compact_windows(tokens, ends, 0, width)
-            own = np.isin(c, wanted)
-            first = np.maximum(l[own], c[own] - width + 1)
-            last = np.minimum(c[own], r[own] - width + 1)
-            sizes = np.maximum(last - first + 1, 0)
-            steps = np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-            starts = np.unique(np.repeat(first, sizes) + steps)
-            mixed = _hashed(tokens, HASH_ROOM - 1)
+        for block in _blocks(batches, shape.words, ("upto", "onward")):
+            n, own = len(block.tokens), np.zeros(1, np.int64)
+            upto, onward = (_marked(block, i, own, block.begins, n) for i in (0, 1))
+            _, _, starts, least = least_places(block.tokens, block.ends, 0, shape.shared)
+            has_upto = least - starts >= half - 1
+            has_onward = starts + shape.shared - least >= half
+            starts = starts[(upto[least] | ~has_upto) & (onward[least] | ~has_onward)]
             for at in range(0, len(starts), 1 << 16):
                 part = starts[at : at + (1 << 16)]
-                total = np.zeros(len(part), np.uint64)
-                for i in range(width):
-                    total += mixed[part + i] * powers[i]
-                text = np.searchsorted(ends, part, "right")
-                total ^= total >> np.uint64(29)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array((total * np.uint64(MULTIPLIERS[2])).view(np.int64)),
-                        pa.array(prints_[text]),
-                        pa.array((part - begins[text]).astype(np.int32)),
-                    ],
-                    names=["key", "th", "c"],
-                )
+                key = run_hashes(block.tokens, part, shape.shared)
+                yield _rows(key, block, np.searchsorted(block.ends, part, "right"), part)
+
+    return crowded.select("packed", "upto", "onward").mapInArrow(run, WINDOW_SCHEMA)
 
-    return docs.select("packed", "places").mapInArrow(run, WINDOW_SCHEMA)
+
+NEAR_SCHEMA = "token long, th long, least long, c int, before int, after int"
+
+
+def tokens_around(crowded: DataFrame, shape: Shape) -> DataFrame:
+    """The tokens around places of large groups, with hashes of the word before and the word after.
+
+    `crowded` has packed, places and least, which is the same for texts known to be linked.
+    """
+    steps = np.arange(-shape.words, shape.words + 1)
+
+    def run(batches):
+        for block in _blocks(batches, shape.words, ("places", "least")):
+            near = _marked(block, 0, steps, block.begins, len(block.tokens))
+            c = np.flatnonzero(near)
+            text = np.searchsorted(block.ends, c, "right")
+            # one end for all texts, on either side
+            linked = np.array([other[1] for other in block.others], np.int64)
+            words = np.append(block.words, np.uint64(0)).astype(np.uint32).view(np.int32)
+            place = c - block.begins[text]
+            at = block.word_begins[text] + place
+            last = c == block.ends[text] - 1
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(block.tokens[c].view(np.int64)),
+                    pa.array(block.hashes[text]),
+                    pa.array(linked[text]),
+                    pa.array(place.astype(np.int32)),
+                    pa.array(words[np.where(place > 0, at - 1, -1)]),
+                    pa.array(words[np.where(last, -1, at + SHINGLE)]),
+                ],
+                names=["token", "th", "least", "c", "before", "after"],
+            )
+
+    return crowded.select("packed", "places", "least").mapInArrow(run, NEAR_SCHEMA)
+
+
+def forks(near: DataFrame, shape: Shape) -> DataFrame:
+    """By text th: places of tokens that texts not known to be linked share (places), and of those
+    that go on (ahead) or begin (behind) differently in some of them."""
+    same = Window.partitionBy("token")
+
+    def differ(name: str):
+        return F.min(name).over(same) != F.max(name).over(same)
+
+    found = near.select("th", "c", *[differ(c).alias(f"__{c}") for c in ("least", "before", "after")])
+    lists = found.filter("__least").groupBy("th").agg(
+        F.collect_set("c").alias("places"),
+        F.collect_set(F.when(F.col("__after"), F.col("c"))).alias("ahead"),
+        F.collect_set(F.when(F.col("__before"), F.col("c"))).alias("behind"),
+    )
+    return lists.filter(F.size("places") >= shape.shared).filter("size(ahead) > 0 and size(behind) > 0")
+
+
+def gapped(forked: DataFrame, shape: Shape) -> DataFrame:
+    """Hashes of the words of two runs on both sides of a place where texts may differ.
+
+    `forked` has packed, places, ahead and behind. Together the runs have the tokens shared at
+    least; between them there is one word of the text, or none. The first one begins where others
+    may go on differently to the left, or is as long as it can be beside another. Rows (key, th, c):
+    the hash, the text's, and the place of the last token of the first run.
+    """
+    total, most = shape.shared + 2 * (SHINGLE - 1), shape.shared - 1
+
+    def run(batches):
+        for block in _blocks(batches, shape.words, ("places", "ahead", "behind")):
+            n, zero = len(block.tokens), np.zeros(1, np.int64)
+            held, ahead, behind = (_marked(block, i, zero, block.begins, n) for i in range(3))
+            behind[block.begins] = True
+            at = np.arange(n)
+            text = np.searchsorted(block.ends, at, "right")
+            # the shared tokens that end and begin at each place
+            upto = at - np.maximum.accumulate(np.where(held, block.begins[text] - 1, at))
+            onward = np.where(held, block.ends[text], at)
+            onward = np.minimum.accumulate(onward[::-1])[::-1] - at
+            behinds = np.append(0, np.cumsum(behind))
+            lasts = np.flatnonzero(ahead & held)
+            for skipped in (0, 1):
+                # the first token of the second run
+                first = lasts + SHINGLE + skipped
+                own = lasts[first < block.ends[text[lasts]]]
+                first = own + SHINGLE + skipped
+                own = own[upto[own] + onward[first] >= shape.shared]
+                first = own + SHINGLE + skipped
+                # it begins differently elsewhere; a word repeated may be counted to either side
+                word = first + (SHINGLE - 1) * text[first]
+                low = first.copy()
+                for _ in range(shape.words):
+                    again = block.words[word - 1] == block.words[np.maximum(word - 2, 0)]
+                    again &= low > own + 1
+                    if not again.any():
+                        break
+                    low, word = low - again, word - again
+                low -= (low < first) | (not skipped)
+                own = own[behinds[first + 1] > behinds[low]]
+                for begin in range(0, len(own), 1 << 14):
+                    last = own[begin : begin + (1 << 14)]
+                    first = last + SHINGLE + skipped
+                    longest = np.minimum(upto[last], most)
+                    shortest = np.maximum(shape.shared - onward[first], 1)
+                    size = np.arange(1, most + 1)
+                    fits = (size >= shortest[:, None]) & (size <= longest[:, None])
+                    starts = np.maximum(last[:, None] - size + 1, 0)
+                    i, j = np.nonzero(fits & (behind[starts] | (size == most)))
+                    last, left = last[i], j + SHINGLE
+                    place = last - (left - SHINGLE) + (SHINGLE - 1) * text[last]
+                    key = np.zeros(len(last), np.uint64)
+                    for k in range(total):
+                        word = block.words[place + k + np.where(k >= left, skipped, 0)]
+                        key = key * np.uint64(MULTIPLIERS[3] | 1) + word
+                    key ^= key >> np.uint64(29)
+                    key *= np.uint64(MULTIPLIERS[2])
+                    # words repeated over and over give the same words many times
+                    mixed = key ^ text[last].astype(np.uint64) * np.uint64(MULTIPLIERS[0])
+                    once = np.unique(mixed, return_index=True)[1]
+                    yield _rows(key[once], block, text[last[once]], last[once])
+
+    columns = ("packed", "places", "ahead", "behind")
+    return forked.select(*columns).mapInArrow(run, WINDOW_SCHEMA)
 
 
 LINK_SCHEMA = "large boolean, fn int, a long, b long, ca int, cb int"
@@ -352,11 +586,12 @@ def stored_texts(docs: DataFrame, words: int = PASSAGE_WORDS) -> DataFrame:
         for batch in batches:
             found = []
             for doc_id, text in zip(batch["doc_id"].to_pylist(), utf8(batch["text"])):
-                own = words_of(text)
-                if len(own) >= words:
-                    th = xxhash.xxh64_intdigest(b" ".join(own))
+                own = plain_words(text)
+                n = count_words(own)
+                if n >= words:
+                    th = xxhash.xxh64_intdigest(own)
                     th -= (th >> 63) << 64
-                    found.append((doc_id, th, len(own), packed_text(own)))
+                    found.append((doc_id, th, n, packed_text(own)))
             columns = zip(*found) if found else [[]] * 4
             kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary()]
             yield pa.RecordBatch.from_arrays(
@@ -452,21 +687,6 @@ def similar_sets(
     return (x + int(i), y + int(j), s) if s >= similarity - 1e-9 else None
 
 
-def agreeing(links: dict[str, np.ndarray], width: int, agree: int) -> np.ndarray:
-    """Which links lie in a chain of overlapping windows that `agree` hash functions share.
-
-    This is the interval join across hash functions: one sweep over the windows of the first text.
-    Centres less than a passage apart can lie in the same one.
-    """
-    order = np.argsort(links["ca"], kind="stable")
-    chain = np.concatenate([[0], np.cumsum(np.diff(links["ca"][order]) >= width)])
-    seen = np.unique(chain * HASH_ROOM + links["fn"][order])
-    functions = np.bincount(seen // HASH_ROOM, minlength=chain[-1] + 1)
-    out = np.zeros(len(order), bool)
-    out[order] = functions[chain] >= agree
-    return out
-
-
 def _spans(places: list[int], width: int):
     """(first, last) of runs of sorted places; a run is at most `width` long."""
     first = last = None
@@ -480,17 +700,17 @@ def _spans(places: list[int], width: int):
 
 
 def verified(
-    a: np.ndarray, b: np.ndarray, links: dict[str, np.ndarray], width: int, similarity: float,
-    agree: int,
+    a: np.ndarray, b: np.ndarray, links: list[tuple[int, int]], width: int, similarity: float
 ) -> list[tuple[int, int, int, float]]:
-    """Passages (start in a, end in a, start in b, similarity) in words, from linked windows."""
-    good = agreeing(links, width, agree)
-    centres = sorted(set(zip(links["ca"][good].tolist(), links["cb"][good].tolist())))
+    """Passages (start in a, end in a, start in b, similarity) in words, from places (in a, in b)."""
     by_shift: dict[int, list[int]] = {}
-    for ca, cb in centres:
+    for ca, cb in sorted(links):
         by_shift.setdefault(ca - cb, []).append(ca)
     out: dict[tuple[int, int], tuple[int, int, int, float]] = {}
-    for shift, own in by_shift.items():
+    # places of either text in a passage found; repeats within a text give no second one
+    held_a, held_b = np.zeros(len(a), bool), np.zeros(len(b), bool)
+    for shift, own in sorted(by_shift.items(), key=lambda item: -len(item[1])):
+        own = [ca for ca in own if not (held_a[ca] and held_b[ca - shift])]
         stretches: list[tuple[int, int, float]] = []
         for first, last in _spans(own, width):
             if similar_stretches(
@@ -501,6 +721,7 @@ def verified(
                 break
         for x, y, s in stretches:
             out[x, shift] = (x, y + SHINGLE, x - shift, s)
+            held_a[x : y + 1] = held_b[x - shift : y - shift + 1] = True
         # words put in or left out move one part of a passage
         rest = [ca for ca in own if not any(x <= ca <= y for x, y, _ in stretches)]
         for first, last in _spans(rest, width):
@@ -510,6 +731,7 @@ def verified(
                 out[x, x - y] = max(
                     out.get((x, x - y), (x, 0, y, 0.0)), (x, x + width + SHINGLE - 1, y, s)
                 )
+                held_a[x : x + width] = held_b[y : y + width] = True
     return sorted(out.values())
 
 
@@ -518,7 +740,7 @@ PASSAGE_SCHEMA = (
 )
 
 
-def _verify(pairs: DataFrame, words: int, similarity: float, agree: int) -> DataFrame:
+def _verify(pairs: DataFrame, words: int, similarity: float) -> DataFrame:
     width = words - SHINGLE + 1
 
     def run(batches):
@@ -535,17 +757,19 @@ def _verify(pairs: DataFrame, words: int, similarity: float, agree: int) -> Data
                     if size >= KNOWN_TOKENS:
                         known.clear()
                         size = 0
-                    known[th] = tokens_of(unpacked_words(batch[f"packed_{name}"][i].as_py()))
+                    known[th] = tokens_of(
+                        word_hashes(unpacked_text(batch[f"packed_{name}"][i].as_py()))
+                    )
                     size += len(known[th])
                 return th, known[th]
 
-            for i, links in enumerate(batch["links"]):
+            ends = batch["links"].offsets.to_numpy()
+            values = batch["links"].values
+            places = list(zip(values.field("ca").to_pylist(), values.field("cb").to_pylist()))
+            for i in range(batch.num_rows):
                 (a, own), (b, other) = tokens("a", i), tokens("b", i)
-                values = links.values
-                fields = {
-                    f.name: values.field(f.name).to_numpy().astype(np.int64) for f in values.type
-                }
-                for x, y, z, s in verified(own, other, fields, width, similarity, agree):
+                links = places[ends[i] : ends[i + 1]]
+                for x, y, z, s in verified(own, other, links, width, similarity):
                     rows.append((a, b, x, y, z, z + y - x, s))
             columns = zip(*rows) if rows else [[] for _ in range(7)]
             kinds = [pa.int64()] * 6 + [pa.float64()]
@@ -557,12 +781,37 @@ def _verify(pairs: DataFrame, words: int, similarity: float, agree: int) -> Data
     return pairs.select("a", "b", "links", "packed_a", "packed_b").mapInArrow(run, PASSAGE_SCHEMA)
 
 
+def one_a_shift(links: DataFrame) -> DataFrame:
+    """The first link (a, b, ca, cb) for each shift of two different texts."""
+    shift = (F.col("ca") - F.col("cb")).alias("shift")
+    found = links.filter("a < b").groupBy("a", "b", shift).agg(F.min("ca").alias("ca"))
+    return found.select("a", "b", "ca", (F.col("ca") - F.col("shift")).alias("cb"))
+
+
+def verified_links(links: DataFrame, bodies: DataFrame, words: int, similarity: float) -> DataFrame:
+    """The passages (`PASSAGE_SCHEMA`) of linked texts; `bodies` has th and packed."""
+    pairs = links.groupBy("a", "b").agg(F.collect_set(F.struct("ca", "cb")).alias("links"))
+    pairs = materialise(pairs)
+    body_a = bodies.select(F.col("th").alias("a"), F.col("packed").alias("packed_a"))
+    body_b = bodies.select(F.col("th").alias("b"), F.col("packed").alias("packed_b"))
+    return _verify(pairs.join(body_a, "a").join(body_b, "b"), words, similarity)
+
+
+def joined(passages: DataFrame) -> DataFrame:
+    """(th, least): the least text up to three links away, so texts with the same are connected."""
+    ends = passages.select("a", "b").union(passages.select("b", "a")).distinct()
+    least = ends.groupBy(F.col("a").alias("th")).agg(F.min("b").alias("b"))
+    least = least.select("th", F.least("th", "b").alias("least"))
+    for _ in range(2):
+        far = ends.join(least.withColumnRenamed("th", "b"), "b")
+        least = far.groupBy(F.col("a").alias("th")).agg(F.min("least").alias("least"))
+    return least
+
+
 def recurring_passages(
     docs: DataFrame,
     words: int = PASSAGE_WORDS,
     similarity: float = SIMILARITY,
-    hashes: int = HASHES,
-    agree: int = AGREE,
     doc_id: str = "doc_id",
     text: str = "text",
 ) -> DataFrame:
@@ -581,29 +830,25 @@ def recurring_passages(
     owners = stored_texts(given, words)
     bodies = owners.groupBy("th").agg(F.min("packed").alias("packed"))
     texts = owners.groupBy("th").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
-    grouped = materialise(group_links(windows(given, words, hashes)))
-    near = grouped.filter("a < b").select("fn", "a", "b", "ca", "cb")
-    crowded = grouped.filter("large and fn = 0").groupBy(F.col("b").alias("th"))
-    crowded = materialise(crowded.agg(F.collect_set("cb").alias("places")))
-    same = group_links(stretches(bodies.join(crowded, "th"), words), paired=0)
-    # one link for each shift of two texts
-    same = same.filter("a < b").groupBy("a", "b", (F.col("ca") - F.col("cb")).alias("shift"))
-    same = same.agg(F.min("ca").alias("ca")).select("a", "b", "ca", (F.col("ca") - F.col("shift")).alias("cb"))
-    both = F.explode(F.array(*[F.lit(f) for f in EXACT])).alias("fn")
-    same = same.select(both, "a", "b", "ca", "cb")
-    # in a small group under the first function, the texts themselves tell
-    small = grouped.filter("not large and fn = 0").withColumn("fn", F.lit(EXACT[0]))
-    pairs = (
-        near.unionByName(same)
-        .unionByName(small.select("fn", "a", "b", "ca", "cb"))
-        .groupBy("a", "b")
-        .agg(F.collect_set(F.struct("fn", "ca", "cb")).alias("links"))
-        .filter(F.size(F.array_distinct(F.transform("links", lambda x: x["fn"]))) >= agree)
+    shape = shape_of(words, similarity)
+    grouped = materialise(group_links(windows(given, shape)))
+    crowded = grouped.filter("large").groupBy(F.col("b").alias("th")).agg(
+        F.collect_set(F.when(F.col("fn") == UPTO, F.col("cb"))).alias("upto"),
+        F.collect_set(F.when(F.col("fn") == ONWARD, F.col("cb"))).alias("onward"),
+        F.collect_set("cb").alias("places"),
     )
-    pairs = materialise(pairs)
-    body_a = bodies.select(F.col("th").alias("a"), F.col("packed").alias("packed_a"))
-    body_b = bodies.select(F.col("th").alias("b"), F.col("packed").alias("packed_b"))
-    passages = _verify(pairs.join(body_a, "a").join(body_b, "b"), words, similarity, agree)
+    crowded = materialise(crowded)
+    same = one_a_shift(group_links(stretches(bodies.join(crowded, "th"), shape), paired=0))
+    pairs = grouped.filter("not large").select("a", "b", "ca", "cb").unionByName(same)
+    passages = verified_links(pairs, bodies, words, similarity)
+    if shape.gaps:
+        passages = materialise(passages)
+        linked = crowded.join(joined(passages), "th", "left")
+        linked = linked.withColumn("least", F.coalesce("least", "th"))
+        apart = bodies.join(forks(tokens_around(bodies.join(linked, "th"), shape), shape), "th")
+        apart = one_a_shift(group_links(gapped(apart, shape), paired=0))
+        apart = apart.join(passages.select("a", "b"), ["a", "b"], "left_anti")
+        passages = passages.unionByName(verified_links(apart, bodies, words, similarity))
     one, two = (
         texts.select(F.col("th").alias(n), F.col("least").alias(f"{n}1"), F.col("most").alias(f"{n}2"))
         for n in ("a", "b")

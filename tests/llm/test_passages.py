@@ -171,6 +171,28 @@ def test_exact_repeats_within_boilerplate_are_all_found(spark, rows):
     assert {(r["other_id"], r["doc_id"]) for r in found} == {(1000 + k, 1100 + k) for k in range(100)}
 
 
+def test_near_repeats_within_boilerplate_are_all_found(spark, rows):
+    # each text of a pair has a word of its own in the middle of what all hold, or none
+    for changed in ((1, 1), (0, 1)):
+        data = boilerplate()
+        for k in range(100):
+            for i, put in zip((1000 + k, 1100 + k), changed):
+                cut = data[i][70:71] if changed == (0, 1) else []
+                data[i][70:71] = [f"own{i}"] * put + cut
+        found = linked(spark, rows, data)
+        assert {(r["other_id"], r["doc_id"]) for r in found} == {(1000 + k, 1100 + k) for k in range(100)}
+
+
+def test_hashes_of_words_do_not_depend_on_their_place(monkeypatch):
+    texts = [" ".join(words(k, n)).encode() for k, n in ((1, 1), (2, 7), (3, 400))]
+    texts.append(b"x" * 90 + b" a " + b"y" * 50 + b" " + b"x" * 90)
+    monkeypatch.setattr(passages, "PIECE_BYTES", 60)
+    for text in texts:
+        alone = [passages.word_hashes(w)[0] for w in text.split()]
+        assert passages.word_hashes(text).tolist() == alone
+        assert len(set(alone)) == len(set(text.split()))
+
+
 def test_a_document_takes_part_with_all_its_texts(spark, rows):
     one, two = words(1, 60), words(2, 60)
     data = [
