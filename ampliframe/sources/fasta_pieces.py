@@ -18,7 +18,9 @@ from pyspark.sql.datasource import DataSource, DataSourceReader
 
 from ampliframe.contracts import integer_argument
 from ampliframe.functions.scale import SLICE_ROWS, join_lookup
-from ampliframe.sources.ranges import ByteRange, byte_ranges, files_below, open_filesystem
+from ampliframe.sources.ranges import (
+    ByteRange, RangeGroup, byte_ranges, files_below, open_filesystem, range_groups, wanted_tasks,
+)
 
 SPLIT_BYTES = 32 << 20
 _FIELDS = {
@@ -149,16 +151,19 @@ class _PieceReader(DataSourceReader):
     def __init__(self, options):
         self._paths = [p for p in options.get("path", "").split("\n") if p]
         self._split = int(options.get("splitBytes", SPLIT_BYTES))
+        self._tasks = int(options.get("tasks", 0))
         self._columns = [c for c in _FIELDS if c != "text" or options.get("text") == "true"]
 
     def partitions(self):
         files = files_below(self._paths, ("",))
         kept = (f for f in files if not f[0].rsplit("/", 1)[-1].startswith((".", "_")))
-        return byte_ranges(kept, self._split) or [ByteRange("", 0, 0, 0)]
+        return range_groups(byte_ranges(kept, self._split), self._tasks)
 
-    def read(self, partition: ByteRange):
-        if not partition.path:
-            return
+    def read(self, partition: RangeGroup):
+        for own in partition.ranges:
+            yield self._read_range(own)
+
+    def _read_range(self, partition: ByteRange) -> pa.RecordBatch:
         if partition.path.endswith(".gz"):
             raise ValueError(f"{partition.path}: byte ranges of a compressed file are not records")
         filesystem, inner = open_filesystem(partition.path)
@@ -171,7 +176,7 @@ class _PieceReader(DataSourceReader):
             found = Pieces(
                 partition.path, partition.start, partition.end, read, "text" in self._columns
             ).columns
-        yield pa.RecordBatch.from_arrays(
+        return pa.RecordBatch.from_arrays(
             [found[c] for c in self._columns], schema=pa.schema([(c, _FIELDS[c]) for c in self._columns])
         )
 
@@ -199,6 +204,7 @@ def _pieces(spark: SparkSession, paths, split_bytes: int, text: bool) -> DataFra
 
     def load(with_text: bool) -> DataFrame:
         reader = spark.read.format("fasta_pieces").option("splitBytes", split_bytes)
+        reader = reader.option("tasks", wanted_tasks(spark))
         return reader.option("text", str(with_text).lower()).load(joined)
 
     return numbered(load(text), load(False))

@@ -32,8 +32,9 @@ from ampliframe.functions.arrow_text import flat_bytes
 from ampliframe.functions.labels import FASTQ_SUFFIXES
 from ampliframe.functions.scale import SLICE_ROWS, join_lookup, running_totals
 from ampliframe.sources.ranges import (
-    BLOCK_DATA, LAST_BLOCK, READ_BYTES, ByteRange, Piece, blocks, byte_ranges,
+    BLOCK_DATA, LAST_BLOCK, READ_BYTES, ByteRange, Piece, RangeGroup, blocks, byte_ranges,
     files_below, first_block, is_blocked, open_filesystem, packed_block, pieces_of, plain_name,
+    range_groups, wanted_tasks,
 )
 
 #: Fixed value: qualities are stored as characters starting at this code.
@@ -232,16 +233,18 @@ class _FastqReader(DataSourceReader):
     def __init__(self, options):
         self._paths = [p for p in options.get("path", "").split("\n") if p]
         self._split = int(options.get("splitBytes", 64 << 20))
+        self._tasks = int(options.get("tasks", 0))
         self._columns = [c for c in options.get("columns", ",".join(COLUMNS)).split(",") if c]
         self._filters: list[Filter] = []
 
     def partitions(self):
-        ranges = byte_ranges(files_below(self._paths, FASTQ_SUFFIXES), self._split)
-        return ranges or [ByteRange("", 0, 0, 0)]
+        return range_groups(byte_ranges(files_below(self._paths, FASTQ_SUFFIXES), self._split), self._tasks)
 
-    def read(self, partition: ByteRange):
-        if not partition.path:
-            return
+    def read(self, partition: RangeGroup):
+        for own in partition.ranges:
+            yield from self._read_range(own)
+
+    def _read_range(self, partition: ByteRange) -> Iterator[pa.RecordBatch]:
         filesystem, inner = open_filesystem(partition.path)
         with filesystem.open_input_file(inner) as raw:
             found = pieces_of(raw, partition)
@@ -320,7 +323,7 @@ class FastqDataSource(DataSource):
 class _BlockReader(_FastqReader):
     """The blocks of blocked gzip files, from their headers and sizes alone."""
 
-    def read(self, partition: ByteRange):
+    def _read_range(self, partition: ByteRange) -> Iterator[pa.RecordBatch]:
         if not partition.path.endswith(".gz"):
             return
         filesystem, inner = open_filesystem(partition.path)
@@ -366,6 +369,7 @@ def _loaded(spark: SparkSession, source: type[DataSource], paths, split_bytes: i
     spark.dataSource.register(source)
     joined = paths if isinstance(paths, str) else "\n".join(paths)
     reader = spark.read.format(source.name()).option("splitBytes", split_bytes)
+    reader = reader.option("tasks", wanted_tasks(spark))
     return reader.options(**options).load(joined)
 
 

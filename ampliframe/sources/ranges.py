@@ -10,9 +10,13 @@ import re
 import zlib
 from collections.abc import Iterator, Sequence
 
+from pyspark.sql import SparkSession
 from pyspark.sql.datasource import InputPartition
 
 READ_BYTES = 4 << 20
+#: bytes that one task reads in ranges shorter than that, and those that opening a range counts as
+TASK_BYTES = 32 << 20
+OPEN_BYTES = 1 << 16
 #: Fixed values of the format: first bytes of a block, and the most data and bytes one can have.
 BLOCK_MAGIC = b"\x1f\x8b\x08\x04"
 BLOCK_DATA = 65_280
@@ -78,6 +82,38 @@ def byte_ranges(files: Iterator[tuple[str, int]], split: int) -> list[ByteRange]
     ]
 
 
+class RangeGroup(InputPartition):
+    """Byte ranges that one task reads one after the other."""
+
+    def __init__(self, ranges: Sequence[ByteRange]):
+        self.ranges = ranges
+
+
+def range_groups(ranges: Sequence[ByteRange], tasks: int | None) -> list[RangeGroup]:
+    """Neighbouring ranges put together, so that short ones do not cost a task each.
+
+    There are `tasks` groups at least, as far as there are ranges, and more where one would have
+    over TASK_BYTES; without `tasks` every range stands alone. Ranges stay as they are, so rows and
+    what a task holds at once do too.
+    """
+    total = sum(r.end - r.start + OPEN_BYTES for r in ranges)
+    share = total / max(tasks, total / TASK_BYTES) if tasks and total else 0
+    groups, held = [], 0
+    for r in ranges:
+        size = r.end - r.start + OPEN_BYTES
+        if not groups or held + size > share:
+            groups.append([])
+            held = 0
+        groups[-1].append(r)
+        held += size
+    return [RangeGroup(g) for g in groups] or [RangeGroup([])]
+
+
+def wanted_tasks(spark: SparkSession) -> int:
+    """Four tasks a core, so that a slow one does not hold up the rest."""
+    return 4 * spark.sparkContext.defaultParallelism
+
+
 def plain_pieces(raw, start: int) -> Iterator[Piece]:
     raw.seek(start)
     while block := raw.read(READ_BYTES):

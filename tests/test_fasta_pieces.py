@@ -5,7 +5,7 @@ import random
 import pytest
 
 from ampliframe.operators import seq_stats as st
-from ampliframe.sources import fasta_pieces
+from ampliframe.sources import fasta_pieces, ranges
 from test_sources import folded, put, random_records
 
 
@@ -134,3 +134,28 @@ def test_many_short_records(spark, work):
     text = "".join(f">{n}\n{folded(s, 60)}\n" for n, s in records)
     path = put(f"{work}/s.fasta", text)
     assert index(spark, path, 500) == plain_index(text.encode())
+
+
+def test_short_ranges_share_tasks(spark, work):
+    records = random_records(random.Random(4), 300, 120)
+    text = "".join(f">{n}\n{folded(s, 60)}\n" for n, s in records)
+    path = put(f"{work}/s.fasta", text)
+    loaded = fasta_pieces._pieces(spark, path, 64, True)
+    assert len(text) // 64 > 200 and loaded.rdd.getNumPartitions() <= 2 * ranges.wanted_tasks(spark)
+    assert index(spark, path, 64) == plain_index(text.encode())
+    chunks = fasta_pieces.scan_fasta_chunks(spark, path, 64)
+    whole = chunks.sort("record_no", "start").collect()
+    assert "".join(c["bases"] for c in whole) == "".join(s for _, s in records)
+    assert {len(c["bases"]) <= 64 for c in whole} == {True}
+
+
+def test_groups_hold_every_range_once():
+    own = [ranges.ByteRange(f, at, at + 7, 70) for f in "abc" for at in range(0, 70, 7)]
+    for tasks in (0, 1, 4, 29, 30, 1000):
+        groups = ranges.range_groups(own, tasks)
+        assert [r for g in groups for r in g.ranges] == own
+        assert len(groups) >= min(tasks, len(own)) and (tasks or len(groups) == len(own))
+    large = [ranges.ByteRange("a", at << 20, (at + 8) << 20, 1 << 30) for at in range(0, 1024, 8)]
+    groups = ranges.range_groups(large, 2)
+    assert max(sum(r.end - r.start for r in g.ranges) for g in groups) <= ranges.TASK_BYTES
+    assert [g.ranges for g in ranges.range_groups([], 8)] == [[]]

@@ -241,3 +241,15 @@ def test_paths_keep_scheme_and_host(monkeypatch):
     )
     for uri in ("hdfs://host:8020/runs/x", "abfss://c@account.dfs.core.windows.net/x", "s3a://bucket/x/"):
         assert list(ranges.files_below([uri], (".fastq",))) == [(f"{uri.rstrip('/')}/d/a.fastq", 7)]
+
+
+def test_short_ranges_share_tasks(spark, work):
+    path = put(f"{work}/a.fastq", fastq_text(reads(random.Random(9), 200)))
+    want = serial(path)
+    found = fastq.scan_fastq(spark, path, 64)
+    assert os.path.getsize(path) // 64 > 150
+    assert found.rdd.getNumPartitions() <= 2 * ranges.wanted_tasks(spark)
+    ordered = found.sort("range_start", "row_in_range").select("name", "seq", "qual")
+    assert [tuple(r) for r in ordered.collect()] == want
+    numbered = fastq.read_fastq(spark, path, 64).sort("record_no")
+    assert [(r["record_no"], r["name"]) for r in numbered.collect()] == [(i + 1, w[0]) for i, w in enumerate(want)]
