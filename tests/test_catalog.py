@@ -76,3 +76,40 @@ def test_stored_reads_where_spark_pushes_no_filters(spark, engine, name):
         test_query(spark, engine, name)
     finally:
         spark.conf.set(conf, before)
+
+
+@pytest.fixture(scope="module")
+def odd_documents(tmp_path_factory):
+    """The smallest tables with more documents, and an engine over them."""
+    folder = tmp_path_factory.mktemp("odd")
+    rows = [("E" * n, "web") for n in range(600, 900)]  # all of one quality, the least one asked for
+    rows += [("hello world " * 60, s) for s in ODD_SOURCES] + [("", s) for s in ODD_SOURCES] + [(None, None)]
+    con = duckdb.connect()
+    con.execute("create table odd (i bigint, text varchar, source varchar)")
+    con.executemany("insert into odd values (?, ?, ?)", [(i, *r) for i, r in enumerate(rows)])
+    for t in TABLES:
+        if t != "documents":
+            os.symlink(f"{SF_DIR}/{t}.parquet", folder / f"{t}.parquet")
+    more = "select 10000000 + i as doc_id, text, 'en' as lang, source, length(text) as n_chars from odd"
+    given = f"select * from '{SF_DIR}/documents.parquet'"
+    con.execute(f"copy ({given} union all by name {more}) to '{folder}/documents.parquet'")
+    for t in TABLES:
+        con.execute(f"create view {t} as select * from '{folder}/{t}.parquet'")
+    return str(folder), con
+
+
+ODD_SOURCES = ["none"]
+
+
+@pytest.mark.parametrize("pushed", ["true", "false"])
+@pytest.mark.parametrize("name", ["selected_reads"])
+def test_stored_reads_of_odd_documents(spark, odd_documents, monkeypatch, name, pushed):
+    folder, engine = odd_documents
+    monkeypatch.setitem(globals(), "SF_DIR", folder)
+    conf = "spark.sql.python.filterPushdown.enabled"
+    before = spark.conf.get(conf)
+    spark.conf.set(conf, pushed)
+    try:
+        test_query(spark, engine, name)
+    finally:
+        spark.conf.set(conf, before)
