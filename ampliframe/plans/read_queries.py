@@ -29,7 +29,10 @@ def _folder(spark, name: str) -> str:
 
 
 def _source(file: str = "file"):
-    return F.regexp_extract(file, "source=([^/]*)/", 1).alias("source")
+    """The source that a folder is named by; '+' stands for itself there."""
+    named = F.regexp_extract(file, "source=([^/]*)", 1)
+    value = F.url_decode(F.replace(named, F.lit("+"), F.lit("%2B")))
+    return F.when(named == fastq.NO_VALUE, "").otherwise(value).alias("source")
 
 
 def _stored_reads(spark, sf_dir) -> str:
@@ -100,8 +103,7 @@ def _stored_by(spark, sf_dir, name: str, by: str) -> str:
 def stored_listing(spark, sf_dir) -> DataFrame:
     """Bytes of the files written for a source, and the folders they are in."""
     listed = files.list_entries(spark, _stored_by(spark, sf_dir, "fx_fastq", "source"))
-    source = F.regexp_extract("path", "source=([^/]*)", 1).alias("source")
-    return listed.groupBy(source).agg(
+    return listed.groupBy(_source("path")).agg(
         F.sum("size").alias("bytes"), F.count_if("is_dir").alias("folders")
     )
 
@@ -110,7 +112,7 @@ def stored_md5_list(spark, sf_dir) -> DataFrame:
     """Checksums of files with one read each."""
     folder = _stored_by(spark, sf_dir, "fx_supplier_reads", "name")
     sums = files.md5_list(files.list_entries(spark, folder).filter("not is_dir"), folder)
-    return sums.select("md5", F.regexp_extract("path", "source=([^/]*)/", 1).alias("name"))
+    return sums.select("md5", _source("path").alias("name"))
 
 
 def stored_sample_sheet(spark, sf_dir) -> DataFrame:

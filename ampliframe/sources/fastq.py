@@ -50,6 +50,8 @@ KINDS = {
     "length": pa.int64(),
     "mean_quality": pa.float64(),
 }
+#: Fixed value: the folder of rows whose value is missing or empty.
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
 #: columns of a scan that asks for none in particular
 COLUMNS = ("file", "range_start", "row_in_range", "record_offset", "name", "seq", "qual")
 _SQL = {pa.string(): "string", pa.int64(): "bigint", pa.float64(): "double"}
@@ -467,6 +469,12 @@ def fastq_record(name: str = "name", seq: str = "seq", qual: str = "qual"):
     )
 
 
+def folder_value(value: str | None) -> str:
+    """A value as part of a folder's name; the name of no value, as a value, has its first mark escaped."""
+    name = quote(value, safe=" -_.,;@!+$&()~") if value else NO_VALUE
+    return f"%5F{name[1:]}" if value == NO_VALUE else name
+
+
 class _Files(WriterCommitMessage):
     def __init__(self, moves: list[tuple[str, str]]):
         self.moves = moves
@@ -489,10 +497,7 @@ class _FastqWriter(DataSourceArrowWriter):
         return f"{self.path}/_writing-{self.job}"
 
     def _folder(self, values: Sequence[str | None]) -> str:
-        return "/".join(
-            f"{c}={quote(v, safe=' -_.,;@!+$&()~') if v else '__HIVE_DEFAULT_PARTITION__'}"
-            for c, v in zip(self.by, values)
-        )
+        return "/".join(f"{c}={folder_value(v)}" for c, v in zip(self.by, values))
 
     def write(self, iterator):
         filesystem, root = open_filesystem(self.path)

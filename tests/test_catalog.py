@@ -98,11 +98,17 @@ def odd_documents(tmp_path_factory):
     return str(folder), con
 
 
-ODD_SOURCES = ["none"]
+ODD_SOURCES = [
+    "none", "", " ", "a/b", "a%2Fb", "a+b", "a b", "a=b/c", "é", "a\\b", "a#b?c", "a\nb", "a:b", "*", "%zz", "..",
+    "__HIVE_DEFAULT_PARTITION__", "_x", ".x",
+]
 
 
 @pytest.mark.parametrize("pushed", ["true", "false"])
-@pytest.mark.parametrize("name", ["selected_reads"])
+@pytest.mark.parametrize(
+    "name",
+    ["selected_reads", "stored_reads", "stored_read_numbers", "gzip_block_totals", "stored_gzip_audit", "stored_listing"],
+)
 def test_stored_reads_of_odd_documents(spark, odd_documents, monkeypatch, name, pushed):
     folder, engine = odd_documents
     monkeypatch.setitem(globals(), "SF_DIR", folder)
