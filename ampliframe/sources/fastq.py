@@ -32,7 +32,7 @@ from ampliframe.functions.arrow_text import flat_bytes
 from ampliframe.functions.labels import FASTQ_SUFFIXES
 from ampliframe.functions.scale import SLICE_ROWS, join_lookup, running_totals
 from ampliframe.sources.ranges import (
-    BLOCK_DATA, LAST_BLOCK, READ_BYTES, ByteRange, Piece, RangeGroup, blocks, byte_ranges,
+    BLOCK_DATA, BLOCK_LIMIT, LAST_BLOCK, READ_BYTES, ByteRange, Piece, RangeGroup, blocks, byte_ranges,
     files_below, first_block, is_blocked, open_filesystem, packed_block, pieces_of, plain_name,
     range_groups, wanted_tasks,
 )
@@ -156,7 +156,7 @@ def records(
     """The records that a range owns, from its data and the coordinate of its end."""
     # a buffer begins with the newline before its first line
     held, marks, ended = (b"\n", [(0, -1)], False) if at_start else (b"", [], False)
-    synced = at_start
+    synced, beyond = at_start, 0
     while not ended:
         parts, size, more = [held], len(held), 0
         while more < READ_BYTES:
@@ -174,6 +174,10 @@ def records(
             parts.append(text)
             size += len(text)
             more += len(text)
+            if end is not None and coordinate >= end and more >= beyond:
+                # what goes on behind the range is read in growing rounds
+                beyond = max(2 * beyond, BLOCK_LIMIT)
+                break
         if ended and size and not parts[-1].endswith(b"\n"):
             parts.append(b"\n")
         # one more byte, so that a line may start where the data ends
@@ -334,7 +338,7 @@ class _BlockReader(_FastqReader):
             if at is None:
                 return
             rows = []
-            for offset, member in blocks(raw, at):
+            for offset, member in blocks(raw, at, partition.end):
                 if offset >= partition.end:
                     break
                 rows.append((offset, len(member), int.from_bytes(member[-4:], "little")))

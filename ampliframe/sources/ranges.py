@@ -114,13 +114,20 @@ def wanted_tasks(spark: SparkSession) -> int:
     return 4 * spark.sparkContext.defaultParallelism
 
 
-def plain_pieces(raw, start: int) -> Iterator[Piece]:
+def plain_pieces(raw, start: int, end: int) -> Iterator[Piece]:
     raw.seek(start)
-    while block := raw.read(READ_BYTES):
+    while block := raw.read(_read_size(start, end)):
         yield block, start
         start += len(block)
 
 
+def _read_size(at: int, end: int | None) -> int:
+    """Bytes to read at a place of a range; behind its end few are wanted."""
+    if end is None:
+        return READ_BYTES
+    return min(READ_BYTES, end - at) if at < end else BLOCK_LIMIT
+
+
 def gzip_pieces(raw) -> Iterator[Piece]:
     """Data of a gzip file that may consist of several members; coordinates count data bytes."""
     inflater, position, pending = zlib.decompressobj(wbits=31), 0, b""
@@ -183,12 +190,12 @@ def first_block(raw, start: int, size: int) -> int | None:
     return None
 
 
-def blocks(raw, at: int) -> Iterator[tuple[int, bytes]]:
-    """(offset, bytes) of every block from the one at `at` on."""
+def blocks(raw, at: int, end: int | None = None) -> Iterator[tuple[int, bytes]]:
+    """(offset, bytes) of every block from the one at `at` on; little is read ahead behind `end`."""
     raw.seek(at)
     held = b""
     while True:
-        more = raw.read(READ_BYTES)
+        more = raw.read(_read_size(at + len(held), end))
         held += more
         done = 0
         while length := block_bytes(held, done):
@@ -203,9 +210,9 @@ def blocks(raw, at: int) -> Iterator[tuple[int, bytes]]:
             return
 
 
-def blocked_pieces(raw, at: int) -> Iterator[Piece]:
+def blocked_pieces(raw, at: int, end: int) -> Iterator[Piece]:
     """Data of the blocks from `at` on; a coordinate is 2^16 times the block's offset plus the place in it."""
-    for offset, member in blocks(raw, at):
+    for offset, member in blocks(raw, at, end):
         data = zlib.decompress(member, wbits=31)
         if data:
             yield data, offset << 16
@@ -218,13 +225,13 @@ def pieces_of(raw, own: ByteRange) -> tuple[Iterator[Piece], bool, int | None] |
     own (None) where a file can only be read from its start or no block begins.
     """
     if not own.path.endswith(".gz"):
-        return plain_pieces(raw, own.start), own.start == 0, own.end
+        return plain_pieces(raw, own.start, own.end), own.start == 0, own.end
     if not is_blocked(raw):
         return (gzip_pieces(raw), True, None) if own.start == 0 else None
     at = first_block(raw, own.start, own.size)
     if at is None or at >= own.end:
         return None
-    return blocked_pieces(raw, at), at == 0, own.end << 16
+    return blocked_pieces(raw, at, own.end), at == 0, own.end << 16
 
 
 def packed_block(data: bytes, level: int) -> bytes:

@@ -2,6 +2,7 @@
 
 import glob
 import gzip
+import io
 import os
 import random
 import zlib
@@ -253,3 +254,40 @@ def test_short_ranges_share_tasks(spark, work):
     assert [tuple(r) for r in ordered.collect()] == want
     numbered = fastq.read_fastq(spark, path, 64).sort("record_no")
     assert [(r["record_no"], r["name"]) for r in numbered.collect()] == [(i + 1, w[0]) for i, w in enumerate(want)]
+
+
+class Counted(io.BytesIO):
+    """A file that counts the bytes it gives."""
+
+    given = 0
+
+    def read(self, size=-1):
+        data = super().read(size)
+        self.given += len(data)
+        return data
+
+
+@pytest.mark.parametrize("packed", [False, True])
+def test_a_short_range_reads_little_more_than_itself(packed):
+    rng = random.Random(11)
+    data = fastq_text(reads(rng, 40_000)).encode()
+    if packed:
+        data = blocked(data, iter(lambda: rng.randrange(1, ranges.BLOCK_DATA), None))
+    path, size, split = "a.fastq.gz" if packed else "a.fastq", len(data), 1 << 16
+    n = 0
+    for own in ranges.byte_ranges(iter([(path, size)]), split):
+        raw = Counted(data)
+        found = ranges.pieces_of(raw, own)
+        n += sum(len(x.heads) for x in fastq.records(found[0], path, *found[1:])) if found else 0
+        # the blocked file is looked at once for its kind and once for the range's first block
+        assert raw.given <= split + 6 * ranges.BLOCK_LIMIT
+    assert n == 40_000 and size > 20 * split
+
+
+def test_a_record_far_longer_than_its_range(work):
+    records = [("a", "ACGT" * 5, "I" * 20), ("b", "ACGTT" * 600_000, "@+I" * 1_000_000), ("c", "AC", "@@"), ("d", "", "")]
+    text = fastq_text(records)
+    for name, data in (("p.fastq", text.encode()), ("p.fastq.gz", blocked(text.encode(), iter(lambda: 60_000, None)))):
+        path = put(f"{work}/{name}", data, "wb")
+        for split in (1 << 16, 1 << 18):
+            assert [r for part in rows_of(path, split) for r in part] == records
