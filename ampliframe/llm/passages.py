@@ -58,10 +58,14 @@ SIMILARITY = 0.8
 PAIRED = 32
 #: tokens of texts that are kept for their next comparison
 KNOWN_TOKENS = 1 << 21
+#: tokens of two texts that are numbered whole for their comparison
+NUMBERED_TOKENS = 1 << 13
 #: rows of one group that are held until it counts as large
 HELD_ROWS = 1 << 16
 #: tokens handled at once by numpy; a longer text is still handled whole
 BLOCK_TOKENS = 1 << 21
+#: tokens around repeated places that are hashed at once
+SURROUNDING_TOKENS = 1 << 18
 #: more than the kinds of keys; a key tells its kind by its last bits
 HASH_ROOM = 64
 #: keys of the tokens up to a place and from it on
@@ -129,6 +133,18 @@ def tokens_of(own: np.ndarray) -> np.ndarray:
     return key
 
 
+def hashed_texts(texts: list[bytes]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """The hashes of words and the tokens of each text with a word, all made at once."""
+    words = word_hashes(b" ".join(texts))
+    tokens, out, at = tokens_of(words), [], 0
+    for text in texts:
+        end = at + count_words(text)
+        # tokens across the end of a text are left out
+        out.append((words[at:end], tokens[at : max(end - SHINGLE + 1, at)]))
+        at = end
+    return out
+
+
 def _hashed(tokens: np.ndarray, function: int) -> np.ndarray:
     h = (tokens ^ np.uint64(function + 1)) * np.uint64(MULTIPLIERS[1])
     h ^= h >> np.uint64(29)
@@ -218,13 +234,23 @@ def not_repeated(
     many = np.zeros(len(key), bool)
     many[order[1:]] |= same
     many[order[:-1]] |= same
-    keep, seen = np.ones(len(key), bool), set()
-    for i in np.flatnonzero(many).tolist():
-        t, at = text[i], c[i]
-        first, last = max(begins[t], at - width + 1), min(ends[t], at + width)
-        around = (t, key[i], at - first, xxhash.xxh64_intdigest(tokens[first:last].tobytes()))
-        keep[i] = around not in seen
-        seen.add(around)
+    places = np.flatnonzero(many)
+    around = np.empty(len(places), np.uint64)
+    steps = np.arange(1 - width, width)
+    factors = _powers(MULTIPLIERS[3] | 1, len(steps) + 4)
+    at_once = max(SURROUNDING_TOKENS // len(steps), 1)
+    for i in range(0, len(places), at_once):
+        own = places[i : i + at_once]
+        at, first, end = c[own], begins[text[own]], ends[text[own]]
+        spots = at[:, None] + steps
+        inside = (spots >= first[:, None]) & (spots < end[:, None])
+        values = np.where(inside, tokens[np.clip(spots, 0, len(tokens) - 1)], np.uint64(0))
+        # the tokens, how many there are on either side, the hash and the text
+        parts = [np.minimum(at - first, width - 1), np.minimum(end - at, width), key[own], text[own]]
+        values = np.column_stack([values, *(_hashed(p.astype(np.uint64), 1) for p in parts)])
+        around[i : i + at_once] = (values * factors[: values.shape[1]]).sum(axis=1)
+    keep = ~many
+    keep[places[np.unique(_hashed(around, 0), return_index=True)[1]]] = True
     return keep
 
 
@@ -286,20 +312,39 @@ def _block(held) -> Block:
     )
 
 
+def _pieces(rows, size_of):
+    """Lists of rows that hold about `PIECE_BYTES` by `size_of`; a larger row stands alone."""
+    held, size = [], 0
+    for row in rows:
+        own = size_of(row)
+        if held and size + own > PIECE_BYTES:
+            yield held
+            held, size = [], 0
+        held.append(row)
+        size += own
+    if held:
+        yield held
+
+
 def _blocks(batches, words: int, columns: tuple[str, ...] = ()):
     """Texts of a batch that are long enough, some at once."""
+
+    def hashed(rows):
+        texts = hashed_texts([text for text, _ in rows])
+        for (text, others), (own, tokens) in zip(rows, texts):
+            yield others, xxhash.xxh64_intdigest(text), tokens, own
+
     for batch in batches:
         held, size = [], 0
         if "text" in batch.schema.names:
             texts = map(plain_words, utf8(batch["text"]))
         else:
             texts = map(unpacked_text, batch["packed"].to_pylist())
-        for text, *others in zip(texts, *(batch[c].to_pylist() for c in columns)):
-            if count_words(text) < words:
-                continue
-            own = word_hashes(text)
-            held.append((others, xxhash.xxh64_intdigest(text), tokens_of(own), own))
-            size += len(own)
+        rows = zip(texts, *(batch[c].to_pylist() for c in columns))
+        rows = ((text, others) for text, *others in rows if count_words(text) >= words)
+        for some in _pieces(rows, lambda row: len(row[0])):
+            held += hashed(some)
+            size += sum(len(own) for *_, own in held[-len(some) :])
             if size >= BLOCK_TOKENS:
                 yield _block(held)
                 held, size = [], 0
@@ -609,6 +654,31 @@ def stored_texts(docs: DataFrame, words: int = PASSAGE_WORDS) -> DataFrame:
     return session.table(name)
 
 
+def window_sums(marks: np.ndarray, width: int) -> np.ndarray:
+    """How many marks each window of `width` holds."""
+    sums = np.zeros(len(marks) + 1, np.int64)
+    np.cumsum(marks, out=sums[1:])
+    return sums[width:] - sums[:-width]
+
+
+def _alike(
+    a: np.ndarray, b: np.ndarray, shift: int, first: int, last: int, width: int, similarity: float
+) -> tuple[int, np.ndarray, np.ndarray, np.ndarray] | None:
+    """Windows of `width` tokens of a[first] to a[last] that equal those at a distance of -shift in
+    `b` closely enough: the first place compared, which tokens agree, how many in each window, and
+    the windows. None if there is no such window."""
+    low, high = max(first, shift, 0), min(last + 1, len(a), len(b) + shift)
+    if high - low < width:
+        return None
+    same = a[low:high] == b[low - shift : high - shift]
+    # so few in all are too few for any window
+    if np.count_nonzero(same) * (1 + similarity) < 2 * width * similarity - 1e-6:
+        return None
+    common = window_sums(same, width)
+    good = np.flatnonzero(common >= similarity * (2 * width - common) - 1e-9)
+    return (low, same, common, good) if len(good) else None
+
+
 def similar_stretches(
     a: np.ndarray, b: np.ndarray, shift: int, first: int, last: int, width: int, similarity: float
 ) -> list[tuple[int, int, float]]:
@@ -618,15 +688,10 @@ def similar_stretches(
     to tokens that agree at its ends where it is wider; the similarity given is that of the best
     window. Tokens at the same place are compared, so it is a lower bound.
     """
-    low, high = max(first, shift, 0), min(last + 1, len(a), len(b) + shift)
-    if high - low < width:
-        return []
-    same = a[low:high] == b[low - shift : high - shift]
-    sums = np.concatenate([[0], np.cumsum(same)])
-    common = sums[width:] - sums[:-width]
-    good = np.flatnonzero(common >= similarity * (2 * width - common) - 1e-9)
-    if not len(good):
+    found = _alike(a, b, shift, first, last, width, similarity)
+    if found is None:
         return []
+    low, same, common, good = found
     cuts = np.flatnonzero(np.diff(good) > width)
     out = []
     for x, y in zip(np.concatenate([[0], cuts + 1]), np.concatenate([cuts, [len(good) - 1]])):
@@ -654,37 +719,77 @@ def distinct_counts(tokens: np.ndarray, width: int) -> np.ndarray:
     return width - np.cumsum(steps)[: n - width + 1]
 
 
+def _ends(marks: np.ndarray) -> tuple[int, int]:
+    """The first and the last place marked."""
+    return int(marks.argmax()), len(marks) - 1 - int(marks[::-1].argmax())
+
+
+class Numbered:
+    """The tokens of two texts as numbers from 0, equal ones with the same number."""
+
+    def __init__(self, a: np.ndarray, b: np.ndarray, width: int):
+        held, numbers = np.unique(np.concatenate([a, b]), return_inverse=True)
+        # short numbers are sorted faster
+        numbers = numbers.astype(np.uint16 if len(held) <= 1 << 16 else np.int64)
+        self.a, self.b = numbers[: len(a)], numbers[len(a) :]
+        #: different tokens of each stretch of `width`
+        self.distinct_a, self.distinct_b = (
+            distinct_counts(t, width)
+            if np.bincount(t).max() > 1
+            else np.full(len(t) - width + 1, width)
+            for t in (self.a, self.b)
+        )
+        self._marks = np.zeros(len(held), bool)
+
+    def shared(self, own: np.ndarray, other: np.ndarray) -> np.ndarray:
+        """Which of some numbers are among the others."""
+        self._marks[other] = True
+        found = self._marks[own]
+        self._marks[other] = False
+        return found
+
+
 def similar_sets(
-    a: np.ndarray, b: np.ndarray, first: int, last: int, shift: int, width: int, similarity: float
-) -> tuple[int, int, float] | None:
+    a: np.ndarray, b: np.ndarray, first: int, last: int, shift: int, width: int, similarity: float,
+    texts: Numbered | None = None,
+) -> tuple[int, int, float] | None:
     """The most similar two stretches of `width` tokens around a[first] to a[last] and the tokens
     of `b` at a distance of -shift, compared as sets.
 
-    Their starts and their Jaccard similarity; None if no two are similar enough.
+    Their starts and their Jaccard similarity; None if no two are similar enough. `texts` are the
+    whole of both, numbered; without them what is compared is numbered here.
     """
     x, y = max(first - width + 1, 0), max(first - shift - width + 1, 0)
     own, other = a[x : last + width], b[y : last - shift + width]
     if min(len(own), len(other)) < width:
         return None
-    sets = set(own.tolist()), set(other.tolist())
-    one, two = (
-        np.full(len(t) - width + 1, width) if len(t) == len(held) else distinct_counts(t, width)
-        for t, held in zip((own, other), sets)
-    )
+    at, to = (x, y) if texts else (0, 0)
+    texts = texts or Numbered(own, other, width)
+    own, other = texts.a[at : at + len(own)], texts.b[to : to + len(other)]
+    one = texts.distinct_a[at : at + len(own) - width + 1]
+    two = texts.distinct_b[to : to + len(other) - width + 1]
     share = similarity / (1 + similarity)
-    both = sorted(sets[0] & sets[1])
-    if len(both) < share * (one.min() + two.min()) - 1e-9:
+    # a stretch shares no more than those of its tokens that are anywhere around in the other text
+    enough = window_sums(texts.shared(own, other), width) >= share * (one + two.min()) - 1e-6
+    if not enough.any():
+        return None
+    i, k = _ends(enough)
+    enough = window_sums(texts.shared(other, own), width) >= share * (two + one.min()) - 1e-6
+    if not enough.any():
         return None
+    j, l = _ends(enough)
+    own, other, one, two = own[i : k + width], other[j : l + width], one[i : k + 1], two[j : l + 1]
+    both = np.unique(own[texts.shared(own, other)])
     held = []
     for text in (own, other):
         sums = np.zeros((len(text) + 1, len(both)), np.int32)
-        np.cumsum(text[:, None] == np.array(both, np.uint64), axis=0, out=sums[1:])
+        np.cumsum(text[:, None] == both, axis=0, out=sums[1:])
         held.append((sums[width:] > sums[:-width]).astype(np.float32))
     common = held[0] @ held[1].T
     found = common / (one[:, None] + two[None, :] - common)
-    i, j = np.unravel_index(int(found.argmax()), found.shape)
-    s = float(found[i, j])
-    return (x + int(i), y + int(j), s) if s >= similarity - 1e-9 else None
+    k, l = np.unravel_index(int(found.argmax()), found.shape)
+    s = float(found[k, l])
+    return (x + i + int(k), y + j + int(l), s) if s >= similarity - 1e-9 else None
 
 
 def _spans(places: list[int], width: int):
@@ -709,13 +814,12 @@ def verified(
     out: dict[tuple[int, int], tuple[int, int, int, float]] = {}
     # places of either text in a passage found; repeats within a text give no second one
     held_a, held_b = np.zeros(len(a), bool), np.zeros(len(b), bool)
+    numbered = None
     for shift, own in sorted(by_shift.items(), key=lambda item: -len(item[1])):
         own = [ca for ca in own if not (held_a[ca] and held_b[ca - shift])]
         stretches: list[tuple[int, int, float]] = []
         for first, last in _spans(own, width):
-            if similar_stretches(
-                a, b, shift, first - width + 1, last + width - 1, width, similarity
-            ):
+            if _alike(a, b, shift, first - width + 1, last + width - 1, width, similarity):
                 # as far as it goes, and what else recurs at this distance
                 stretches = similar_stretches(a, b, shift, 0, len(a) - 1, width, similarity)
                 break
@@ -725,7 +829,9 @@ def verified(
         # words put in or left out move one part of a passage
         rest = [ca for ca in own if not any(x <= ca <= y for x, y, _ in stretches)]
         for first, last in _spans(rest, width):
-            met = similar_sets(a, b, first, last, shift, width, similarity)
+            if len(a) + len(b) <= NUMBERED_TOKENS:
+                numbered = numbered or Numbered(a, b, width)
+            met = similar_sets(a, b, first, last, shift, width, similarity, numbered)
             if met:
                 x, y, s = met
                 out[x, x - y] = max(
@@ -749,28 +855,31 @@ def _verify(pairs: DataFrame, words: int, similarity: float) -> DataFrame:
         size = 0
         for batch in batches:
             rows = []
-
-            def tokens(name, i, batch=batch):
-                nonlocal size
-                th = batch[name][i].as_py()
-                if th not in known:
-                    if size >= KNOWN_TOKENS:
-                        known.clear()
-                        size = 0
-                    known[th] = tokens_of(
-                        word_hashes(unpacked_text(batch[f"packed_{name}"][i].as_py()))
-                    )
-                    size += len(known[th])
-                return th, known[th]
-
             ends = batch["links"].offsets.to_numpy()
             values = batch["links"].values
             places = list(zip(values.field("ca").to_pylist(), values.field("cb").to_pylist()))
-            for i in range(batch.num_rows):
-                (a, own), (b, other) = tokens("a", i), tokens("b", i)
-                links = places[ends[i] : ends[i + 1]]
-                for x, y, z, s in verified(own, other, links, width, similarity):
-                    rows.append((a, b, x, y, z, z + y - x, s))
+            names = list(zip(batch["a"].to_pylist(), batch["b"].to_pylist()))
+            packed = batch["packed_a"], batch["packed_b"]
+
+            def size_of(i, names=names, packed=packed):
+                """Bytes of the texts of a row that are not known."""
+                new = [p for th, p in zip(names[i], packed) if th not in known]
+                return sum(int.from_bytes(p[i].as_py()[:8], "little") for p in new)
+
+            for some in _pieces(range(batch.num_rows), size_of):
+                new = {th: p[i] for i in some for th, p in zip(names[i], packed) if th not in known}
+                made = hashed_texts([unpacked_text(p.as_py()) for p in new.values()]) if new else []
+                # a copy, as what was made at once would be held
+                known |= {th: tokens.copy() for th, (_, tokens) in zip(new, made)}
+                size += sum(len(known[th]) for th in new)
+                for i in some:
+                    a, b = names[i]
+                    links = places[ends[i] : ends[i + 1]]
+                    for x, y, z, s in verified(known[a], known[b], links, width, similarity):
+                        rows.append((a, b, x, y, z, z + y - x, s))
+                if size >= KNOWN_TOKENS:
+                    known.clear()
+                    size = 0
             columns = zip(*rows) if rows else [[] for _ in range(7)]
             kinds = [pa.int64()] * 6 + [pa.float64()]
             yield pa.RecordBatch.from_arrays(

@@ -1,6 +1,7 @@
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 
 from ampliframe.llm import passages, queries
 from helpers import DOCS, SF_DIR, WORDS, doc, lowered
@@ -232,3 +233,76 @@ def test_groups_are_streamed(rows):
         assert set(got) == want
         # only a row repeated where a large group is cut may come twice
         assert len(got) <= len(want) + len(data) // held
+
+
+def test_texts_are_hashed_together_in_pieces(monkeypatch):
+    texts = [" ".join(words(k, n)) for k, n in enumerate([60, 3, 50, 49, 700, 51] * 40)]
+    sizes, own = [], passages.word_hashes
+    monkeypatch.setattr(passages, "PIECE_BYTES", 4000)
+    monkeypatch.setattr(passages, "word_hashes", lambda text: sizes.append(len(text)) or own(text))
+    batch = pa.RecordBatch.from_pydict({"text": texts, "no": list(range(len(texts)))})
+    (block,) = passages._blocks([batch], 50, ("no",))
+    # a text of 700 words stands alone
+    long = [t for t in texts if len(t) > 4000]
+    assert len(sizes) <= 2 * len(long) + 1 and sorted(sizes)[-len(long)] == len(long[0])
+    want = [(i, t.encode()) for i, t in enumerate(texts) if len(t.split()) >= 50]
+    assert block.others == [[i] for i, _ in want]
+    for (_, text), begin, end, at in zip(want, block.begins, block.ends, block.word_begins):
+        hashes = own(text)
+        assert (block.words[at : at + len(hashes)] == hashes).all()
+        assert block.tokens[begin:end].tolist() == passages.tokens_of(hashes).tolist()
+
+
+def test_similar_sets_equal_their_definition(monkeypatch):
+    draw = np.random.default_rng(5)
+    numbered, found, width = [], 0, 12
+    made = passages.Numbered
+    monkeypatch.setattr(passages, "Numbered", lambda *x: numbered.append(1) or made(*x))
+    for _ in range(150):
+        kinds = int(draw.choice([8, 40, 1000]))
+        a, b = (draw.integers(0, kinds, n).astype(np.uint64) for n in draw.integers(60, 90, 2))
+        at, to, k = (int(x) for x in draw.integers([10, 10, 3], [40, 40, 20]))
+        b[to : to + k] = a[at : at + k]
+        b[to + k // 2] = 2000
+        b = np.insert(b, to + k // 3, 3000)
+        first, last, shift = at, at + int(draw.integers(0, 8)), at - to
+        best = (0.0,)
+        for i in range(max(first - width + 1, 0), min(last, len(a) - width) + 1):
+            for j in range(max(first - shift - width + 1, 0), min(last - shift, len(b) - width) + 1):
+                x, y = set(a[i : i + width].tolist()), set(b[j : j + width].tolist())
+                s = len(x & y) / len(x | y)
+                best = max(best, (s, i, j), key=lambda found: found[0])
+        want = (*best[1:], best[0]) if best[0] >= 0.6 else None
+        for whole in (None, made(a, b, width)):
+            assert passages.similar_sets(a, b, first, last, shift, width, 0.6, whole) == want
+        found += want is not None
+        # many places of one pair: its tokens are numbered once, those of long texts in parts
+        links = [(i, j) for i in range(0, 50, 3) for j in range(0, 50, 3)]
+        numbered.clear()
+        once = passages.verified(a, b, links, width, 0.6)
+        assert len(numbered) <= 1
+        with monkeypatch.context() as limit:
+            limit.setattr(passages, "NUMBERED_TOKENS", 0)
+            assert passages.verified(a, b, links, width, 0.6) == once
+    assert 20 < found < 130
+
+
+def test_repeated_places_are_told_by_what_is_around():
+    draw = np.random.default_rng(6)
+    left_out = 0
+    for _ in range(100):
+        ends = np.cumsum(draw.integers(1, 200, size=draw.integers(1, 5)))
+        begins = np.append(0, ends[:-1])
+        tokens = np.resize(draw.integers(0, 9, draw.integers(1, 40)).astype(np.uint64), ends[-1])
+        tokens[draw.integers(0, len(tokens), 3)] = 10
+        c = np.unique(draw.integers(0, len(tokens), 100))
+        text, width, seen, want = np.searchsorted(ends, c, "right"), 10, set(), []
+        for t, at in zip(text, c):
+            first, last = max(begins[t], at - width + 1), min(ends[t], at + width)
+            want.append((t, at - first, *tokens[first:last].tolist()) not in seen)
+            seen.add((t, at - first, *tokens[first:last].tolist()))
+        key = passages._hashed(tokens, 0)[c]
+        with np.errstate(all="raise"):
+            assert passages.not_repeated(tokens, begins, ends, key, text, c, width).tolist() == want
+        left_out += want.count(False)
+    assert left_out > 100
