@@ -63,7 +63,7 @@ NUMBERED_TOKENS = 1 << 13
 #: rows of one group that are held until it counts as large
 HELD_ROWS = 1 << 16
 #: tokens handled at once by numpy; a longer text is still handled whole
-BLOCK_TOKENS = 1 << 21
+BLOCK_TOKENS = 1 << 18
 #: tokens around repeated places that are hashed at once
 SURROUNDING_TOKENS = 1 << 18
 #: more than the kinds of keys; a key tells its kind by its last bits

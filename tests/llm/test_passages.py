@@ -1,3 +1,4 @@
+import tracemalloc
 from collections import defaultdict
 
 import numpy as np
@@ -306,3 +307,25 @@ def test_repeated_places_are_told_by_what_is_around():
             assert passages.not_repeated(tokens, begins, ends, key, text, c, width).tolist() == want
         left_out += want.count(False)
     assert left_out > 100
+
+
+def test_a_batch_of_many_texts_is_worked_on_in_small_blocks():
+    draw = np.random.default_rng(8)
+    texts = [" ".join(map(str, draw.integers(0, 1 << 30, 300).tolist())) for _ in range(4000)]
+    batch = pa.RecordBatch.from_pydict({"text": texts})
+    made = []
+
+    class Docs:
+        def select(self, *columns):
+            return self
+
+        def mapInArrow(self, run, schema):
+            made.append(run)
+
+    passages.windows(Docs(), passages.shape_of(50, 0.8))
+    tracemalloc.start()
+    n = sum(part.num_rows for part in made[0]([batch]))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    # 1,184,000 tokens of 8 bytes, of each of which there are several arrays
+    assert n > 100_000 and peak < 70e6
